@@ -1,15 +1,46 @@
-"""Dimension tables with dense surrogate keys."""
+"""Dimension tables with dense surrogate keys.
+
+All dimensions of a run come from ONE scan of the cleaned trips: a
+grouping-sets aggregate with one set per source column yields the distinct
+values of every natural-key column at once (partial aggregation in each
+task first, so a value shared by a third of all rows costs one row per
+task). That small result is frozen in a reliable checkpoint, its per-set
+sizes are counted, and each dimension is cut from it:
+
+* single-column dimensions (vendor, payment type, rate code) are one set;
+* role-playing dimensions (datetime, zone) are the UNION DISTINCT of two
+  sets (pickup and dropoff).
+
+The measured sizes choose the key path: a dimension whose proven bound is
+at most ``WINDOW_PATH_MAX_ROWS`` is ranked in one task, any other with the
+range-partitioned path of ``keys.py``.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import code_label
 from ..schemas import DROPOFF, PAYMENT_TYPES, PICKUP, RATE_CODES, VENDOR_NAMES
-from .keys import dense_key, ranged_dense_key
+from ..session import ensure_checkpoint_dir
+from .keys import WINDOW_PATH_MAX_ROWS, ranged_dense_key, window_dense_key
+
+SOURCE = "_ys_source"
+
+
+@dataclass(frozen=True)
+class DimSpec:
+    """How a dimension is derived: natural key, surrogate key, source columns, labels."""
+
+    name: str
+    natural: str
+    key: str
+    sources: tuple[str, ...]
+    labels: dict[int, str] | None = None
+    label_col: str | None = None
 
 
 @dataclass
@@ -20,7 +51,7 @@ class Dimension:
     df: DataFrame
     natural: str
     key: str
-    max_rows: int | None = None  # proven bound from a code domain
+    max_rows: int | None = None  # proven upper bound on the row count
     partition_counts: DataFrame | None = field(default=None, repr=False)
     _rows: int | None = field(default=None, repr=False)
 
@@ -40,10 +71,89 @@ class Dimension:
         return self.row_count() <= max_rows
 
 
-def _keyed(keys: DataFrame, natural: str, key: str, max_rows: int | None) -> tuple[DataFrame, DataFrame | None]:
-    if max_rows is not None:
-        return dense_key(keys, natural, key, max_rows), None
-    return ranged_dense_key(keys, natural, key)
+SPECS: dict[str, DimSpec] = {
+    s.name: s
+    for s in [
+        DimSpec("vendor_DIM", "vendorid", "vendor_key", ("vendorid",), VENDOR_NAMES, "vendor_name"),
+        DimSpec("datetime_DIM", "timestamp", "datetime_key", (PICKUP, DROPOFF)),
+        DimSpec("taxizone_DIM", "locationid", "zone_key", ("pulocationid", "dolocationid")),
+        DimSpec("paymenttype_DIM", "payment_type", "paymenttype_key", ("payment_type",), PAYMENT_TYPES, "description"),
+        DimSpec("ratecode_DIM", "ratecodeid", "ratecode_key", ("ratecodeid",), RATE_CODES, "description"),
+    ]
+}
+
+
+def natural_key_sets(clean: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Distinct values of each column, one grouping set per column, frozen.
+
+    Returns the checkpointed frame (``_ys_source`` names the column a row
+    belongs to; the other value columns are null) and the number of
+    distinct values per column, null included.
+    """
+    ensure_checkpoint_dir(clean.sparkSession)
+    grouped = clean.groupingSets([[c] for c in columns], *columns).agg(
+        *[F.grouping(c).alias(f"_g{i}") for i, c in enumerate(columns)]
+    )
+    which: Column = F.lit(None).cast("string")
+    for i, c in reversed(list(enumerate(columns))):
+        which = F.when(F.col(f"_g{i}") == 0, F.lit(c)).otherwise(which)
+    keys = grouped.select(which.alias(SOURCE), *columns).checkpoint(eager=True)
+    # One row per source column: a bounded collect of the set sizes.
+    sizes = {r[SOURCE]: int(r["n"]) for r in keys.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return keys, {c: sizes.get(c, 0) for c in columns}
+
+
+def _values(keys: DataFrame, spec: DimSpec) -> DataFrame:
+    part = keys.filter(F.col(SOURCE).isin(*spec.sources))
+    if len(spec.sources) == 1:
+        return part.select(F.col(spec.sources[0]).alias(spec.natural))
+    value: Column = F.lit(None)
+    for src in reversed(spec.sources):
+        value = F.when(F.col(SOURCE) == src, F.col(src)).otherwise(value)
+    return part.select(value.alias(spec.natural)).distinct()
+
+
+def key_dimension(
+    values: DataFrame,
+    spec: DimSpec,
+    bound: int,
+    strict: bool = False,
+    window_max_rows: int = WINDOW_PATH_MAX_ROWS,
+) -> Dimension:
+    """Dense-key distinct ``values`` whose row count is at most ``bound``."""
+    counts = None
+    if bound <= window_max_rows:
+        dim = window_dense_key(values, spec.natural, spec.key)
+        max_rows = bound
+    else:
+        dim, counts = ranged_dense_key(values, spec.natural, spec.key)
+        max_rows = None
+    if spec.labels is not None:
+        dim = dim.withColumn(spec.label_col or "description", code_label(spec.natural, spec.labels, strict))
+    return Dimension(spec.name, dim, spec.natural, spec.key, max_rows, counts)
+
+
+def build_dimensions(
+    clean: DataFrame,
+    names: list[str] | None = None,
+    strict: bool = False,
+    specs: dict[str, DimSpec] = SPECS,
+    window_max_rows: int = WINDOW_PATH_MAX_ROWS,
+) -> dict[str, Dimension]:
+    """The requested dimensions (all five by default), keyed by name in load order.
+
+    ``window_max_rows`` is the largest proven size ranked in a single task;
+    pass 0 to force the range-partitioned path for every dimension.
+    """
+    wanted = [specs[n] for n in (names or list(specs))]
+    columns = list(dict.fromkeys(src for spec in wanted for src in spec.sources))
+    keys, sizes = natural_key_sets(clean, columns)
+    return {
+        spec.name: key_dimension(
+            _values(keys, spec), spec, sum(sizes[s] for s in spec.sources), strict, window_max_rows
+        )
+        for spec in wanted
+    }
 
 
 def build_code_dim(
@@ -53,60 +163,32 @@ def build_code_dim(
     name: str,
     labels: dict[int, str] | None = None,
     label_col: str | None = None,
-    max_rows: int | None = None,
     strict: bool = False,
 ) -> Dimension:
-    """Distinct codes of one column, dense key, optional label.
-
-    ``max_rows`` states a bound guaranteed by cleaning (e.g. vendor codes
-    are filtered to {1, 2}); without it the size-agnostic ranged key path
-    is used.
-    """
-    keys = clean.select(code_col).distinct()
-    dim, counts = _keyed(keys, code_col, key, max_rows)
-    if labels is not None:
-        dim = dim.withColumn(label_col or "description", code_label(code_col, labels, strict))
-    return Dimension(name, dim, code_col, key, max_rows, counts)
+    """Distinct codes of one column, dense key, optional label."""
+    spec = DimSpec(name, code_col, key, (code_col,), labels, label_col)
+    return build_dimensions(clean, [name], strict, {name: spec})[name]
 
 
 def build_role_dim(clean: DataFrame, role_cols: list[str], natural: str, key: str, name: str) -> Dimension:
-    """One dimension for several role columns: UNION DISTINCT of their values.
-
-    The roles are unpivoted with one ``explode`` so the cleaned input is
-    scanned once; the distinct aggregate combines map-side first, so a
-    value shared by a third of all rows costs one row per task.
-    """
-    keys = clean.select(F.explode(F.array(*[F.col(c) for c in role_cols])).alias(natural)).distinct()
-    dim, counts = _keyed(keys, natural, key, None)
-    return Dimension(name, dim, natural, key, None, counts)
-
-
-def vendor_dim(clean: DataFrame, strict: bool = False) -> Dimension:
-    return build_code_dim(
-        clean, "vendorid", "vendor_key", "vendor_DIM", VENDOR_NAMES, "vendor_name", max_rows=2, strict=strict
-    )
-
+    """One dimension over several role columns: UNION DISTINCT of their values."""
+    spec = DimSpec(name, natural, key, tuple(role_cols))
+    return build_dimensions(clean, [name], False, {name: spec})[name]
 
-def datetime_dim(clean: DataFrame, strict: bool = False) -> Dimension:
-    return build_role_dim(clean, [PICKUP, DROPOFF], "timestamp", "datetime_key", "datetime_DIM")
 
+def _single(name: str):
+    def build(clean: DataFrame, strict: bool = False, window_max_rows: int = WINDOW_PATH_MAX_ROWS) -> Dimension:
+        return build_dimensions(clean, [name], strict, window_max_rows=window_max_rows)[name]
 
-def taxizone_dim(clean: DataFrame, strict: bool = False) -> Dimension:
-    return build_role_dim(clean, ["pulocationid", "dolocationid"], "locationid", "zone_key", "taxizone_DIM")
+    build.__name__ = name.lower()
+    return build
 
 
-def paymenttype_dim(clean: DataFrame, strict: bool = False) -> Dimension:
-    # payment_type is neither cast nor filtered by cleaning: no proven bound.
-    return build_code_dim(
-        clean, "payment_type", "paymenttype_key", "paymenttype_DIM", PAYMENT_TYPES, "description", strict=strict
-    )
-
-
-def ratecode_dim(clean: DataFrame, strict: bool = False) -> Dimension:
-    return build_code_dim(
-        clean, "ratecodeid", "ratecode_key", "ratecode_DIM", RATE_CODES, "description", max_rows=6, strict=strict
-    )
-
+vendor_dim = _single("vendor_DIM")
+datetime_dim = _single("datetime_DIM")
+taxizone_dim = _single("taxizone_DIM")
+paymenttype_dim = _single("paymenttype_DIM")
+ratecode_dim = _single("ratecode_DIM")
 
 DIMENSION_BUILDERS = {
     "vendor_DIM": vendor_dim,
@@ -115,8 +197,3 @@ DIMENSION_BUILDERS = {
     "paymenttype_DIM": paymenttype_dim,
     "ratecode_DIM": ratecode_dim,
 }
-
-
-def build_dimensions(clean: DataFrame, strict: bool = False) -> dict[str, Dimension]:
-    """All five dimensions, keyed by table name in load order."""
-    return {name: builder(clean, strict) for name, builder in DIMENSION_BUILDERS.items()}

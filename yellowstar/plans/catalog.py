@@ -37,6 +37,7 @@ from ..operators import (
     join_role,
     key_integrity,
     limit_ordered,
+    ranged_dense_key,
     row_count,
     stage_frames,
     table_sizes,
@@ -275,6 +276,21 @@ def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["fact_table"] = fact_table
 
 
+@query("fact_table_shuffle_join")
+def fact_table_at_scale(spark, sf_dir):
+    """The fact table with the plan used when dimensions outgrow a broadcast:
+    every key ranked by the range-partitioned path, every join a shuffle join."""
+    clean = _clean(spark, sf_dir)
+    return build_fact(clean, build_dimensions(clean, window_max_rows=0), broadcast_rows=0)
+
+
+@query("dense_key_ranged")
+def dense_key_ranged(spark, sf_dir):
+    """Dense key over a large natural-key set (distinct extended prices)."""
+    prices = read_parquet(spark, f"{sf_dir}/lineitem.parquet").select("l_extendedprice").distinct()
+    return ranged_dense_key(prices, "l_extendedprice", "price_key")[0]
+
+
 @query("dim_sizes")
 def dim_sizes(spark, sf_dir):
     dims = build_dimensions(_clean(spark, sf_dir))

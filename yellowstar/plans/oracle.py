@@ -259,3 +259,9 @@ ORACLE: dict[str, str] = {
 
 for _col in ["passenger_count", "store_and_fwd_flag", "payment_type", "extra", "mta_tax"]:
     ORACLE[f"value_counts_{_col}"] = with_ctes(f"SELECT {_col}, count(*) AS count FROM clean GROUP BY 1")
+
+ORACLE["fact_table_shuffle_join"] = ORACLE["fact_table"]
+ORACLE["dense_key_ranged"] = (
+    "SELECT l_extendedprice, row_number() OVER (ORDER BY l_extendedprice ASC NULLS LAST) - 1 AS price_key "
+    "FROM (SELECT DISTINCT l_extendedprice FROM lineitem)"
+)

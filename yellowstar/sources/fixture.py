@@ -48,5 +48,6 @@ def trips_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the fixture from the driver's parquet tables with the DataFrame API."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    # Both sides are fact-sized at scale: shuffle both on the order key.
+    joined = lineitem.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     return joined.select(*[F.expr(expr).alias(name) for name, expr in TRIPS_COLUMNS])
