@@ -335,6 +335,23 @@ def files_to_land(spark, sf_dir):
     return new_files(discovered, landed=file_names(listing.select("path")))
 
 
+@query("streaming_clean_trips")
+def streaming_clean(spark, sf_dir):
+    """Cleaned trips produced by the incremental (availableNow) stream job:
+    lineitem files stream in, orders join as a static table, the output is
+    appended to a parquet table that is read back."""
+    from ..streaming import start_clean_stream
+
+    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
+    lines = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    out = scratch_path(spark, "clean-stream")
+    q = start_clean_stream(
+        lines, out, transform=lambda s: clean_trips(trips_fixture(spark, sf_dir, lineitem=s))
+    )
+    q.awaitTermination()
+    return read_saved(spark, out)
+
+
 @query("key_integrity")
 def integrity(spark, sf_dir):
     clean = _clean(spark, sf_dir)

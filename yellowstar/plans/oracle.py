@@ -265,3 +265,4 @@ ORACLE["dense_key_ranged"] = (
     "SELECT l_extendedprice, row_number() OVER (ORDER BY l_extendedprice ASC NULLS LAST) - 1 AS price_key "
     "FROM (SELECT DISTINCT l_extendedprice FROM lineitem)"
 )
+ORACLE["streaming_clean_trips"] = ORACLE["clean_trips"]

@@ -44,9 +44,14 @@ def trips_select_sql() -> str:
     return f"SELECT\n  {cols}\nFROM lineitem JOIN orders ON {JOIN_CONDITION}"
 
 
-def trips_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build the fixture from the driver's parquet tables with the DataFrame API."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+def trips_fixture(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """Build the fixture from the driver's parquet tables with the DataFrame API.
+
+    ``lineitem`` may be given, e.g. as a file stream; orders are then joined
+    to each micro-batch as a static table.
+    """
+    if lineitem is None:
+        lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     # Both sides are fact-sized at scale: shuffle both on the order key.
     joined = lineitem.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
