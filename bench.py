@@ -3,12 +3,18 @@
 Runs each headline query of the catalogue on ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) with ``local[$BENCH_CPUS]`` (default 8), forcing full
 evaluation with the no-op sink, and prints one JSON line.
+
+Each query runs ``$BENCH_REPEAT`` times (default 3) after one cold pass over
+the whole set; the reported time per query is the median of the warm runs
+(the cold pass, which includes JIT and code-generation warm-up, is reported
+separately under ``cold``).
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -20,21 +26,24 @@ from yellowstar.session import build_session  # noqa: E402
 HEADLINE = ["clean_trips", "dim_datetime", "fact_table", "cleaning_funnel", "cardinality_profile"]
 
 
+def _run(spark, name: str, sf_dir: str) -> float:
+    start = time.perf_counter()
+    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", app_name="yellowstar-bench", shuffle_partitions=2 * cpus)
     spark.sparkContext.setLogLevel("ERROR")
-    # Warm the JVM (class loading, codegen caches) on a query outside the set.
-    QUERIES["trips_row_count"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    timings, rows = {}, {}
+    cold = {name: round(_run(spark, name, sf_dir), 3) for name in HEADLINE}
+    warm = {}
     for name in HEADLINE:
-        start = time.perf_counter()
-        df = QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - start, 3)
+        warm[name] = round(statistics.median(_run(spark, name, sf_dir) for _ in range(repeat)), 3)
     input_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
-    total = round(sum(timings.values()), 3)
+    total = round(sum(warm.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
@@ -42,11 +51,14 @@ def main() -> None:
                 "metric": "headline_total",
                 "value": total,
                 "unit": "sec",
-                "queries": timings,
+                "queries": warm,
                 "sf": sf,
                 "cpus": cpus,
+                "repeat": repeat,
+                "cold": cold,
+                "cold_total": round(sum(cold.values()), 3),
                 "input_rows": input_rows,
-                "rows_per_sec": round(input_rows * len(HEADLINE) / total) if total else None,
+                "rows_per_sec": {k: round(input_rows / v) for k, v in warm.items() if v},
             }
         )
     )

@@ -137,3 +137,13 @@ def test_fact_plan_large_dimensions_shuffle(star):
     # the per-partition offset tables of the ranged keys (one row per partition)
     assert count_nodes(big, "SortMergeJoin") + count_nodes(big, "ShuffledHashJoin") >= 7
     assert count_nodes(big, "BroadcastHashJoin") == len(ROLES)
+
+
+def test_left_join_shuffle_path_keeps_null_keys(star):
+    clean, _, _ = star
+    dims = build_dimensions(clean, ["paymenttype_DIM"], window_max_rows=0)
+    from yellowstar.operators import join_role
+
+    out = join_role(clean, dims["paymenttype_DIM"], "payment_type", "paymenttype_key", how="left", broadcast_rows=0)
+    assert out.count() == clean.count()
+    assert out.filter(F.col("paymenttype_key").isNull()).count() == 58

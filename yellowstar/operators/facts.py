@@ -56,7 +56,13 @@ def join_role(
     """
     side = dim.df.select(F.col(dim.natural).alias(fact_col), F.col(dim.key).alias(role_key))
     if dim.fits_broadcast(broadcast_rows):
-        side = F.broadcast(side)
+        return fact.join(F.broadcast(side), on=fact_col, how=how).drop(fact_col)
+    if how in ("left", "left_outer", "leftouter"):
+        # Null keys never match. Keep them out of the shuffle join, where
+        # they would all hash to one partition, and add them back unmatched.
+        unmatched = fact.filter(F.col(fact_col).isNull()).withColumn(role_key, F.lit(None).cast("long"))
+        matched = fact.filter(F.col(fact_col).isNotNull()).join(side, on=fact_col, how=how)
+        return matched.unionByName(unmatched).drop(fact_col)
     return fact.join(side, on=fact_col, how=how).drop(fact_col)
 
 
