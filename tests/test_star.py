@@ -147,3 +147,28 @@ def test_left_join_shuffle_path_keeps_null_keys(star):
     out = join_role(clean, dims["paymenttype_DIM"], "payment_type", "paymenttype_key", how="left", broadcast_rows=0)
     assert out.count() == clean.count()
     assert out.filter(F.col("paymenttype_key").isNull()).count() == 58
+
+
+def test_hot_key_split_is_exact(spark, trips_small, star):
+    import datetime
+
+    from yellowstar.operators import join_role
+
+    # a third of all trips share one pickup time
+    hot = datetime.datetime(1996, 1, 1)
+    skewed = trips_small.withColumn(
+        "tpep_pickup_datetime",
+        F.when(F.col("VendorID") == 1, F.lit(hot)).otherwise(F.col("tpep_pickup_datetime")),
+    )
+    clean = clean_trips(skewed)
+    plain = build_fact(clean, build_dimensions(clean))
+    dims = build_dimensions(clean, window_max_rows=0, hot_key_rows=500)
+    assert "tpep_pickup_datetime" in dims["datetime_DIM"].hot_values
+    split = build_fact(clean, dims, broadcast_rows=0)
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    left = join_role(clean, dims["paymenttype_DIM"], "payment_type", "paymenttype_key", "left", broadcast_rows=0)
+    assert left.count() == clean.count()
+    assert left.filter(F.col("paymenttype_key").isNull()).count() == 58
+    # the hot values are looked up map-side; the plan stays one chain
+    text = count_nodes(split, "Union")
+    assert text == 0

@@ -29,6 +29,13 @@ from ..session import ensure_checkpoint_dir
 from .keys import WINDOW_PATH_MAX_ROWS, ranged_dense_key, window_dense_key
 
 SOURCE = "_ys_source"
+ROWS = "_ys_rows"
+
+# A natural-key value is "hot" when it holds at least this many fact rows,
+# and never fewer than total_rows / MAX_HOT_KEYS, so at most MAX_HOT_KEYS
+# values per column are hot: a proven bound for broadcasting them.
+HOT_KEY_MIN_ROWS = 2_000_000
+MAX_HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -53,6 +60,8 @@ class Dimension:
     key: str
     max_rows: int | None = None  # proven upper bound on the row count
     partition_counts: DataFrame | None = field(default=None, repr=False)
+    # fact column -> its hot natural-key values (at most MAX_HOT_KEYS rows)
+    hot_values: dict[str, DataFrame] = field(default_factory=dict, repr=False)
     _rows: int | None = field(default=None, repr=False)
 
     def row_count(self) -> int:
@@ -83,24 +92,48 @@ SPECS: dict[str, DimSpec] = {
 }
 
 
-def natural_key_sets(clean: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, int]]:
-    """Distinct values of each column, one grouping set per column, frozen.
+@dataclass(frozen=True)
+class KeyStats:
+    """Per source column: distinct values (null included), rows, rows of the hottest value."""
+
+    values: int
+    rows: int
+    top_rows: int
+
+
+def natural_key_sets(clean: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, KeyStats]]:
+    """Distinct values of each column with their row counts, one grouping set per column, frozen.
 
     Returns the checkpointed frame (``_ys_source`` names the column a row
-    belongs to; the other value columns are null) and the number of
-    distinct values per column, null included.
+    belongs to, the other value columns are null, ``_ys_rows`` counts the
+    rows holding the value) and per-column statistics.
     """
     ensure_checkpoint_dir(clean.sparkSession)
     grouped = clean.groupingSets([[c] for c in columns], *columns).agg(
-        *[F.grouping(c).alias(f"_g{i}") for i, c in enumerate(columns)]
+        F.count(F.lit(1)).alias(ROWS), *[F.grouping(c).alias(f"_g{i}") for i, c in enumerate(columns)]
     )
     which: Column = F.lit(None).cast("string")
     for i, c in reversed(list(enumerate(columns))):
         which = F.when(F.col(f"_g{i}") == 0, F.lit(c)).otherwise(which)
-    keys = grouped.select(which.alias(SOURCE), *columns).checkpoint(eager=True)
-    # One row per source column: a bounded collect of the set sizes.
-    sizes = {r[SOURCE]: int(r["n"]) for r in keys.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n")).collect()}
-    return keys, {c: sizes.get(c, 0) for c in columns}
+    keys = grouped.select(which.alias(SOURCE), *columns, ROWS).checkpoint(eager=True)
+    # One row per source column: a bounded collect of the set statistics.
+    stats = keys.groupBy(SOURCE).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(ROWS).alias("rows"), F.max(ROWS).alias("top")
+    )
+    found = {r[SOURCE]: KeyStats(int(r["n"]), int(r["rows"]), int(r["top"])) for r in stats.collect()}
+    return keys, {c: found.get(c, KeyStats(0, 0, 0)) for c in columns}
+
+
+def hot_threshold(total_rows: int, min_rows: int = HOT_KEY_MIN_ROWS) -> int:
+    """Rows a value must hold to be hot; bounds the hot set by MAX_HOT_KEYS."""
+    return max(min_rows, -(-total_rows // MAX_HOT_KEYS), 1)
+
+
+def _hot_values(keys: DataFrame, source: str, threshold: int) -> DataFrame:
+    """Non-null values of one source column holding at least ``threshold`` rows."""
+    return keys.filter(
+        (F.col(SOURCE) == source) & F.col(source).isNotNull() & (F.col(ROWS) >= threshold)
+    ).select(source)
 
 
 def _values(keys: DataFrame, spec: DimSpec) -> DataFrame:
@@ -139,21 +172,28 @@ def build_dimensions(
     strict: bool = False,
     specs: dict[str, DimSpec] = SPECS,
     window_max_rows: int = WINDOW_PATH_MAX_ROWS,
+    hot_key_rows: int = HOT_KEY_MIN_ROWS,
 ) -> dict[str, Dimension]:
     """The requested dimensions (all five by default), keyed by name in load order.
 
     ``window_max_rows`` is the largest proven size ranked in a single task;
     pass 0 to force the range-partitioned path for every dimension.
+    ``hot_key_rows`` is the row count from which a natural-key value is
+    joined by broadcast instead of through the shuffle (see ``facts.join_role``).
     """
     wanted = [specs[n] for n in (names or list(specs))]
     columns = list(dict.fromkeys(src for spec in wanted for src in spec.sources))
-    keys, sizes = natural_key_sets(clean, columns)
-    return {
-        spec.name: key_dimension(
-            _values(keys, spec), spec, sum(sizes[s] for s in spec.sources), strict, window_max_rows
-        )
-        for spec in wanted
-    }
+    keys, stats = natural_key_sets(clean, columns)
+    out = {}
+    for spec in wanted:
+        bound = sum(stats[s].values for s in spec.sources)
+        dim = key_dimension(_values(keys, spec), spec, bound, strict, window_max_rows)
+        for src in spec.sources:
+            threshold = hot_threshold(stats[src].rows, hot_key_rows)
+            if stats[src].top_rows >= threshold:
+                dim.hot_values[src] = _hot_values(keys, src, threshold)
+        out[spec.name] = dim
+    return out
 
 
 def build_code_dim(
@@ -177,8 +217,13 @@ def build_role_dim(clean: DataFrame, role_cols: list[str], natural: str, key: st
 
 
 def _single(name: str):
-    def build(clean: DataFrame, strict: bool = False, window_max_rows: int = WINDOW_PATH_MAX_ROWS) -> Dimension:
-        return build_dimensions(clean, [name], strict, window_max_rows=window_max_rows)[name]
+    def build(
+        clean: DataFrame,
+        strict: bool = False,
+        window_max_rows: int = WINDOW_PATH_MAX_ROWS,
+        hot_key_rows: int = HOT_KEY_MIN_ROWS,
+    ) -> Dimension:
+        return build_dimensions(clean, [name], strict, window_max_rows=window_max_rows, hot_key_rows=hot_key_rows)[name]
 
     build.__name__ = name.lower()
     return build

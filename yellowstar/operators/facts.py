@@ -53,17 +53,47 @@ def join_role(
     only when its size is proven or measured to be within ``broadcast_rows``.
     Null natural keys never match: ``inner`` drops those rows, ``left``
     keeps them with a null key.
+
+    On the shuffle path no reducer may receive a hot value (one value can
+    hold a third of all rows). Values the dimension build found hot get
+    their key from a broadcast join against their few dimension rows;
+    those rows, and rows with a null key, then enter the shuffle join with
+    a null join key and a row-hash salt, so they spread over all partitions
+    and match nothing there. The plan stays a single chain: no branch of
+    the input is evaluated twice.
     """
     side = dim.df.select(F.col(dim.natural).alias(fact_col), F.col(dim.key).alias(role_key))
     if dim.fits_broadcast(broadcast_rows):
         return fact.join(F.broadcast(side), on=fact_col, how=how).drop(fact_col)
-    if how in ("left", "left_outer", "leftouter"):
-        # Null keys never match. Keep them out of the shuffle join, where
-        # they would all hash to one partition, and add them back unmatched.
-        unmatched = fact.filter(F.col(fact_col).isNull()).withColumn(role_key, F.lit(None).cast("long"))
-        matched = fact.filter(F.col(fact_col).isNotNull()).join(side, on=fact_col, how=how)
-        return matched.unionByName(unmatched).drop(fact_col)
-    return fact.join(side, on=fact_col, how=how).drop(fact_col)
+    left = how in ("left", "left_outer", "leftouter")
+    hot = dim.hot_values.get(fact_col)
+    if hot is None and not left:
+        # Inner join: Catalyst drops null keys before the shuffle.
+        return fact.join(side, on=fact_col, how=how).drop(fact_col)
+    cur = fact
+    out_of_shuffle = F.col(fact_col).isNull()
+    if hot is not None:
+        values = F.broadcast(hot.select(F.col(hot.columns[0]).alias(fact_col)))
+        hot_side = side.join(values, fact_col, "left_semi").select(fact_col, F.col(role_key).alias(_HOT))
+        cur = cur.join(F.broadcast(hot_side), fact_col, "left")
+        out_of_shuffle = out_of_shuffle | F.col(_HOT).isNotNull()
+    salt = F.xxhash64(*[F.col(c) for c in fact.columns])
+    cur = cur.withColumns(
+        {
+            _JK: F.when(out_of_shuffle, F.lit(None)).otherwise(F.col(fact_col)),
+            _JS: F.when(out_of_shuffle, salt).otherwise(F.lit(0).cast("long")),
+        }
+    )
+    cold_side = side.select(F.col(fact_col).alias(_JK), F.lit(0).cast("long").alias(_JS), F.col(role_key).alias(_COLD))
+    joined = cur.join(cold_side, [_JK, _JS], "left")
+    key = F.coalesce(F.col(_HOT), F.col(_COLD)) if hot is not None else F.col(_COLD)
+    joined = joined.withColumn(role_key, key)
+    if not left:
+        joined = joined.filter(F.col(role_key).isNotNull())
+    return joined.drop(fact_col, _JK, _JS, _HOT, _COLD)
+
+
+_HOT, _COLD, _JK, _JS = "_ys_hot_key", "_ys_cold_key", "_ys_join_key", "_ys_join_salt"
 
 
 def role_of(key: str) -> Role:

@@ -284,6 +284,15 @@ def fact_table_at_scale(spark, sf_dir):
     return build_fact(clean, build_dimensions(clean, window_max_rows=0), broadcast_rows=0)
 
 
+@query("fact_table_hot_split")
+def fact_table_hot_keys(spark, sf_dir):
+    """The shuffle-join plan with hot-value splitting engaged: every natural-key
+    value holding at least 1 000 trips is joined map-side, the rest shuffled."""
+    clean = _clean(spark, sf_dir)
+    dims = build_dimensions(clean, window_max_rows=0, hot_key_rows=1_000)
+    return build_fact(clean, dims, broadcast_rows=0)
+
+
 @query("dense_key_ranged")
 def dense_key_ranged(spark, sf_dir):
     """Dense key over a large natural-key set (distinct extended prices)."""

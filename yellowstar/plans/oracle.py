@@ -266,3 +266,4 @@ ORACLE["dense_key_ranged"] = (
     "FROM (SELECT DISTINCT l_extendedprice FROM lineitem)"
 )
 ORACLE["streaming_clean_trips"] = ORACLE["clean_trips"]
+ORACLE["fact_table_hot_split"] = ORACLE["fact_table"]
