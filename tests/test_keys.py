@@ -57,3 +57,15 @@ def test_input_order_does_not_matter(spark):
     ka = {r["k"]: r["key"] for r in ranged_dense_key(a, "k", "key")[0].collect()}
     kb = {r["k"]: r["key"] for r in ranged_dense_key(b, "k", "key")[0].collect()}
     assert ka == kb
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(-10**12, 10**12)), min_size=1, max_size=300))
+def test_property_ranged_is_dense_rank(spark, values):
+    keys = spark.createDataFrame([(v,) for v in values], "k long").distinct()
+    got = {r["k"]: r["key"] for r in ranged_dense_key(keys, "k", "key")[0].collect()}
+    assert got == _expected(values)

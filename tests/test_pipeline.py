@@ -57,3 +57,13 @@ def test_incremental_stream_processes_each_file_once(spark, trips_small, tmp_dir
     land_clean_trips(spark, landing, out, ckpt)  # nothing new: no duplicates
     assert 0 < first < 3038
     assert spark.read.parquet(out).count() == 3038
+
+
+def test_rerun_gives_same_tables(spark, trips_small, tmp_dir):
+    from yellowstar.pipeline import build_star
+
+    a = build_star(trips_small).tables()
+    b = build_star(trips_small.repartition(3)).tables()
+    for name in a:
+        assert a[name].exceptAll(b[name]).count() == 0, name
+        assert b[name].exceptAll(a[name]).count() == 0, name

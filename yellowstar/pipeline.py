@@ -111,3 +111,33 @@ def run_pipeline(
         for dim in star.dimensions.values():
             dim.df.unpersist()
     return star
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m yellowstar.pipeline --source DIR --sink DIR`` (parquet sink)."""
+    import argparse
+
+    from .session import build_session
+
+    parser = argparse.ArgumentParser(description="Build the trip star schema.")
+    parser.add_argument("--source", required=True, help="directory (or glob) of monthly trip parquet files")
+    parser.add_argument("--sink", required=True, help="output base path for the six parquet tables")
+    parser.add_argument("--max-files", type=int, default=None)
+    parser.add_argument("--sample-rows", type=int, default=None)
+    parser.add_argument("--broadcast-rows", type=int, default=BROADCAST_MAX_ROWS)
+    parser.add_argument("--strict", action="store_true", help="fail on unknown code values")
+    args = parser.parse_args(argv)
+    spark = build_session()
+    run_pipeline(
+        spark,
+        args.source,
+        args.sink,
+        max_files=args.max_files,
+        sample_rows=args.sample_rows,
+        broadcast_rows=args.broadcast_rows,
+        strict=args.strict,
+    )
+
+
+if __name__ == "__main__":
+    main()
