@@ -49,3 +49,11 @@ def test_schema_rows_and_sizes(spark):
     assert [tuple(r) for r in schema_rows(df).collect()] == [("x", "int"), ("y", "string")]
     sizes = {r.table: r.rows for r in table_sizes({"one": df, "range": spark.range(5)}).collect()}
     assert sizes == {"one": 1, "range": 5}
+
+
+def test_scale_conf_bounds():
+    from yellowstar.session import scale_conf
+
+    assert scale_conf(100 * 1024**4, 8000)["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(10 * 1024**2, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert scale_conf(500 * 1024**3, 100)["spark.sql.shuffle.partitions"] == "500"

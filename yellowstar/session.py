@@ -46,6 +46,31 @@ def build_session(
     return builder.getOrCreate()
 
 
+def scale_conf(
+    input_bytes: int,
+    total_cores: int,
+    input_bytes_per_partition: int = 1 << 30,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Shuffle sizing for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    Column pruning and the cleaning filters leave roughly an eighth of the
+    input bytes in each shuffle, so one partition per GiB of input targets
+    ~128 MB shuffle partitions; at least two per core, and at most
+    ``max_partitions`` so the map-output status held by the driver (maps x
+    reducers) stays bounded. Adaptive execution then merges small
+    partitions toward the advisory size and splits skewed ones.
+    """
+    wanted = -(-input_bytes // input_bytes_per_partition)
+    partitions = max(2 * total_cores, min(max_partitions, wanted))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only in local mode.
 
