@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .operators.cleaning import clean_trips
@@ -29,6 +30,7 @@ from .operators.dimensions import Dimension, build_dimensions
 from .operators.facts import BROADCAST_MAX_ROWS, build_fact
 from .operators.limits import limit_ordered
 from .schemas import FACT_TABLE, YELLOW_TRIPS
+from .session import scale_conf
 from .sinks.writers import write_jdbc, write_parquet, write_star
 from .sources.files import load_trips
 
@@ -79,6 +81,21 @@ def jdbc_sink(url: str, **options) -> Sink:
     return write
 
 
+def input_bytes(spark: SparkSession, source: str | list[str], glob: str = "*.parquet") -> int:
+    """Total size of the source files, from the file listing only (no data read)."""
+    paths = [source] if isinstance(source, str) else source
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(*paths)
+    return int(listing.agg(F.sum("length")).first()[0] or 0)
+
+
+def size_shuffles(spark: SparkSession, source: str | list[str]) -> dict[str, str]:
+    """Set shuffle partition counts for this session from the input size."""
+    conf = scale_conf(input_bytes(spark, source), spark.sparkContext.defaultParallelism)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 def run_pipeline(
     spark: SparkSession,
     source: str | list[str] | DataFrame,
@@ -89,13 +106,17 @@ def run_pipeline(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_MAX_ROWS,
     strict: bool = False,
+    auto_size: bool = False,
 ) -> StarSchema:
     """Load, clean, model and write the six tables (K3).
 
     ``source`` is a directory, a file list, or an already loaded frame.
     ``sample_rows`` reproduces the reference's row cap, but over a total
     order so that reruns keep the same rows; it is off by default.
+    ``auto_size`` sets the shuffle partition count from the input's bytes.
     """
+    if auto_size and not isinstance(source, DataFrame):
+        size_shuffles(spark, source)
     raw = source if isinstance(source, DataFrame) else load_trips(spark, source, schema, max_files)
     if sample_rows is not None:
         raw = limit_ordered(raw, sample_rows)
@@ -136,6 +157,7 @@ def main(argv: list[str] | None = None) -> None:
         sample_rows=args.sample_rows,
         broadcast_rows=args.broadcast_rows,
         strict=args.strict,
+        auto_size=True,
     )
 
 
