@@ -11,8 +11,8 @@ from ..schemas import DROPOFF, FACT_COLUMNS, PICKUP
 from .dimensions import Dimension
 
 # Dimensions with at most this many rows are broadcast to the fact scan;
-# larger ones go through a shuffle join (adaptive execution splits skewed
-# keys there). Checked against the exact row count of the built dimension.
+# larger ones go through a shuffle join with hot values split off (see
+# join_role). Checked against the exact row count of the built dimension.
 BROADCAST_MAX_ROWS = 2_000_000
 
 

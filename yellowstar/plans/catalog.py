@@ -34,6 +34,7 @@ from ..operators import (
     clean_trips,
     cleaning_funnel,
     count_where,
+    distinct_values,
     join_role,
     key_integrity,
     limit_ordered,
@@ -198,6 +199,18 @@ def _value_counts(col: str) -> Query:
 for _col in ["passenger_count", "store_and_fwd_flag", "payment_type", "extra", "mta_tax"]:
     QUERIES[f"value_counts_{_col}"] = _value_counts(_col)
 
+@query("value_counts_passenger_count_raw")
+def passenger_counts_before_cleaning(spark, sf_dir):
+    # as profiled before the passenger stage: after the vendor filter, raw values
+    frame = stage_frames(trips_fixture(spark, sf_dir))["vendor"]
+    return value_counts(frame, "passenger_count")
+
+
+@query("distinct_vendor_raw")
+def distinct_vendor_raw(spark, sf_dir):
+    return distinct_values(_raw(spark, sf_dir), "vendorid")
+
+
 CARDINALITY_COLUMNS = ["vendorid", "passenger_count", "ratecodeid", "store_and_fwd_flag", "payment_type", "airport_fee"]
 
 

@@ -267,3 +267,7 @@ ORACLE["dense_key_ranged"] = (
 )
 ORACLE["streaming_clean_trips"] = ORACLE["clean_trips"]
 ORACLE["fact_table_hot_split"] = ORACLE["fact_table"]
+ORACLE["value_counts_passenger_count_raw"] = with_ctes(
+    "SELECT passenger_count, count(*) AS count FROM f_vendor GROUP BY 1"
+)
+ORACLE["distinct_vendor_raw"] = with_ctes("SELECT DISTINCT vendorid FROM raw")
