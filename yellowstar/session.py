@@ -78,7 +78,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; a machine-local folder would not survive the
     loss of an executor, so we refuse to invent one there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
