@@ -44,7 +44,11 @@ def main() -> None:
         warm[name] = round(statistics.median(_run(spark, name, sf_dir) for _ in range(repeat)), 3)
     input_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     total = round(sum(warm.values()), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        sf: float | str = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(
         json.dumps(
             {

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # --- source schemas -------------------------------------------------------
-# Names are the lower-cased forms; conform() matches case-insensitively.
+# The declared yellow and green trip layouts (column names and
+# types as the data dictionary gives them; names here lower-cased, since
+# conform() matches case-insensitively).
 
 YELLOW_TRIPS = T.StructType(
     [
@@ -59,7 +61,8 @@ GREEN_TRIPS = T.StructType(
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 
-# Money columns that must all be non-negative for errordata = 'n'.
+# The money columns that must all be non-negative for
+# errordata = 'n'.
 MONEY_COLUMNS = [
     "fare_amount",
     "extra",
@@ -72,7 +75,7 @@ MONEY_COLUMNS = [
     "airport_fee",
 ]
 
-# Load order of the fact table.
+# The fact table's columns in load order.
 FACT_COLUMNS = [
     "vendor_key",
     "putime_key",
