@@ -85,11 +85,11 @@ page_links AS (
              regexp_extract(item_html, {_sql_str(HREF_PATTERN)}, 1),
              '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) AS link
     FROM (
-      SELECT page_id, list_pos, unnest(items) AS item_html, generate_subscripts(items, 1) - 1 AS item_pos
+      SELECT page_id, list_pos, unnest(items) AS item_html, CAST(generate_subscripts(items, 1) - 1 AS INTEGER) AS item_pos
       FROM (
         SELECT page_id, list_pos, regexp_extract_all(list_html, {_sql_str(ITEM_PATTERN)}, 1)[1:2] AS items
         FROM (
-          SELECT page_id, unnest(lists) AS list_html, generate_subscripts(lists, 1) - 1 AS list_pos
+          SELECT page_id, unnest(lists) AS list_html, CAST(generate_subscripts(lists, 1) - 1 AS INTEGER) AS list_pos
           FROM (SELECT page_id, regexp_extract_all(html, {_sql_str(LIST_PATTERN)}, 1) AS lists FROM pages)))))
   WHERE contains(trim(string_split(link, '/')[-1]), 'th'))
 """
