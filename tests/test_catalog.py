@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as contract  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
+from check_types import SAME  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,6 +38,9 @@ def test_entry_is_the_fact_table(spark):
 def test_query_matches_oracle(spark, duck, name):
     df = contract.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    rel = duck.sql(contract.oracle_sql()[name])
+    d_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert {c: SAME.get(t) for c, t in df.dtypes} == d_types
     res = duck.execute(contract.oracle_sql()[name])
     d_cols, d_rows = [c[0] for c in res.description], res.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
