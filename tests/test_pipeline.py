@@ -73,3 +73,16 @@ def test_rerun_gives_same_tables(spark, trips_small, tmp_dir):
     for name in a:
         assert a[name].exceptAll(b[name]).count() == 0, name
         assert b[name].exceptAll(a[name]).count() == 0, name
+
+
+def test_fact_partitioned_by_month_prunes(spark, trips_small, tmp_dir):
+    from yellowstar.plans.inspect import plan_text
+
+    out = f"{tmp_dir}/star"
+    run_pipeline(spark, trips_small, out, partition_by_month=True)
+    months = os.listdir(f"{out}/{FACT_TABLE}")
+    assert any(m.startswith("pickup_month=") for m in months)
+    fact = spark.read.parquet(f"{out}/{FACT_TABLE}")
+    assert fact.count() == 2980 and fact.columns[:20] == FACT_COLUMNS
+    one = fact.filter(F.col("pickup_month") == "1995-03-01")
+    assert "PartitionFilters: [isnotnull(pickup_month" in plan_text(one)

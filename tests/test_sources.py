@@ -102,3 +102,11 @@ def test_pushed_filters_reach_parquet_scan(spark, trips_small, tmp_dir):
     assert "vendorid" in pushed and "ratecodeid" in pushed and "trip_distance" in pushed
     assert df.count() == 3038
     assert "ReadSchema" in text
+
+
+def test_load_trips_provenance(spark, trips_small, tmp_dir):
+    landing = _write_months(spark, trips_small, tmp_dir)
+    loaded = load_trips(spark, landing, provenance="source_file")
+    names = {r.source_file: r["count"] for r in loaded.groupBy("source_file").count().collect()}
+    assert set(names) == {"yellow_tripdata_jan.parquet", "yellow_tripdata_feb.parquet"}
+    assert sum(names.values()) == 6000

@@ -103,6 +103,9 @@ def role_of(key: str) -> Role:
     raise KeyError(key)
 
 
+PICKUP_MONTH = "pickup_month"
+
+
 def build_fact(
     clean: DataFrame,
     dims: dict[str, Dimension],
@@ -110,12 +113,21 @@ def build_fact(
     broadcast_rows: int = BROADCAST_MAX_ROWS,
     roles: list[Role] | None = None,
     ordered: bool = True,
+    with_pickup_month: bool = False,
 ) -> DataFrame:
-    """Swap every natural key of the cleaned trips for its surrogate key."""
+    """Swap every natural key of the cleaned trips for its surrogate key.
+
+    ``with_pickup_month`` adds a ``pickup_month`` date column after the 20
+    fact columns, for writing the table partitioned by month.
+    """
     fact = clean
+    if with_pickup_month:
+        fact = fact.withColumn(PICKUP_MONTH, F.trunc(F.col(PICKUP), "month"))
     for role in roles or ROLES:
         fact = join_role(fact, dims[role.dimension], role.fact_col, role.key, how, broadcast_rows)
-    return fact.select(*FACT_COLUMNS) if ordered else fact
+    if not ordered:
+        return fact
+    return fact.select(*FACT_COLUMNS, *([PICKUP_MONTH] if with_pickup_month else []))
 
 
 def key_integrity(

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .operators.cleaning import clean_trips
 from .operators.dimensions import Dimension, build_dimensions
-from .operators.facts import BROADCAST_MAX_ROWS, build_fact
+from .operators.facts import BROADCAST_MAX_ROWS, PICKUP_MONTH, build_fact
 from .operators.limits import limit_ordered
 from .schemas import FACT_TABLE, YELLOW_TRIPS
 from .session import scale_conf
@@ -55,11 +55,12 @@ def build_star(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_MAX_ROWS,
     strict: bool = False,
+    with_pickup_month: bool = False,
 ) -> StarSchema:
     """Clean raw trips and build the star schema (lazy except for key freezing)."""
     clean = clean_trips(raw)
     dims = build_dimensions(clean, strict=strict)
-    fact = build_fact(clean, dims, how=how, broadcast_rows=broadcast_rows)
+    fact = build_fact(clean, dims, how=how, broadcast_rows=broadcast_rows, with_pickup_month=with_pickup_month)
     return StarSchema(clean, dims, fact)
 
 
@@ -107,6 +108,7 @@ def run_pipeline(
     broadcast_rows: int = BROADCAST_MAX_ROWS,
     strict: bool = False,
     auto_size: bool = False,
+    partition_by_month: bool = False,
 ) -> StarSchema:
     """Load, clean, model and write the six tables (K3).
 
@@ -114,14 +116,19 @@ def run_pipeline(
     ``sample_rows`` reproduces the reference's row cap, but over a total
     order so that reruns keep the same rows; it is off by default.
     ``auto_size`` sets the shuffle partition count from the input's bytes.
+    ``partition_by_month`` writes the fact table (parquet sink) partitioned
+    by ``pickup_month`` so readers of a month range prune whole folders.
     """
     if auto_size and not isinstance(source, DataFrame):
         size_shuffles(spark, source)
     raw = source if isinstance(source, DataFrame) else load_trips(spark, source, schema, max_files)
     if sample_rows is not None:
         raw = limit_ordered(raw, sample_rows)
-    star = build_star(raw, how=how, broadcast_rows=broadcast_rows, strict=strict)
-    write_one = parquet_sink(sink) if isinstance(sink, str) else sink
+    star = build_star(raw, how=how, broadcast_rows=broadcast_rows, strict=strict, with_pickup_month=partition_by_month)
+    if isinstance(sink, str):
+        write_one = parquet_sink(sink, [PICKUP_MONTH] if partition_by_month else None)
+    else:
+        write_one = sink
     # The keyed dimensions are read by their own write and by the fact
     # build; keep them (not the trips) in memory for the run (K1).
     for dim in star.dimensions.values():
@@ -147,6 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--sample-rows", type=int, default=None)
     parser.add_argument("--broadcast-rows", type=int, default=BROADCAST_MAX_ROWS)
     parser.add_argument("--strict", action="store_true", help="fail on unknown code values")
+    parser.add_argument("--partition-by-month", action="store_true", help="partition the fact table by pickup month")
     args = parser.parse_args(argv)
     spark = build_session()
     run_pipeline(
@@ -158,6 +166,7 @@ def main(argv: list[str] | None = None) -> None:
         broadcast_rows=args.broadcast_rows,
         strict=args.strict,
         auto_size=True,
+        partition_by_month=args.partition_by_month,
     )
 
 

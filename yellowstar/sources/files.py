@@ -86,6 +86,7 @@ def load_trips(
     schema: T.StructType = YELLOW_TRIPS,
     max_files: int | None = None,
     group_by_schema: bool = True,
+    provenance: str | None = None,
 ) -> DataFrame:
     """Load many monthly trip files as one frame with the declared schema (A3, A4).
 
@@ -96,7 +97,8 @@ def load_trips(
     the driver; for very many files of one layout pass
     ``group_by_schema=False`` to scan them all at once with the declared
     schema (Spark resolves names case-insensitively and fills missing
-    columns with null).
+    columns with null). ``provenance`` names an extra column holding each
+    row's source file name (from the scan's ``_metadata``).
     """
     paths = list_data_files(spark, source) if isinstance(source, str) else sorted(source)
     if max_files is not None:
@@ -104,13 +106,19 @@ def load_trips(
     if not paths:
         raise FileNotFoundError(f"no data files in {source!r}")
     if not group_by_schema:
-        return conform(spark.read.schema(_nullable(schema)).parquet(*paths), schema)
-    variants: OrderedDict[str, list[str]] = OrderedDict()
-    for path in paths:
-        key = spark.read.parquet(path).schema.simpleString().lower()
-        variants.setdefault(key, []).append(path)
-    frames = [spark.read.parquet(*group) for group in variants.values()]
-    return union_by_name(frames, schema)
+        scans = [spark.read.schema(_nullable(schema)).parquet(*paths)]
+    else:
+        variants: OrderedDict[str, list[str]] = OrderedDict()
+        for path in paths:
+            key = spark.read.parquet(path).schema.simpleString().lower()
+            variants.setdefault(key, []).append(path)
+        scans = [spark.read.parquet(*group) for group in variants.values()]
+    frames = [conform(scan, schema) for scan in scans]
+    if provenance:
+        frames = [
+            f.withColumn(provenance, scan["_metadata.file_name"]) for f, scan in zip(frames, scans)
+        ]
+    return union_by_name(frames)
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
