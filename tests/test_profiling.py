@@ -57,3 +57,15 @@ def test_scale_conf_bounds():
     assert scale_conf(100 * 1024**4, 8000)["spark.sql.shuffle.partitions"] == "100000"
     assert scale_conf(10 * 1024**2, 8)["spark.sql.shuffle.partitions"] == "16"
     assert scale_conf(500 * 1024**3, 100)["spark.sql.shuffle.partitions"] == "500"
+
+
+def test_limit_ordered_two_level_equals_single_merge(spark):
+    from yellowstar.plans.inspect import count_nodes
+
+    df = spark.range(0, 50000, 1, 25).select(
+        (F.col("id") * 7919 % 10007).alias("a"), (F.col("id") % 11).alias("b")
+    )
+    single = limit_ordered(df, 300)
+    two = limit_ordered(df, 300, single_merge_max_rows=1000)
+    assert count_nodes(two, "WindowGroupLimit") == 2 and count_nodes(single, "WindowGroupLimit") == 0
+    assert [tuple(r) for r in two.collect()] == [tuple(r) for r in single.collect()]

@@ -2,20 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Largest number of rows the final top-n merge may receive in one task.
+SINGLE_MERGE_MAX_ROWS = 5_000_000
+
+
+def _num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no RDD view of a plan
+        return None
 
-def limit_ordered(df: DataFrame, n: int, order_cols: list[str] | None = None) -> DataFrame:
+
+def limit_ordered(
+    df: DataFrame,
+    n: int,
+    order_cols: list[str] | None = None,
+    single_merge_max_rows: int = SINGLE_MERGE_MAX_ROWS,
+) -> DataFrame:
     """First ``n`` rows under a total order.
 
     The reference capped rows without an order, so which rows survived was
     left to the scheduler. Ordering by every column (nulls last) makes the
-    result a fixed multiset; Spark runs it as a per-task top-n followed by
-    one merge of at most ``n`` rows per task.
+    result a fixed multiset.
+
+    Spark's top-n keeps ``n`` rows per task and merges them in one task,
+    i.e. ``tasks x n`` rows there. When that exceeds
+    ``single_merge_max_rows`` a middle level is added: tasks are grouped
+    into about sqrt(tasks) groups, a row-number window with a group limit
+    keeps ``n`` rows per task before the shuffle and ``n`` per group after
+    it, so no task merges more than about sqrt(tasks) x ``n`` rows.
     """
-    cols = order_cols or df.columns
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).limit(n)
+    order = [F.col(c).asc_nulls_last() for c in (order_cols or df.columns)]
+    tasks = _num_partitions(df)
+    if tasks is None or tasks * n <= single_merge_max_rows:
+        return df.orderBy(*order).limit(n)
+    groups = max(2, math.isqrt(tasks - 1) + 1)
+    by_group = Window.partitionBy("_ys_group").orderBy(*order)
+    middle = (
+        df.withColumn("_ys_group", F.pmod(F.spark_partition_id(), F.lit(groups)))
+        .withColumn("_ys_rn", F.row_number().over(by_group))
+        .filter(F.col("_ys_rn") <= n)
+        .drop("_ys_group", "_ys_rn")
+    )
+    return middle.orderBy(*order).limit(n)
 
 
 def bounded_count(df: DataFrame, n: int, alias: str = "rows") -> DataFrame:
