@@ -46,3 +46,14 @@ def test_new_files_first_occurrence_and_landed(spark):
     assert got == {"yellow_1.parquet": (1, "/a/yellow_1.parquet"), "yellow_2.parquet": (1, "/b/yellow_2.parquet")}
     landed = spark.createDataFrame([("yellow_2.parquet",)], "filename string")
     assert [r.filename for r in new_files(links, landed).collect()] == ["yellow_1.parquet"]
+
+
+def test_href_quoting_styles(spark):
+    html = (
+        "<ul><li><a class=x href='/s/yellow_single.parquet'>a</a></li>"
+        "<li><A HREF=/u/yellow_bare.parquet>b</A></li></ul>"
+        '<ul><li><a name="n">no link</a> <a href="/d/yellow_double.parquet">c</a></li></ul>'
+    )
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = sorted(r.filename for r in page_links(pages, word="yellow").collect())
+    assert got == ["yellow_bare.parquet", "yellow_double.parquet", "yellow_single.parquet"]

@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-PART = "_ys_part"
 # Largest proven key count handled by the single-task window path.
 WINDOW_PATH_MAX_ROWS = 10_000
+
+PART = "_ys_part"
 POS = "_ys_pos"
 
 

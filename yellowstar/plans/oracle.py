@@ -82,7 +82,9 @@ page_links AS (
   FROM (
     SELECT page_id, list_pos, item_pos,
            trim(replace(replace(replace(replace(replace(
-             regexp_extract(item_html, {_sql_str(HREF_PATTERN)}, 1),
+             regexp_extract(item_html, {_sql_str(HREF_PATTERN)}, 1)
+             || regexp_extract(item_html, {_sql_str(HREF_PATTERN)}, 2)
+             || regexp_extract(item_html, {_sql_str(HREF_PATTERN)}, 3),
              '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) AS link
     FROM (
       SELECT page_id, list_pos, unnest(items) AS item_html, CAST(generate_subscripts(items, 1) - 1 AS INTEGER) AS item_pos

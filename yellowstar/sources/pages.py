@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 TABLE_PATTERN = r"(?is)<table\b.*?</table>"
 LIST_PATTERN = r"(?is)<ul\b[^>]*>(.*?)</ul>"
 ITEM_PATTERN = r"(?is)<li\b[^>]*>(.*?)</li>"
-HREF_PATTERN = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'
+# one group per attribute quoting style: "double", 'single', unquoted
+HREF_PATTERN = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 
 
 def _unescape(c: Column) -> Column:
@@ -56,7 +57,9 @@ def page_links(
             F.slice(F.regexp_extract_all("list_html", F.lit(ITEM_PATTERN), F.lit(1)), 1, items_per_list)
         ).alias("item_pos", "item_html"),
     )
-    link = F.trim(_unescape(F.regexp_extract("item_html", HREF_PATTERN, 1)))
+    # exactly one group takes part in a match; the others extract ""
+    href = F.concat(*[F.regexp_extract("item_html", HREF_PATTERN, g) for g in (1, 2, 3)])
+    link = F.trim(_unescape(href))
     links = items.select("page_id", "list_pos", "item_pos", link.alias("link"))
     links = links.withColumn("filename", F.trim(F.element_at(F.split("link", "/"), -1)))
     return links.filter(F.col("filename").contains(word))
