@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
+    # remove reliable-checkpoint files once their frames are garbage
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
