@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 SINGLE_MERGE_MAX_ROWS = 5_000_000
 
 
-def _num_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect has no RDD view of a plan
-        return None
+def _task_estimate(df: DataFrame) -> int:
+    """Upper estimate of the tasks feeding the top-n, without running anything.
+
+    (``df.rdd.getNumPartitions()`` would execute the input's shuffle stages
+    under adaptive execution.) Inputs after a shuffle have at most the
+    configured shuffle partitions; file scans have at least one task per file.
+    """
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(shuffle, len(df.inputFiles()))
 
 
 def limit_ordered(
@@ -38,8 +42,8 @@ def limit_ordered(
     it, so no task merges more than about sqrt(tasks) x ``n`` rows.
     """
     order = [F.col(c).asc_nulls_last() for c in (order_cols or df.columns)]
-    tasks = _num_partitions(df)
-    if tasks is None or tasks * n <= single_merge_max_rows:
+    tasks = _task_estimate(df)
+    if tasks * n <= single_merge_max_rows:
         return df.orderBy(*order).limit(n)
     groups = max(2, math.isqrt(tasks - 1) + 1)
     by_group = Window.partitionBy("_ys_group").orderBy(*order)
