@@ -91,7 +91,11 @@ def input_bytes(spark: SparkSession, source: str | list[str], glob: str = "*.par
 
 def size_shuffles(spark: SparkSession, source: str | list[str]) -> dict[str, str]:
     """Set shuffle partition counts for this session from the input size."""
-    conf = scale_conf(input_bytes(spark, source), spark.sparkContext.defaultParallelism)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        cores = int(spark.conf.get("spark.default.parallelism", "200"))
+    conf = scale_conf(input_bytes(spark, source), cores)
     for key, value in conf.items():
         spark.conf.set(key, value)
     return conf
