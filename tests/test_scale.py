@@ -13,6 +13,7 @@ def test_fixture_join_hot_order_key_is_split_by_aqe(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
     }
     before = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
