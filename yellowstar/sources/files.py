@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,8 +94,8 @@ def load_trips(
     ``source`` is a directory or a list of files; ``max_files`` keeps the
     first n files in path order. Files are grouped by footer schema so each
     schema variant is a single parallel scan, then the variants are
-    conformed and unioned by name. Grouping reads one footer per file on
-    the driver; for very many files of one layout pass
+    conformed and unioned by name. Grouping reads one footer per file
+    (small concurrent jobs); for very many files of one layout pass
     ``group_by_schema=False`` to scan them all at once with the declared
     schema (Spark resolves names case-insensitively and fills missing
     columns with null). ``provenance`` names an extra column holding each
@@ -109,8 +110,7 @@ def load_trips(
         scans = [spark.read.schema(_nullable(schema)).parquet(*paths)]
     else:
         variants: OrderedDict[str, list[str]] = OrderedDict()
-        for path in paths:
-            key = spark.read.parquet(path).schema.simpleString().lower()
+        for path, key in zip(paths, _footer_schemas(spark, paths)):
             variants.setdefault(key, []).append(path)
         scans = [spark.read.parquet(*group) for group in variants.values()]
     frames = [conform(scan, schema) for scan in scans]
@@ -121,5 +121,17 @@ def load_trips(
     return union_by_name(frames)
 
 
+def _footer_schemas(spark: SparkSession, paths: list[str], threads: int = 16) -> list[str]:
+    """Footer schema of each file (lower-cased), read as concurrent small jobs."""
+
+    def read(path: str) -> str:
+        return spark.read.parquet(path).schema.simpleString().lower()
+
+    if len(paths) == 1:
+        return [read(paths[0])]
+    with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
+        return list(pool.map(read, paths))
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
