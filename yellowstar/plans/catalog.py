@@ -206,6 +206,13 @@ def passenger_counts_before_cleaning(spark, sf_dir):
     return value_counts(frame, "passenger_count")
 
 
+@query("value_counts_store_and_fwd_flag_raw")
+def flag_counts_before_lowering(spark, sf_dir):
+    # as profiled after the last filter stage, before values are lower-cased
+    frame = stage_frames(trips_fixture(spark, sf_dir))["ratecode"]
+    return value_counts(frame, "store_and_fwd_flag")
+
+
 @query("distinct_vendor_raw")
 def distinct_vendor_raw(spark, sf_dir):
     return distinct_values(_raw(spark, sf_dir), "vendorid")

@@ -273,3 +273,6 @@ ORACLE["value_counts_passenger_count_raw"] = with_ctes(
     "SELECT passenger_count, count(*) AS count FROM f_vendor GROUP BY 1"
 )
 ORACLE["distinct_vendor_raw"] = with_ctes("SELECT DISTINCT vendorid FROM raw")
+ORACLE["value_counts_store_and_fwd_flag_raw"] = with_ctes(
+    "SELECT store_and_fwd_flag, count(*) AS count FROM f_rate GROUP BY 1"
+)
