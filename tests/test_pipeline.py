@@ -43,6 +43,7 @@ def test_jdbc_options_and_sink_calls():
     opts = jdbc_options("jdbc:postgresql://db:5432/x", "fact_table", user="u", password="p", num_partitions=8)
     assert opts["dbtable"] == "fact_table" and opts["numPartitions"] == "8"
     assert opts["truncate"] == "true" and opts["batchsize"] == "10000"
+    assert jdbc_options("jdbc:x", "t")["numPartitions"] == "32"  # connection cap by default
     df = mock.MagicMock()
     writer = df.write.format.return_value.options.return_value.mode.return_value
     jdbc_sink("jdbc:x", user="u")("vendor_DIM", df)

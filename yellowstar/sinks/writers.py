@@ -29,15 +29,16 @@ def jdbc_options(
     password: str | None = None,
     driver: str | None = None,
     batchsize: int = 10_000,
-    num_partitions: int | None = None,
+    num_partitions: int | None = 32,
     truncate: bool = True,
 ) -> dict[str, str]:
     """Writer options for one JDBC table.
 
     ``truncate`` keeps the table definition on overwrite instead of
     dropping it; ``num_partitions`` caps concurrent connections (Spark
-    coalesces down to it before writing); ``batchsize`` sets rows per insert
-    batch.
+    coalesces down to it before writing; without it a large frame would open
+    one connection per partition); ``batchsize`` sets rows per insert batch.
+    A database is a narrow sink: at full scale write parquet and load from it.
     """
     opts = {"url": url, "dbtable": table, "batchsize": str(batchsize), "truncate": str(truncate).lower()}
     if user is not None:
