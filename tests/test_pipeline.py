@@ -87,3 +87,10 @@ def test_fact_partitioned_by_month_prunes(spark, trips_small, tmp_dir):
     assert fact.count() == 2980 and fact.columns[:20] == FACT_COLUMNS
     one = fact.filter(F.col("pickup_month") == "1995-03-01")
     assert "PartitionFilters: [isnotnull(pickup_month" in plan_text(one)
+
+
+def test_load_order_dimensions_then_fact(spark, trips_small):
+    written = []
+    run_pipeline(spark, trips_small, lambda name, df: written.append((name, df.columns)))
+    assert [n for n, _ in written] == DIMENSION_TABLES + [FACT_TABLE]
+    assert written[-1][1] == FACT_COLUMNS
