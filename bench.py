@@ -25,7 +25,7 @@ from yellowstar.session import build_session  # noqa: E402
 
 HEADLINE = ["clean_trips", "dim_datetime", "fact_table", "cleaning_funnel", "cardinality_profile"]
 # The fact plans used when dimensions outgrow a broadcast (timed, not in the headline).
-AT_SCALE = ["fact_table_shuffle_join", "fact_table_hot_split"]
+AT_SCALE = ["fact_table_block_lookup", "fact_table_shuffle_join", "fact_table_hot_split"]
 
 
 def _run(spark, name: str, sf_dir: str) -> float:

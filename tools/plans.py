@@ -22,7 +22,8 @@ SHOWN = [
     ("cardinality_profile", "Cardinality: exact distinct counts via one Expand + partial aggregation."),
     ("dim_datetime", "Datetime dimension (measured small here: single-task window over the checkpointed key set)."),
     ("fact_table", "Fact table: seven map-side broadcast joins against checked-size dimensions; the trips are never shuffled for a lookup."),
-    ("fact_table_shuffle_join", "At-scale fact plan: every dimension ranked by the range-partitioned path and joined by shuffle."),
+    ("fact_table_block_lookup", "At-scale fact plan when dimensions outgrow a broadcast but their keys are integers or whole seconds: broadcast block lookups, still no shuffle of the trips."),
+    ("fact_table_shuffle_join", "At-scale fact plan without block lookups: every dimension ranked by the range-partitioned path and joined by shuffle."),
     ("fact_table_hot_split", "At-scale fact plan with hot values split off: map-side lookup for hot values, salted null join key."),
     ("page_links", "Link discovery: per-row regex extraction and explodes, no shuffle."),
 ]
@@ -51,7 +52,7 @@ def main() -> None:
         "dimensions would be far above any broadcast size at 100 TB.",
         "",
     ]
-    at_scale = {"fact_table_shuffle_join", "fact_table_hot_split"}
+    at_scale = {"fact_table_shuffle_join", "fact_table_hot_split", "fact_table_block_lookup"}
     for name, note in SHOWN:
         # At scale the shuffled dimensions are far above any broadcast size;
         # keep AQE from re-planning them as broadcasts on the tiny test data.

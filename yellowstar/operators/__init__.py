@@ -1,5 +1,6 @@
 """Relational operators of the trip star schema, all DataFrame -> DataFrame."""
 
+from .blocks import BLOCK_LOOKUP_MAX_ROWS, build_block_lookup, join_by_blocks
 from .cleaning import STAGE_NAMES, STAGES, clean_trips, cleaning_funnel, filter_stages, stage_frames
 from .dimensions import (
     Dimension,
@@ -26,12 +27,14 @@ from .profiling import (
 )
 
 __all__ = [
+    "BLOCK_LOOKUP_MAX_ROWS",
     "BROADCAST_MAX_ROWS",
     "Dimension",
     "ROLES",
     "STAGES",
     "STAGE_NAMES",
     "bounded_count",
+    "build_block_lookup",
     "build_code_dim",
     "build_dimensions",
     "build_fact",
@@ -44,6 +47,7 @@ __all__ = [
     "dense_key",
     "distinct_values",
     "filter_stages",
+    "join_by_blocks",
     "join_role",
     "key_integrity",
     "limit_ordered",

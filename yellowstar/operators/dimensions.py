@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import code_label
 from ..schemas import DROPOFF, PAYMENT_TYPES, PICKUP, RATE_CODES, VENDOR_NAMES
 from ..session import ensure_checkpoint_dir
+from .blocks import BlockLookup, build_block_lookup
 from .keys import WINDOW_PATH_MAX_ROWS, ranged_dense_key, window_dense_key
 
 SOURCE = "_ys_source"
@@ -63,6 +64,13 @@ class Dimension:
     # fact column -> its hot natural-key values (at most MAX_HOT_KEYS rows)
     hot_values: dict[str, DataFrame] = field(default_factory=dict, repr=False)
     _rows: int | None = field(default=None, repr=False)
+    _blocks: dict[int, BlockLookup | None] = field(default_factory=dict, repr=False)
+
+    def block_lookup(self, max_rows: int) -> BlockLookup | None:
+        """The broadcastable block lookup of this dimension (built once), or None."""
+        if max_rows not in self._blocks:
+            self._blocks[max_rows] = build_block_lookup(self.df, self.natural, self.key, max_rows)
+        return self._blocks[max_rows]
 
     def row_count(self) -> int:
         """Exact row count; read from the per-partition counts when available."""

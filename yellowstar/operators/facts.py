@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DROPOFF, FACT_COLUMNS, PICKUP
+from .blocks import BLOCK_LOOKUP_MAX_ROWS, join_by_blocks
 from .dimensions import Dimension
 
 # Dimensions with at most this many rows are broadcast to the fact scan;
@@ -45,6 +46,7 @@ def join_role(
     role_key: str,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_MAX_ROWS,
+    block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
 ) -> DataFrame:
     """Replace ``fact_col`` by the dimension key under its role name.
 
@@ -54,7 +56,11 @@ def join_role(
     Null natural keys never match: ``inner`` drops those rows, ``left``
     keeps them with a null key.
 
-    On the shuffle path no reducer may receive a hot value (one value can
+    A dimension too big to broadcast is next tried as a block lookup
+    (``blocks.py``): for integer or whole-second keys its dense keys fit a
+    broadcast of one row per 64-wide block, so the join stays map-side.
+
+    Only when that is not possible does the join shuffle. On the shuffle path no reducer may receive a hot value (one value can
     hold a third of all rows). Values the dimension build found hot get
     their key from a broadcast join against their few dimension rows;
     those rows, and rows with a null key, then enter the shuffle join with
@@ -65,6 +71,9 @@ def join_role(
     side = dim.df.select(F.col(dim.natural).alias(fact_col), F.col(dim.key).alias(role_key))
     if dim.fits_broadcast(broadcast_rows):
         return fact.join(F.broadcast(side), on=fact_col, how=how).drop(fact_col)
+    lookup = dim.block_lookup(block_rows) if block_rows > 0 else None
+    if lookup is not None:
+        return join_by_blocks(fact, lookup, fact_col, role_key, how)
     left = how in ("left", "left_outer", "leftouter")
     hot = dim.hot_values.get(fact_col)
     if hot is None and not left:
@@ -114,6 +123,7 @@ def build_fact(
     roles: list[Role] | None = None,
     ordered: bool = True,
     with_pickup_month: bool = False,
+    block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
 ) -> DataFrame:
     """Swap every natural key of the cleaned trips for its surrogate key.
 
@@ -124,14 +134,17 @@ def build_fact(
     if with_pickup_month:
         fact = fact.withColumn(PICKUP_MONTH, F.trunc(F.col(PICKUP), "month"))
     for role in roles or ROLES:
-        fact = join_role(fact, dims[role.dimension], role.fact_col, role.key, how, broadcast_rows)
+        fact = join_role(fact, dims[role.dimension], role.fact_col, role.key, how, broadcast_rows, block_rows)
     if not ordered:
         return fact
     return fact.select(*FACT_COLUMNS, *([PICKUP_MONTH] if with_pickup_month else []))
 
 
 def key_integrity(
-    clean: DataFrame, dims: dict[str, Dimension], broadcast_rows: int = BROADCAST_MAX_ROWS
+    clean: DataFrame,
+    dims: dict[str, Dimension],
+    broadcast_rows: int = BROADCAST_MAX_ROWS,
+    block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
 ) -> DataFrame:
     """Per role: cleaned rows without a dimension member, and duplicate natural keys.
 
@@ -141,7 +154,7 @@ def key_integrity(
     unmatched_rows, duplicate_keys``; all zeros except null keys means the
     inner-join fact table lost nothing it should have kept.
     """
-    joined = build_fact(clean, dims, how="left", broadcast_rows=broadcast_rows, ordered=False)
+    joined = build_fact(clean, dims, how="left", broadcast_rows=broadcast_rows, ordered=False, block_rows=block_rows)
     unmatched = joined.agg(*[F.count_if(F.col(r.key).isNull()).alias(r.key) for r in ROLES])
     per_role = unmatched.select(
         F.explode(

@@ -301,7 +301,7 @@ def fact_table_at_scale(spark, sf_dir):
     """The fact table with the plan used when dimensions outgrow a broadcast:
     every key ranked by the range-partitioned path, every join a shuffle join."""
     clean = _clean(spark, sf_dir)
-    return build_fact(clean, build_dimensions(clean, window_max_rows=0), broadcast_rows=0)
+    return build_fact(clean, build_dimensions(clean, window_max_rows=0), broadcast_rows=0, block_rows=0)
 
 
 @query("fact_table_hot_split")
@@ -310,7 +310,15 @@ def fact_table_hot_keys(spark, sf_dir):
     value holding at least 1 000 trips is joined map-side, the rest shuffled."""
     clean = _clean(spark, sf_dir)
     dims = build_dimensions(clean, window_max_rows=0, hot_key_rows=1_000)
-    return build_fact(clean, dims, broadcast_rows=0)
+    return build_fact(clean, dims, broadcast_rows=0, block_rows=0)
+
+
+@query("fact_table_block_lookup")
+def fact_table_blocks(spark, sf_dir):
+    """The fact table with every dimension treated as too big to broadcast,
+    resolved through broadcast block lookups (map-side, no shuffle of trips)."""
+    clean = _clean(spark, sf_dir)
+    return build_fact(clean, build_dimensions(clean, window_max_rows=0), broadcast_rows=0)
 
 
 @query("dense_key_ranged")

@@ -276,3 +276,4 @@ ORACLE["distinct_vendor_raw"] = with_ctes("SELECT DISTINCT vendorid FROM raw")
 ORACLE["value_counts_store_and_fwd_flag_raw"] = with_ctes(
     "SELECT store_and_fwd_flag, count(*) AS count FROM f_rate GROUP BY 1"
 )
+ORACLE["fact_table_block_lookup"] = ORACLE["fact_table"]
