@@ -29,13 +29,20 @@ def test_run_pipeline_to_parquet(spark, trips_small, tmp_dir):
 def test_run_pipeline_from_directory(spark, trips_small, tmp_dir):
     conform(trips_small, YELLOW_TRIPS).coalesce(1).write.parquet(f"{tmp_dir}/src")
     out = f"{tmp_dir}/star"
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    from yellowstar.session import scale_conf
+
+    keys = list(scale_conf(1, 1))
+    before = {k: spark.conf.get(k, None) for k in keys}
     try:
         run_pipeline(spark, f"{tmp_dir}/src", out, sample_rows=None, auto_size=True)
         # a tiny input: two partitions per core
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(2 * spark.sparkContext.defaultParallelism)
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     assert spark.read.parquet(f"{out}/{FACT_TABLE}").count() == 2980
 
 

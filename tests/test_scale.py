@@ -14,8 +14,9 @@ def test_fixture_join_hot_order_key_is_split_by_aqe(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16",
     }
-    before = {k: spark.conf.get(k) for k in conf}
+    before = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
@@ -31,4 +32,7 @@ def test_fixture_join_hot_order_key_is_split_by_aqe(spark):
         assert "skew=true" in plan_text(df)
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -99,7 +99,7 @@ def test_facts_plus_dropped_equal_clean(star):
 def test_shuffle_path_equals_broadcast_path(spark, star):
     clean, _, fact = star
     dims = build_dimensions(clean, window_max_rows=0)
-    big = build_fact(clean, dims, broadcast_rows=0)
+    big = build_fact(clean, dims, broadcast_rows=0, block_rows=0)
     assert _sums(big) == GOLDEN_SUMS
     assert big.exceptAll(fact).count() == 0 and fact.exceptAll(big).count() == 0
 
@@ -132,7 +132,7 @@ def test_fact_plan(star):
 def test_fact_plan_large_dimensions_shuffle(star):
     clean, _, _ = star
     dims = build_dimensions(clean, window_max_rows=0)
-    big = build_fact(clean, dims, broadcast_rows=0)
+    big = build_fact(clean, dims, broadcast_rows=0, block_rows=0)
     # every dimension lookup is a shuffle join; the only broadcasts left are
     # the per-partition offset tables of the ranged keys (one row per partition)
     assert count_nodes(big, "SortMergeJoin") + count_nodes(big, "ShuffledHashJoin") >= 7
@@ -144,7 +144,7 @@ def test_left_join_shuffle_path_keeps_null_keys(star):
     dims = build_dimensions(clean, ["paymenttype_DIM"], window_max_rows=0)
     from yellowstar.operators import join_role
 
-    out = join_role(clean, dims["paymenttype_DIM"], "payment_type", "paymenttype_key", how="left", broadcast_rows=0)
+    out = join_role(clean, dims["paymenttype_DIM"], "payment_type", "paymenttype_key", how="left", broadcast_rows=0, block_rows=0)
     assert out.count() == clean.count()
     assert out.filter(F.col("paymenttype_key").isNull()).count() == 58
 
@@ -164,9 +164,9 @@ def test_hot_key_split_is_exact(spark, trips_small, star):
     plain = build_fact(clean, build_dimensions(clean))
     dims = build_dimensions(clean, window_max_rows=0, hot_key_rows=500)
     assert "tpep_pickup_datetime" in dims["datetime_DIM"].hot_values
-    split = build_fact(clean, dims, broadcast_rows=0)
+    split = build_fact(clean, dims, broadcast_rows=0, block_rows=0)
     assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
-    left = join_role(clean, dims["paymenttype_DIM"], "payment_type", "paymenttype_key", "left", broadcast_rows=0)
+    left = join_role(clean, dims["paymenttype_DIM"], "payment_type", "paymenttype_key", "left", broadcast_rows=0, block_rows=0)
     assert left.count() == clean.count()
     assert left.filter(F.col("paymenttype_key").isNull()).count() == 58
     # the hot values are looked up map-side; the plan stays one chain
