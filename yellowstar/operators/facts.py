@@ -39,6 +39,10 @@ ROLES = [
 ]
 
 
+# working columns of the shuffle path
+_HOT, _COLD, _JK, _JS = "_ys_hot_key", "_ys_cold_key", "_ys_join_key", "_ys_join_salt"
+
+
 def join_role(
     fact: DataFrame,
     dim: Dimension,
@@ -60,8 +64,9 @@ def join_role(
     (``blocks.py``): for integer or whole-second keys its dense keys fit a
     broadcast of one row per 64-wide block, so the join stays map-side.
 
-    Only when that is not possible does the join shuffle. On the shuffle path no reducer may receive a hot value (one value can
-    hold a third of all rows). Values the dimension build found hot get
+    Only when that is not possible does the join shuffle. On the shuffle
+    path no reducer may receive a hot value (one value can hold a third of
+    all rows). Values the dimension build found hot get
     their key from a broadcast join against their few dimension rows;
     those rows, and rows with a null key, then enter the shuffle join with
     a null join key and a row-hash salt, so they spread over all partitions
@@ -102,16 +107,6 @@ def join_role(
     return joined.drop(fact_col, _JK, _JS, _HOT, _COLD)
 
 
-_HOT, _COLD, _JK, _JS = "_ys_hot_key", "_ys_cold_key", "_ys_join_key", "_ys_join_salt"
-
-
-def role_of(key: str) -> Role:
-    for role in ROLES:
-        if role.key == key:
-            return role
-    raise KeyError(key)
-
-
 PICKUP_MONTH = "pickup_month"
 
 
