@@ -42,8 +42,19 @@ def test_golden(spark, sf):
 
 def test_growing_datetime_dimension_is_ranged(spark):
     clean = clean_trips(trips_fixture(spark, "/root/testdata/sf0.001"))
-    dim = build_dimensions(clean, ["datetime_DIM"], window_max_rows=1000)["datetime_DIM"]
+    dim = build_dimensions(clean, ["datetime_DIM"], window_max_rows=1000, block_rows=0)["datetime_DIM"]
     assert dim.partition_counts is not None and dim.max_rows is None
     # the only window left ranks per-partition counts (one row per range partition)
     assert count_nodes(dim.df, "Window") == 1
     assert dim.row_count() == 2096
+
+
+def test_growing_datetime_dimension_from_blocks(spark):
+    clean = clean_trips(trips_fixture(spark, "/root/testdata/sf0.001"))
+    by_blocks = build_dimensions(clean, ["datetime_DIM"], window_max_rows=1000)["datetime_DIM"]
+    ranged = build_dimensions(clean, ["datetime_DIM"], window_max_rows=1000, block_rows=0)["datetime_DIM"]
+    assert by_blocks.partition_counts is None and by_blocks.block_lookup(8_000_000) is not None
+    # no window over the dimension's values: only the running sum over block rows
+    assert count_nodes(by_blocks.df, "Window") == 0
+    assert by_blocks.df.exceptAll(ranged.df).count() == 0 and ranged.df.exceptAll(by_blocks.df).count() == 0
+    assert by_blocks.row_count() == 2096

@@ -1,4 +1,4 @@
-"""Broadcastable block lookup of dense keys (F1-F7 when a dimension is too big to broadcast).
+"""Dense keys and their broadcastable lookup from 64-value blocks (G6, F1-F7 at scale).
 
 A dense key is the rank of a value among the dimension's distinct values.
 When the natural key has an exact integer ordinal (integers; timestamps
@@ -15,6 +15,11 @@ one per distinct value), so ten years of second-resolution timestamps
 need under 5 million rows: small enough to broadcast. The fact table then
 resolves even the biggest dimension map-side, without shuffling the trips.
 
+The same table also *assigns* the keys (``block_dense_key``): the first key
+of a block is the running sum of the bit counts of all earlier blocks, so
+a dimension of hundreds of millions of timestamps is keyed without
+range-partitioning or sorting its values.
+
 Everything is built-in column arithmetic (``shiftright``, ``bit_or``,
 ``bit_count``); nothing leaves the JVM.
 """
@@ -23,7 +28,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,10 +78,56 @@ def _bits_below(bit: Column) -> Column:
 
 @dataclass
 class BlockLookup:
-    """The broadcastable lookup of one dimension and its row count."""
+    """The broadcastable lookup of one dimension, its row count and key total.
+
+    ``members`` is the number of non-null values it encodes, which is also
+    the key of the dimension's null member (nulls rank last).
+    """
 
     df: DataFrame
     rows: int
+    members: int
+
+
+def block_dense_key(
+    values: DataFrame, col: str, key_name: str, max_rows: int = BLOCK_LOOKUP_MAX_ROWS
+) -> tuple[DataFrame, BlockLookup] | None:
+    """Dense keys of distinct ``values`` computed from blocks, without a global sort.
+
+    The distinct values are folded into one row per 64-wide block (a bit
+    word); a running sum of the words' bit counts, in block order, gives
+    each block's first key. That table is frozen in a checkpoint and is at
+    the same time the broadcast lookup for fact joins, so dimension keys and
+    fact keys come from one structure. Each value's key is then computed
+    map-side from the broadcast table. Returns None when the values have no
+    exact ordinal or the table would exceed ``max_rows`` (the caller then
+    uses the range-partitioned path). The running sum runs over at most
+    ``max_rows`` block rows in one task, no more than the broadcast itself
+    gathers.
+    """
+    spec = ordinal(F.col(col), values.schema[col].dataType)
+    if spec is None or max_rows <= 0:
+        return None
+    o, exact = spec
+    present = values.filter(F.col(col).isNotNull()).select(o.alias("_o"), exact.cast("int").alias("_exact"))
+    words = (
+        present.groupBy(_block(F.col("_o")).alias(BLOCK))
+        .agg(F.bit_or(_one_at(_bit(F.col("_o")))).alias(WORD), F.min("_exact").alias("_exact"))
+        .checkpoint(eager=True)
+    )
+    stats = words.agg(
+        F.count(F.lit(1)).alias("n"), F.min("_exact").alias("exact"), F.sum(F.bit_count(WORD)).alias("members")
+    ).first()
+    if stats["n"] > max_rows or (stats["n"] > 0 and stats["exact"] != 1):
+        return None
+    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    table = words.select(
+        BLOCK, F.coalesce(F.sum(F.bit_count(WORD)).over(before), F.lit(0)).cast("long").alias(FIRST), WORD
+    ).checkpoint(eager=True)
+    lookup = BlockLookup(table, int(stats["n"]), int(stats["members"] or 0))
+    keyed = join_by_blocks(values.withColumn("_ys_value", F.col(col)), lookup, "_ys_value", key_name, "left")
+    dim = keyed.select(col, F.coalesce(F.col(key_name), F.lit(lookup.members).cast("long")).alias(key_name))
+    return dim, lookup
 
 
 def build_block_lookup(dim: DataFrame, natural: str, key: str, max_rows: int = BLOCK_LOOKUP_MAX_ROWS) -> BlockLookup | None:
@@ -101,10 +152,12 @@ def build_block_lookup(dim: DataFrame, natural: str, key: str, max_rows: int = B
         )
         .checkpoint(eager=True)
     )
-    stats = blocks.agg(F.count(F.lit(1)).alias("n"), F.min("_exact").alias("exact")).first()
+    stats = blocks.agg(
+        F.count(F.lit(1)).alias("n"), F.min("_exact").alias("exact"), F.sum(F.bit_count(WORD)).alias("members")
+    ).first()
     if stats["n"] > max_rows or (stats["n"] > 0 and stats["exact"] != 1):
         return None
-    return BlockLookup(blocks.select(BLOCK, FIRST, WORD), int(stats["n"]))
+    return BlockLookup(blocks.select(BLOCK, FIRST, WORD), int(stats["n"]), int(stats["members"] or 0))
 
 
 def join_by_blocks(

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import code_label
 from ..schemas import DROPOFF, PAYMENT_TYPES, PICKUP, RATE_CODES, VENDOR_NAMES
 from ..session import ensure_checkpoint_dir
-from .blocks import BlockLookup, build_block_lookup
+from .blocks import BLOCK_LOOKUP_MAX_ROWS, BlockLookup, block_dense_key, build_block_lookup
 from .keys import WINDOW_PATH_MAX_ROWS, ranged_dense_key, window_dense_key
 
 SOURCE = "_ys_source"
@@ -68,6 +68,9 @@ class Dimension:
 
     def block_lookup(self, max_rows: int) -> BlockLookup | None:
         """The broadcastable block lookup of this dimension (built once), or None."""
+        for lookup in self._blocks.values():
+            if lookup is not None and lookup.rows <= max_rows:
+                return lookup
         if max_rows not in self._blocks:
             self._blocks[max_rows] = build_block_lookup(self.df, self.natural, self.key, max_rows)
         return self._blocks[max_rows]
@@ -160,18 +163,30 @@ def key_dimension(
     bound: int,
     strict: bool = False,
     window_max_rows: int = WINDOW_PATH_MAX_ROWS,
+    block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
 ) -> Dimension:
-    """Dense-key distinct ``values`` whose row count is at most ``bound``."""
-    counts = None
+    """Dense-key distinct ``values`` whose row count is at most ``bound``.
+
+    Paths, in order: one window in one task (proven bound within
+    ``window_max_rows``); blocks (integer or whole-second keys, lookup
+    within ``block_rows``); range partitioning (anything else).
+    """
+    counts, blocks = None, {}
+    max_rows: int | None = None
     if bound <= window_max_rows:
-        dim = window_dense_key(values, spec.natural, spec.key)
-        max_rows = bound
+        dim, max_rows = window_dense_key(values, spec.natural, spec.key), bound
     else:
-        dim, counts = ranged_dense_key(values, spec.natural, spec.key)
-        max_rows = None
+        by_blocks = block_dense_key(values, spec.natural, spec.key, block_rows)
+        if by_blocks is not None:
+            dim, lookup = by_blocks
+            blocks = {block_rows: lookup}
+        else:
+            dim, counts = ranged_dense_key(values, spec.natural, spec.key)
     if spec.labels is not None:
         dim = dim.withColumn(spec.label_col or "description", code_label(spec.natural, spec.labels, strict))
-    return Dimension(spec.name, dim, spec.natural, spec.key, max_rows, counts)
+    out = Dimension(spec.name, dim, spec.natural, spec.key, max_rows, counts)
+    out._blocks.update(blocks)
+    return out
 
 
 def build_dimensions(
@@ -181,11 +196,13 @@ def build_dimensions(
     specs: dict[str, DimSpec] = SPECS,
     window_max_rows: int = WINDOW_PATH_MAX_ROWS,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
+    block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
 ) -> dict[str, Dimension]:
     """The requested dimensions (all five by default), keyed by name in load order.
 
-    ``window_max_rows`` is the largest proven size ranked in a single task;
-    pass 0 to force the range-partitioned path for every dimension.
+    ``window_max_rows`` is the largest proven size ranked in a single task
+    (0 disables that path); ``block_rows`` the largest block table used for
+    keys and lookups (0 disables it, leaving the range-partitioned path).
     ``hot_key_rows`` is the row count from which a natural-key value is
     joined by broadcast instead of through the shuffle (see ``facts.join_role``).
     """
@@ -195,7 +212,7 @@ def build_dimensions(
     out = {}
     for spec in wanted:
         bound = sum(stats[s].values for s in spec.sources)
-        dim = key_dimension(_values(keys, spec), spec, bound, strict, window_max_rows)
+        dim = key_dimension(_values(keys, spec), spec, bound, strict, window_max_rows, block_rows)
         for src in spec.sources:
             threshold = hot_threshold(stats[src].rows, hot_key_rows)
             if stats[src].top_rows >= threshold:
@@ -230,8 +247,11 @@ def _single(name: str):
         strict: bool = False,
         window_max_rows: int = WINDOW_PATH_MAX_ROWS,
         hot_key_rows: int = HOT_KEY_MIN_ROWS,
+        block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
     ) -> Dimension:
-        return build_dimensions(clean, [name], strict, window_max_rows=window_max_rows, hot_key_rows=hot_key_rows)[name]
+        return build_dimensions(
+            clean, [name], strict, window_max_rows=window_max_rows, hot_key_rows=hot_key_rows, block_rows=block_rows
+        )[name]
 
     build.__name__ = name.lower()
     return build

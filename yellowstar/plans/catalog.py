@@ -301,7 +301,8 @@ def fact_table_at_scale(spark, sf_dir):
     """The fact table with the plan used when dimensions outgrow a broadcast:
     every key ranked by the range-partitioned path, every join a shuffle join."""
     clean = _clean(spark, sf_dir)
-    return build_fact(clean, build_dimensions(clean, window_max_rows=0), broadcast_rows=0, block_rows=0)
+    dims = build_dimensions(clean, window_max_rows=0, block_rows=0)
+    return build_fact(clean, dims, broadcast_rows=0, block_rows=0)
 
 
 @query("fact_table_hot_split")
@@ -309,7 +310,7 @@ def fact_table_hot_keys(spark, sf_dir):
     """The shuffle-join plan with hot-value splitting engaged: every natural-key
     value holding at least 1 000 trips is joined map-side, the rest shuffled."""
     clean = _clean(spark, sf_dir)
-    dims = build_dimensions(clean, window_max_rows=0, hot_key_rows=1_000)
+    dims = build_dimensions(clean, window_max_rows=0, hot_key_rows=1_000, block_rows=0)
     return build_fact(clean, dims, broadcast_rows=0, block_rows=0)
 
 
@@ -328,6 +329,15 @@ def dense_key_ranged(spark, sf_dir):
     return ranged_dense_key(prices, "l_extendedprice", "price_key")[0]
 
 
+@query("dense_key_blocks")
+def dense_key_blocks(spark, sf_dir):
+    """Dense key over a large integer key set (distinct order keys), from blocks."""
+    from ..operators.blocks import block_dense_key
+
+    orders = read_parquet(spark, f"{sf_dir}/lineitem.parquet").select("l_orderkey").distinct()
+    return block_dense_key(orders, "l_orderkey", "order_key")[0]
+
+
 @query("dim_sizes")
 def dim_sizes(spark, sf_dir):
     dims = build_dimensions(_clean(spark, sf_dir))

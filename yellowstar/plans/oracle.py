@@ -277,3 +277,7 @@ ORACLE["value_counts_store_and_fwd_flag_raw"] = with_ctes(
     "SELECT store_and_fwd_flag, count(*) AS count FROM f_rate GROUP BY 1"
 )
 ORACLE["fact_table_block_lookup"] = ORACLE["fact_table"]
+ORACLE["dense_key_blocks"] = (
+    "SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey ASC NULLS LAST) - 1 AS order_key "
+    "FROM (SELECT DISTINCT l_orderkey FROM lineitem)"
+)
