@@ -12,8 +12,10 @@ sizes are counted, and each dimension is cut from it:
   sets (pickup and dropoff).
 
 The measured sizes choose the key path: a dimension whose proven bound is
-at most ``WINDOW_PATH_MAX_ROWS`` is ranked in one task, any other with the
-range-partitioned path of ``keys.py``.
+at most ``WINDOW_PATH_MAX_ROWS`` is ranked in one task; a larger one with
+integer or whole-second keys is keyed from 64-value blocks (``blocks.py``),
+which also gives the fact table its broadcast lookup; anything else takes
+the range-partitioned path of ``keys.py``.
 """
 
 from __future__ import annotations
@@ -184,9 +186,7 @@ def key_dimension(
             dim, counts = ranged_dense_key(values, spec.natural, spec.key)
     if spec.labels is not None:
         dim = dim.withColumn(spec.label_col or "description", code_label(spec.natural, spec.labels, strict))
-    out = Dimension(spec.name, dim, spec.natural, spec.key, max_rows, counts)
-    out._blocks.update(blocks)
-    return out
+    return Dimension(spec.name, dim, spec.natural, spec.key, max_rows, counts, _blocks=blocks)
 
 
 def build_dimensions(
