@@ -42,6 +42,10 @@ def page_links(
     contain ``word`` (case-sensitive). ``first_table_only`` restricts the
     search to the first ``<table>`` of each page, as the original page
     layout required.
+
+    Lists and tables are matched by their tags, not parsed as a tree: a list
+    nested inside a list item ends the outer match at its own ``</ul>``.
+    The pages table holds flat lists only (checked on the given data).
     """
     scope = F.col(html_col)
     if first_table_only:
