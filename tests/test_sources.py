@@ -110,3 +110,16 @@ def test_load_trips_provenance(spark, trips_small, tmp_dir):
     names = {r.source_file: r["count"] for r in loaded.groupBy("source_file").count().collect()}
     assert set(names) == {"yellow_tripdata_jan.parquet", "yellow_tripdata_feb.parquet"}
     assert sum(names.values()) == 6000
+
+
+def test_conform_keeps_extra_columns_lower_cased(spark):
+    df = spark.createDataFrame([(1, 2.0)], "VendorID bigint, Ehail_Fee double")
+    out = conform(df, YELLOW_TRIPS, keep_extra=True)
+    assert out.columns[-1] == "ehail_fee" and out.first()["ehail_fee"] == 2.0
+
+
+def test_single_scan_path_equals_grouped_path(spark, trips_small, tmp_dir):
+    conform(trips_small, YELLOW_TRIPS).repartition(3).write.parquet(f"{tmp_dir}/same")
+    grouped = load_trips(spark, f"{tmp_dir}/same")
+    single = load_trips(spark, f"{tmp_dir}/same", group_by_schema=False)
+    assert grouped.exceptAll(single).count() == 0 and single.exceptAll(grouped).count() == 0
