@@ -28,26 +28,37 @@ HEADLINE = ["clean_trips", "dim_datetime", "fact_table", "cleaning_funnel", "car
 AT_SCALE = ["fact_table_block_lookup", "fact_table_shuffle_join", "fact_table_hot_split"]
 
 
+ERRORS: dict[str, str] = {}
+
+
 def _run(spark, name: str, sf_dir: str) -> float:
+    """Seconds to run one query to completion; NaN (and a recorded error) on failure."""
     start = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    try:
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    except Exception as exc:  # keep benchmarking the others; report the failure
+        ERRORS[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+        return float("nan")
     return time.perf_counter() - start
 
 
+def _median(values) -> float | None:
+    values = [v for v in values if v == v]
+    return round(statistics.median(values), 3) if values else None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", app_name="yellowstar-bench", shuffle_partitions=2 * cpus)
     spark.sparkContext.setLogLevel("ERROR")
-    cold = {name: round(_run(spark, name, sf_dir), 3) for name in HEADLINE}
-    warm = {}
-    for name in HEADLINE:
-        warm[name] = round(statistics.median(_run(spark, name, sf_dir) for _ in range(repeat)), 3)
+    cold = {name: _median([_run(spark, name, sf_dir)]) for name in HEADLINE}
+    warm = {name: _median([_run(spark, name, sf_dir) for _ in range(repeat)]) for name in HEADLINE}
     _run(spark, AT_SCALE[0], sf_dir)
-    at_scale = {name: round(statistics.median(_run(spark, name, sf_dir) for _ in range(repeat)), 3) for name in AT_SCALE}
+    at_scale = {name: _median([_run(spark, name, sf_dir) for _ in range(repeat)]) for name in AT_SCALE}
     input_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
-    total = round(sum(warm.values()), 3)
+    total = round(sum(v for v in warm.values() if v is not None), 3)
     sf_name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     try:
         sf: float | str = float(sf_name)
@@ -64,10 +75,11 @@ def main() -> None:
                 "cpus": cpus,
                 "repeat": repeat,
                 "cold": cold,
-                "cold_total": round(sum(cold.values()), 3),
+                "cold_total": round(sum(v for v in cold.values() if v is not None), 3),
                 "at_scale_plans": at_scale,
                 "input_rows": input_rows,
                 "rows_per_sec": {k: round(input_rows / v) for k, v in warm.items() if v},
+                "errors": ERRORS,
             }
         )
     )
