@@ -57,3 +57,64 @@ def test_href_quoting_styles(spark):
     pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
     got = sorted(r.filename for r in page_links(pages, word="yellow").collect())
     assert got == ["yellow_bare.parquet", "yellow_double.parquet", "yellow_single.parquet"]
+
+
+def _tree_links(html, word):
+    """Model: walk a parsed element tree like the original scraper did."""
+    from html.parser import HTMLParser
+
+    void = {"br", "img", "meta", "link", "hr", "input", "area", "base", "col", "source", "wbr"}
+
+    class Node:
+        def __init__(self, tag, attrs, parent):
+            self.tag, self.attrs, self.parent, self.children = tag, dict(attrs), parent, []
+
+        def find_all(self, tag):
+            for c in self.children:
+                if c.tag == tag:
+                    yield c
+                yield from c.find_all(tag)
+
+    class Builder(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.root = self.cur = Node("#root", [], None)
+
+        def handle_starttag(self, tag, attrs):
+            node = Node(tag, attrs, self.cur)
+            self.cur.children.append(node)
+            if tag not in void:
+                self.cur = node
+
+        def handle_endtag(self, tag):
+            n = self.cur
+            while n is not None and n.tag != tag:
+                n = n.parent
+            if n is not None and n.parent is not None:
+                self.cur = n.parent
+
+    b = Builder()
+    b.feed(html)
+    out = []
+    for ul in b.root.find_all("ul"):
+        for li in list(ul.find_all("li"))[:2]:
+            a = next((x for x in li.find_all("a") if x.attrs.get("href") is not None), None)
+            if a is None:
+                continue
+            link = a.attrs["href"].strip()
+            name = link.split("/")[-1].strip()
+            if word in name:
+                out.append((name, link))
+    return out
+
+
+def test_page_links_equal_tree_walk_on_pages_table(spark):
+    from collections import Counter
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = Counter((r.page_id, r.filename, r.link) for r in page_links(pages, word="th").collect())
+    want = Counter()
+    for r in pages.select("page_id", "html").toLocalIterator():
+        for name, link in _tree_links(r.html, "th"):
+            want[(r.page_id, name, link)] += 1
+    assert got == want and sum(got.values()) > 0
