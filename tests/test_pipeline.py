@@ -101,3 +101,19 @@ def test_load_order_dimensions_then_fact(spark, trips_small):
     run_pipeline(spark, trips_small, lambda name, df: written.append((name, df.columns)))
     assert [n for n, _ in written] == DIMENSION_TABLES + [FACT_TABLE]
     assert written[-1][1] == FACT_COLUMNS
+
+
+def test_pipeline_with_at_scale_paths(spark, trips_small, tmp_dir):
+    out = f"{tmp_dir}/star"
+    star = run_pipeline(spark, trips_small, out, broadcast_rows=0, window_max_rows=0)
+    fact = spark.read.parquet(f"{out}/{FACT_TABLE}")
+    assert fact.count() == 2980
+    assert all(d.block_lookup(8_000_000) is not None for d in star.dimensions.values())
+    plain = build_star_fact(spark, trips_small)
+    assert fact.exceptAll(plain).count() == 0 and plain.exceptAll(fact).count() == 0
+
+
+def build_star_fact(spark, trips):
+    from yellowstar.pipeline import build_star
+
+    return build_star(trips).fact

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from .operators.cleaning import clean_trips
 from .operators.dimensions import Dimension, build_dimensions
+from .operators.blocks import BLOCK_LOOKUP_MAX_ROWS
 from .operators.facts import BROADCAST_MAX_ROWS, PICKUP_MONTH, build_fact
 from .operators.limits import limit_ordered
 from .schemas import FACT_TABLE, YELLOW_TRIPS
@@ -56,11 +57,20 @@ def build_star(
     broadcast_rows: int = BROADCAST_MAX_ROWS,
     strict: bool = False,
     with_pickup_month: bool = False,
+    block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
+    **dimension_options,
 ) -> StarSchema:
-    """Clean raw trips and build the star schema (lazy except for key freezing)."""
+    """Clean raw trips and build the star schema (lazy except for key freezing).
+
+    ``dimension_options`` go to ``build_dimensions`` (``window_max_rows``,
+    ``hot_key_rows``); ``block_rows`` bounds block tables for both the keys
+    and the fact lookups.
+    """
     clean = clean_trips(raw)
-    dims = build_dimensions(clean, strict=strict)
-    fact = build_fact(clean, dims, how=how, broadcast_rows=broadcast_rows, with_pickup_month=with_pickup_month)
+    dims = build_dimensions(clean, strict=strict, block_rows=block_rows, **dimension_options)
+    fact = build_fact(
+        clean, dims, how=how, broadcast_rows=broadcast_rows, with_pickup_month=with_pickup_month, block_rows=block_rows
+    )
     return StarSchema(clean, dims, fact)
 
 
@@ -113,6 +123,7 @@ def run_pipeline(
     strict: bool = False,
     auto_size: bool = False,
     partition_by_month: bool = False,
+    **star_options,
 ) -> StarSchema:
     """Load, clean, model and write the six tables (K3).
 
@@ -122,13 +133,17 @@ def run_pipeline(
     ``auto_size`` sets the shuffle partition count from the input's bytes.
     ``partition_by_month`` writes the fact table (parquet sink) partitioned
     by ``pickup_month`` so readers of a month range prune whole folders.
+    ``star_options`` go to ``build_star`` (``block_rows``, ``window_max_rows``,
+    ``hot_key_rows``).
     """
     if auto_size and not isinstance(source, DataFrame):
         size_shuffles(spark, source)
     raw = source if isinstance(source, DataFrame) else load_trips(spark, source, schema, max_files)
     if sample_rows is not None:
         raw = limit_ordered(raw, sample_rows)
-    star = build_star(raw, how=how, broadcast_rows=broadcast_rows, strict=strict, with_pickup_month=partition_by_month)
+    star = build_star(
+        raw, how=how, broadcast_rows=broadcast_rows, strict=strict, with_pickup_month=partition_by_month, **star_options
+    )
     if isinstance(sink, str):
         write_one = parquet_sink(sink, [PICKUP_MONTH] if partition_by_month else None)
     else:
