@@ -38,7 +38,7 @@ ROWS = "_ys_rows"
 # and never fewer than total_rows / MAX_HOT_KEYS, so at most MAX_HOT_KEYS
 # values per column are hot: a proven bound for broadcasting them.
 HOT_KEY_MIN_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 
 
 @dataclass(frozen=True)
