@@ -58,3 +58,20 @@ def test_fact_via_blocks_is_map_side(spark, trips_small):
     assert count_nodes(fact, "SortMergeJoin") == 0
     assert count_nodes(fact, "ShuffledHashJoin") == 1
     assert all(d.block_lookup(8_000_000) is not None for d in dims.values())
+
+
+def test_ntz_ordinals_ignore_the_session_time_zone(spark):
+    """Wall-clock values inside a daylight-saving gap of the session zone stay distinct."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        values = [
+            datetime.datetime(2023, 3, 12, 2, 30),  # does not exist in New York
+            datetime.datetime(2023, 3, 12, 3, 30),
+            datetime.datetime(2023, 11, 5, 1, 30),  # exists twice in New York
+            datetime.datetime(2023, 11, 5, 2, 30),
+            None,
+        ]
+        _lookup_equals_keys(spark, values, "k timestamp_ntz")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

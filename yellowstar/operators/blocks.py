@@ -34,7 +34,6 @@ from pyspark.sql import types as T
 
 # Largest lookup (rows = non-empty blocks) that is broadcast; ~50 bytes a row.
 BLOCK_LOOKUP_MAX_ROWS = 8_000_000
-EPOCH_NTZ = "1970-01-01 00:00:00"
 
 BLOCK = "_ys_block"
 FIRST = "_ys_first_key"
@@ -45,15 +44,16 @@ def ordinal(col: Column, dtype: T.DataType) -> tuple[Column, Column] | None:
     """``(bigint ordinal, exactness predicate)`` for a natural key type, or None.
 
     The predicate is true when the ordinal represents the value exactly
-    (timestamps: no fraction of a second). NTZ timestamps are measured from
-    the epoch without any time-zone conversion.
+    (timestamps: no fraction of a second). NTZ timestamps are read as their
+    own seconds since the epoch (``unix_timestamp`` of an NTZ value applies
+    no time zone), so two wall-clock values never share an ordinal, not
+    even across a daylight-saving gap in the session's zone. The
+    whole-second test casts both of its sides alike, so it is zone-safe too.
     """
     if isinstance(dtype, T.IntegralType):
         return col.cast("long"), F.lit(True)
     if isinstance(dtype, T.TimestampNTZType):
-        epoch = F.lit(EPOCH_NTZ).cast("timestamp_ntz")
-        seconds = F.timestamp_diff("SECOND", epoch, col)
-        return seconds, F.timestamp_diff("MICROSECOND", epoch, col) % 1_000_000 == 0
+        return F.unix_timestamp(col), F.date_trunc("second", col) == col
     if isinstance(dtype, T.TimestampType):
         return F.unix_seconds(col), F.unix_micros(col) % 1_000_000 == 0
     return None
@@ -167,14 +167,20 @@ def join_by_blocks(
 
     Values that are not members (their bit is clear, or they are not exact
     ordinals) get a null key; ``inner`` drops those rows like a join would.
+    The ordinal and its exactness are computed once, below the join; above
+    it only bit arithmetic on those columns remains.
     """
     o, exact = ordinal(F.col(fact_col), fact.schema[fact_col].dataType)
-    side = F.broadcast(lookup.df)
-    joined = fact.withColumn(BLOCK, _block(o)).join(side, BLOCK, "left")
-    bit = _bit(o)
-    hit = exact & (F.col(WORD).bitwiseAND(_one_at(bit)) != 0)
-    key = F.when(hit, F.col(FIRST) + F.bit_count(F.col(WORD).bitwiseAND(_bits_below(bit))))
-    joined = joined.withColumn(role_key, key.cast("long"))
-    if how not in ("left", "left_outer", "leftouter"):
-        joined = joined.filter(F.col(role_key).isNotNull())
-    return joined.drop(fact_col, BLOCK, FIRST, WORD)
+    staged = fact.withColumns({_ORD: o, _EXACT: exact})
+    joined = staged.withColumn(BLOCK, _block(F.col(_ORD))).join(F.broadcast(lookup.df), BLOCK, "left")
+    bit = _bit(F.col(_ORD))
+    hit = F.col(_EXACT) & (F.col(WORD).bitwiseAND(_one_at(bit)) != 0)
+    rank = F.col(FIRST) + F.bit_count(F.col(WORD).bitwiseAND(_bits_below(bit)))
+    if how in ("left", "left_outer", "leftouter"):
+        joined = joined.withColumn(role_key, F.when(hit, rank).cast("long"))
+    else:
+        joined = joined.filter(hit).withColumn(role_key, rank.cast("long"))
+    return joined.drop(fact_col, BLOCK, FIRST, WORD, _ORD, _EXACT)
+
+
+_ORD, _EXACT = "_ys_ordinal", "_ys_exact"
