@@ -172,3 +172,12 @@ def test_hot_key_split_is_exact(spark, trips_small, star):
     # the hot values are looked up map-side; the plan stays one chain
     text = count_nodes(split, "Union")
     assert text == 0
+
+
+def test_block_dimension_row_counts_need_no_job(star):
+    clean, _, _ = star
+    dims = build_dimensions(clean, window_max_rows=0)
+    for d in dims.values():
+        assert d._rows is not None and d._rows == d.df.count()
+    # the payment dimension has a null member: counted once
+    assert dims["paymenttype_DIM"]._rows == 8

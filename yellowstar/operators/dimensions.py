@@ -107,11 +107,13 @@ SPECS: dict[str, DimSpec] = {
 
 @dataclass(frozen=True)
 class KeyStats:
-    """Per source column: distinct values (null included), rows, rows of the hottest value."""
+    """Per source column: distinct values (null included), rows, rows of the hottest value,
+    and whether null is one of the values."""
 
     values: int
     rows: int
     top_rows: int
+    has_null: bool = False
 
 
 def natural_key_sets(clean: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, KeyStats]]:
@@ -130,10 +132,18 @@ def natural_key_sets(clean: DataFrame, columns: list[str]) -> tuple[DataFrame, d
         which = F.when(F.col(f"_g{i}") == 0, F.lit(c)).otherwise(which)
     keys = grouped.select(which.alias(SOURCE), *columns, ROWS).checkpoint(eager=True)
     # One row per source column: a bounded collect of the set statistics.
+    own_null: Column = F.lit(False)
+    for c in reversed(columns):
+        own_null = F.when(F.col(SOURCE) == c, F.col(c).isNull()).otherwise(own_null)
     stats = keys.groupBy(SOURCE).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(ROWS).alias("rows"), F.max(ROWS).alias("top")
+        F.count(F.lit(1)).alias("n"),
+        F.sum(ROWS).alias("rows"),
+        F.max(ROWS).alias("top"),
+        F.max(own_null).alias("has_null"),
     )
-    found = {r[SOURCE]: KeyStats(int(r["n"]), int(r["rows"]), int(r["top"])) for r in stats.collect()}
+    found = {
+        r[SOURCE]: KeyStats(int(r["n"]), int(r["rows"]), int(r["top"]), bool(r["has_null"])) for r in stats.collect()
+    }
     return keys, {c: found.get(c, KeyStats(0, 0, 0)) for c in columns}
 
 
@@ -166,9 +176,13 @@ def key_dimension(
     strict: bool = False,
     window_max_rows: int = WINDOW_PATH_MAX_ROWS,
     block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
+    has_null: bool | None = None,
 ) -> Dimension:
     """Dense-key distinct ``values`` whose row count is at most ``bound``.
 
+    ``has_null`` (when known) tells whether null is one of the values; with
+    the block path the exact row count then needs no job at all.
+
     Paths, in order: one window in one task (proven bound within
     ``window_max_rows``); blocks (integer or whole-second keys, lookup
     within ``block_rows``); range partitioning (anything else).
@@ -186,7 +200,10 @@ def key_dimension(
             dim, counts = ranged_dense_key(values, spec.natural, spec.key)
     if spec.labels is not None:
         dim = dim.withColumn(spec.label_col or "description", code_label(spec.natural, spec.labels, strict))
-    return Dimension(spec.name, dim, spec.natural, spec.key, max_rows, counts, _blocks=blocks)
+    rows = None
+    if blocks and has_null is not None:
+        rows = next(iter(blocks.values())).members + int(has_null)
+    return Dimension(spec.name, dim, spec.natural, spec.key, max_rows, counts, _rows=rows, _blocks=blocks)
 
 
 def build_dimensions(
@@ -212,7 +229,8 @@ def build_dimensions(
     out = {}
     for spec in wanted:
         bound = sum(stats[s].values for s in spec.sources)
-        dim = key_dimension(_values(keys, spec), spec, bound, strict, window_max_rows, block_rows)
+        has_null = any(stats[s].has_null for s in spec.sources)
+        dim = key_dimension(_values(keys, spec), spec, bound, strict, window_max_rows, block_rows, has_null)
         for src in spec.sources:
             threshold = hot_threshold(stats[src].rows, hot_key_rows)
             if stats[src].top_rows >= threshold:
