@@ -148,14 +148,18 @@ def run_pipeline(
         write_one = parquet_sink(sink, [PICKUP_MONTH] if partition_by_month else None)
     else:
         write_one = sink
-    # The keyed dimensions are read by their own write and by the fact
-    # build; keep them (not the trips) in memory for the run (K1).
-    for dim in star.dimensions.values():
+    # Dimensions within the broadcast bound are read twice, by their own
+    # write and by the fact build's broadcast: keep those (not the trips) in
+    # memory for the run (K1). A larger dimension reaches the fact build
+    # through its block table or a shuffle of the checkpointed keys, so its
+    # frame is read once and caching it would only cost memory.
+    cached = [d for d in star.dimensions.values() if d.fits_broadcast(broadcast_rows)]
+    for dim in cached:
         dim.df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_star(star.tables(), write_one)
     finally:
-        for dim in star.dimensions.values():
+        for dim in cached:
             dim.df.unpersist()
     return star
 
