@@ -36,7 +36,10 @@ def test_entry_is_the_fact_table(spark):
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_matches_oracle(spark, duck, name):
+    from yellowstar.plans.inspect import python_nodes
+
     df = contract.queries()[name](spark, SF)
+    assert python_nodes(df) == []  # everything stays in the JVM
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     rel = duck.sql(contract.oracle_sql()[name])
     d_types = dict(zip(rel.columns, map(str, rel.types)))
