@@ -75,3 +75,25 @@ def test_ntz_ordinals_ignore_the_session_time_zone(spark):
         _lookup_equals_keys(spark, values, "k timestamp_ntz")
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_driver_result_size_caps_block_tables(spark):
+    from types import SimpleNamespace
+
+    from yellowstar.operators.blocks import _size_bytes, driver_row_cap
+
+    assert _size_bytes("1g") == 1 << 30 and _size_bytes("512m") == 512 << 20
+    assert _size_bytes("2048") == 2048 and _size_bytes("64k") == 64 << 10 and _size_bytes("1gb") == 1 << 30
+
+    def session(value):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: value))
+
+    assert driver_row_cap(session("64k"), 8_000_000) == 1024
+    assert driver_row_cap(session("1g"), 8_000_000) == 8_000_000
+    assert driver_row_cap(session("0"), 8_000_000) == 8_000_000  # unlimited
+    # a table above the cap falls back instead of overflowing the driver
+    values = list(range(0, 64 * 2000, 64))  # 2000 blocks
+    keys = spark.createDataFrame([(v,) for v in values], "k long")
+    dim, _ = ranged_dense_key(keys, "k", "key")
+    assert build_block_lookup(dim, "k", "key", max_rows=1024) is None
+    assert build_block_lookup(dim, "k", "key", max_rows=4096) is not None

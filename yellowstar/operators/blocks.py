@@ -35,6 +35,32 @@ from pyspark.sql import types as T
 # Largest lookup (rows = non-empty blocks) that is broadcast; ~50 bytes a row.
 BLOCK_LOOKUP_MAX_ROWS = 8_000_000
 
+# A block-table row is 32 bytes as collected (null bits + three longs); keep
+# each broadcast within half of spark.driver.maxResultSize.
+ROW_BYTES = 32
+
+
+def _size_bytes(text: str) -> int:
+    """Spark size string ("1g", "512m", "1048576") in bytes."""
+    text = text.strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suffix in ("kb", "mb", "gb", "tb", "b"):
+        if text.endswith(suffix):
+            text = text[: -len(suffix)] + (suffix[0] if suffix != "b" else "")
+            break
+    if text and text[-1] in units:
+        return int(float(text[:-1]) * units[text[-1]])
+    return int(text)
+
+
+def driver_row_cap(spark, max_rows: int) -> int:
+    """``max_rows``, lowered so a broadcast fits half of ``spark.driver.maxResultSize``."""
+    limit = _size_bytes(spark.conf.get("spark.driver.maxResultSize", "1g"))
+    if limit <= 0:  # 0 means unlimited
+        return max_rows
+    return min(max_rows, limit // (2 * ROW_BYTES))
+
+
 BLOCK = "_ys_block"
 FIRST = "_ys_first_key"
 WORD = "_ys_word"
@@ -106,6 +132,7 @@ def block_dense_key(
     gathers.
     """
     spec = ordinal(F.col(col), values.schema[col].dataType)
+    max_rows = driver_row_cap(values.sparkSession, max_rows)
     if spec is None or max_rows <= 0:
         return None
     o, exact = spec
@@ -137,6 +164,7 @@ def build_block_lookup(dim: DataFrame, natural: str, key: str, max_rows: int = B
     over that small result.
     """
     spec = ordinal(F.col(natural), dim.schema[natural].dataType)
+    max_rows = driver_row_cap(dim.sparkSession, max_rows)
     if spec is None or max_rows <= 0:
         return None
     o, exact = spec
