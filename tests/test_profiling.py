@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from yellowstar.operators import (
+    value_lists,
     bounded_count,
     cardinality_profile,
     count_where,
@@ -69,3 +70,11 @@ def test_limit_ordered_two_level_equals_single_merge(spark):
     two = limit_ordered(df, 300, single_merge_max_rows=1000)
     assert count_nodes(two, "WindowGroupLimit") == 2 and count_nodes(single, "WindowGroupLimit") == 0
     assert [tuple(r) for r in two.collect()] == [tuple(r) for r in single.collect()]
+
+
+def test_value_lists_bounded_by_measured_cardinality(spark):
+    df = spark.createDataFrame([(1, "b", i) for i in range(50)] + [(2, None, 99), (None, "a", 7)], "x int, y string, z int")
+    got = {r["column"]: (r["n_distinct"], r["has_null"], r["values"]) for r in value_lists(df, ["x", "y", "z"], max_values=5).collect()}
+    assert got["x"] == (3, True, ["1", "2"])
+    assert got["y"] == (3, True, ["a", "b"])
+    assert got["z"] == (51, False, None)  # too many values: no list gathered

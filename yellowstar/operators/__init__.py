@@ -24,6 +24,7 @@ from .profiling import (
     schema_rows,
     table_sizes,
     value_counts,
+    value_lists,
 )
 
 __all__ = [
@@ -60,6 +61,7 @@ __all__ = [
     "table_sizes",
     "taxizone_dim",
     "value_counts",
+    "value_lists",
     "vendor_dim",
     "window_dense_key",
 ]

@@ -43,6 +43,7 @@ from ..operators import (
     stage_frames,
     table_sizes,
     value_counts,
+    value_lists,
 )
 from ..operators.dimensions import DIMENSION_BUILDERS
 from ..schemas import MONEY_COLUMNS, YELLOW_TRIPS
@@ -226,6 +227,13 @@ def cardinality(spark, sf_dir):
     return cardinality_profile(_raw(spark, sf_dir), CARDINALITY_COLUMNS)
 
 
+@query("value_lists_profile")
+def value_lists_profile(spark, sf_dir):
+    """The notebook's distinct-value listing of six columns, bounded by their
+    measured cardinality (at most 100 values per list)."""
+    return value_lists(_raw(spark, sf_dir), CARDINALITY_COLUMNS, max_values=100)
+
+
 @query("clean_trips")
 def clean(spark, sf_dir):
     return _clean(spark, sf_dir)
