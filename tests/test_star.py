@@ -181,3 +181,22 @@ def test_block_dimension_row_counts_need_no_job(star):
         assert d._rows is not None and d._rows == d.df.count()
     # the payment dimension has a null member: counted once
     assert dims["paymenttype_DIM"]._rows == 8
+
+
+def test_broadcast_decision_uses_proof_before_measurement():
+    from yellowstar.operators.dimensions import Dimension
+
+    class CountingFrame:
+        def __init__(self, n):
+            self.n, self.calls = n, 0
+
+        def count(self):
+            self.calls += 1
+            return self.n
+
+    proven = CountingFrame(5)
+    d = Dimension("d", proven, "k", "key", max_rows=6)
+    assert d.fits_broadcast(10) and proven.calls == 0  # the code-domain bound decides
+    measured = CountingFrame(50)
+    d = Dimension("d", measured, "k", "key")
+    assert not d.fits_broadcast(10) and d.fits_broadcast(50) and measured.calls == 1  # counted once
