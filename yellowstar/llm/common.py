@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +40,98 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def long_array(values) -> Column:
     """A constant ``array<bigint>`` column; folded to one literal by the optimizer."""
     return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<bigint>")
+
+
+def text_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Hand texts to Python a few hundred at a time, so that a batch of long ones fits in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+#: Characters that a task hands to numpy at once; a longer text stands alone.
+BATCH_CHARS = 2_000_000
+
+
+def batches(texts: list[str], limit: int = BATCH_CHARS) -> Iterator[slice]:
+    """Slices of about ``limit`` characters; a longer text stands alone."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > limit:
+            yield slice(begin, i)
+            begin, size = i, 0
+        size += len(t)
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
+def map_texts(docs: DataFrame, function, fields: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Apply ``function`` to lists of whole texts; null text is the empty text.
+
+    ``function(texts)`` gives the rows per text (None: one each) and a dict of
+    output columns, named and typed by ``fields``. Ids stay Arrow values, so
+    null and large ids pass unchanged.
+    """
+    rows = id_text(docs, id_col, text_col)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    text_batches(docs.sparkSession)
+
+    def run(record_batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in record_batches:
+            texts = batch.column(1).to_pylist()
+            for part in batches(texts):
+                counts, columns = function(texts[part])
+                ids = batch.column(0).slice(part.start, part.stop - part.start)
+                if counts is not None:
+                    ids = ids.take(pa.array(np.repeat(np.arange(len(ids)), counts)))
+                types = [f.type for f in schema]
+                arrays = [pa.array(values, type=t) for values, t in zip(columns.values(), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([ids, *arrays], names=["doc_id", *columns])
+
+    schema = arrow_fields(fields)
+    return rows.mapInArrow(run, f"doc_id {kind}, {fields}")
+
+
+def arrow_fields(fields: str):
+    """Arrow schema of a DDL list of simple types and arrays of them."""
+    import pyarrow as pa
+
+    plain = {
+        "int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "double": pa.float64(),
+        "boolean": pa.bool_(), "binary": pa.binary(),
+    }
+
+    def kind(name: str):
+        return pa.list_(kind(name[6:-1])) if name.startswith("array<") else plain[name]
+
+    pairs = (f.strip().split(" ", 1) for f in fields.split(","))
+    return pa.schema([(name, kind(value.strip())) for name, value in pairs])
+
+
+#: Bits of the membership filters: 2**20 words of 16 bytes, 16 MB broadcast at most.
+FILTER_BITS = 1 << 26
+
+
+def _bit(column: Column, bits: int) -> Column:
+    return F.xxhash64(column).bitwiseAND(F.lit(bits - 1))
+
+
+def bit_words(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFrame:
+    """Hashed membership bits of a column's values, as 64-bit words (at most ``bits`` / 64 rows)."""
+    at = keys.select(_bit(F.col(column), bits).alias("bit"))
+    return at.groupBy(F.shiftright("bit", 6).alias("filter_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("filter_mask")
+    )
+
+
+def in_bits(df: DataFrame, column: str, words: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows whose value may be among the keys; a row left out is certainly not.
+
+    The words are bounded by ``bits`` however many keys there are, so they are
+    broadcast; more keys mean more rows that pass, never a lost one.
+    """
+    at = df.withColumn("filter_bit", _bit(F.col(column), bits))
+    met = at.join(F.broadcast(words), F.shiftright("filter_bit", 6) == F.col("filter_word"))
+    hit = F.expr("(shiftrightunsigned(filter_mask, cast(filter_bit & 63 as int)) & 1) = 1")
+    return met.filter(hit).select(*[F.col(f"`{c}`") for c in df.columns])
