@@ -45,6 +45,11 @@ COORDINATES = ROWS * BANDS
 ROUNDS = 4
 
 
+def _uniform(h: np.ndarray) -> np.ndarray:
+    """Hashes as numbers of [0, 1)."""
+    return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
+
+
 def dart_minhash(
     hashes: np.ndarray, owners: np.ndarray, n: int, k: int = COORDINATES, weights: np.ndarray | None = None
 ) -> np.ndarray:
@@ -76,12 +81,12 @@ def dart_minhash(
             block = 4 if len(active) > 20_000 else 32
             j = thrown[active][:, None] + np.arange(1, block + 1, dtype=np.uint64)
             h = mix(elements[active][:, None] ^ (j * C2))
-            rank = last[active][:, None] + np.cumsum(-np.log1p(-(h >> np.uint64(11)) * 2.0**-53), axis=1)
+            rank = last[active][:, None] + np.cumsum(-np.log1p(-_uniform(h)), axis=1)
             last[active], thrown[active] = rank[:, -1], j[:, -1]
             ok = rank <= limit[doc[active]][:, None]
             g = mix(h ^ C1)
             if part is not None:
-                ok &= (mix(g) >> np.uint64(11)) * 2.0**-53 < part[active][:, None]
+                ok &= _uniform(mix(g)) < part[active][:, None]
             rows, _ = np.nonzero(ok)
             place = doc[active][rows] * k + (g[ok] % np.uint64(k)).astype(np.int64)
             np.minimum.at(ranks, place, rank[ok])
