@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yellowstar.llm import exact_dedup, quality_rules
+from yellowstar.llm import exact_dedup, near_dedup, packing, pii, quality_rules
 from yellowstar.llm.common import saved, table
+from yellowstar.llm.queries import vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +19,28 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json").decode())
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("pii", private),
+    ("best_fit_packing", packed),
+]
 
 #: The verdict of the quality stage rests on a 64-bit hash that SQL engines do not share.
 ORACLE_SQL = None
