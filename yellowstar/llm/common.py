@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,6 +66,18 @@ def batches(texts: list[str], limit: int = BATCH_CHARS) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: as a zip file, unless PYTHONPATH names its folder."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    context = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_package_shipped", False):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="package-"), os.path.basename(package))
+    context.addPyFile(shutil.make_archive(base, "zip", root, os.path.basename(package)))
+    context._package_shipped = True
+
+
 def map_texts(docs: DataFrame, function, fields: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Apply ``function`` to lists of whole texts; null text is the empty text.
 
@@ -73,6 +88,7 @@ def map_texts(docs: DataFrame, function, fields: str, id_col: str = "doc_id", te
     rows = id_text(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
     text_batches(docs.sparkSession)
+    ship_package(docs.sparkSession)
 
     def run(record_batches):
         import numpy as np

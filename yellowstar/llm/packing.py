@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts, saved
+from .common import map_texts, saved, ship_package
 from .word_tokens import encoder
 
 CAPACITY = 2048
@@ -213,6 +213,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             arrays = [*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "sequence_id", "offset"])
 
+    ship_package(cut.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
     return met.select(*columns, "rank").mapInArrow(place, f"{schema}, sequence_id bigint, offset bigint")
 
