@@ -141,13 +141,19 @@ def bit_words(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFram
     )
 
 
-def in_bits(df: DataFrame, column: str, words: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """Rows whose value may be among the keys; a row left out is certainly not.
+def flag_bits(df: DataFrame, column: str, words: DataFrame, flag: str, bits: int = FILTER_BITS) -> DataFrame:
+    """``df`` with a boolean ``flag``: false where the value is certainly not among the keys.
 
     The words are bounded by ``bits`` however many keys there are, so they are
-    broadcast; more keys mean more rows that pass, never a lost one.
+    broadcast; more keys mean more flagged rows, never a lost one.
     """
     at = df.withColumn("filter_bit", _bit(F.col(column), bits))
-    met = at.join(F.broadcast(words), F.shiftright("filter_bit", 6) == F.col("filter_word"))
+    met = at.join(F.broadcast(words), F.shiftright("filter_bit", 6) == F.col("filter_word"), "left")
     hit = F.expr("(shiftrightunsigned(filter_mask, cast(filter_bit & 63 as int)) & 1) = 1")
-    return met.filter(hit).select(*[F.col(f"`{c}`") for c in df.columns])
+    return met.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(hit, F.lit(False)).alias(flag))
+
+
+def in_bits(df: DataFrame, column: str, words: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows whose value may be among the keys; a row left out is certainly not."""
+    flagged = flag_bits(df, column, words, "filter_hit", bits)
+    return flagged.filter("filter_hit").drop("filter_hit")

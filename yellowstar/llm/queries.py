@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, packing, pii, quality_rules, sentencepiece_codec
+from . import exact_dedup, near_dedup, packing, pii, quality_rules, sentencepiece_codec, suffix_dedup
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def vocabulary(name: str) -> bytes:
     """A public tokenizer's file, read on the driver; it travels with the tasks."""
     import public_tokenizers
@@ -43,7 +47,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op5_sentencepiece, op7_pii, op8_best_fit_packing, op10_quality_rules)
+    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece, op7_pii, op8_best_fit_packing, op10_quality_rules)
 }
 
 ORACLE: dict[str, str] = {
