@@ -183,8 +183,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
     near = in_bits(texts, "doc_id", saved(bit_words(ids, "wanted_id"), "candidate-bits"))
-    near = near.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
-    found = shingle_sets(near).select("k1", "k2", "items")
+    # an inner join (the ids are distinct): a semi join would be moved below the filter and shuffle every text
+    near = near.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    found = shingle_sets(near.select("doc_id", "text")).select("k1", "k2", "items")
     sets = saved(found.join(wanted, ["k1", "k2"]).select("node", "items").dropDuplicates(["node"]), "candidate-sets")
 
     labels = wanted.select("node", F.col("node").alias("comp"))
