@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_text, long_array, saved
+from .weak_labels import estimate
 
 KINDS = ["email", "ip", "card", "phone"]
 BUCKETS = 1024
@@ -208,40 +209,6 @@ class Model:
     weights: list[int] = field(default_factory=lambda: [0] * BUCKETS)
 
 
-def estimate(counts: dict[tuple[int, ...], int], rounds: int = 50) -> tuple[float, list[tuple[float, float]], dict]:
-    """EM over vote patterns of one kind.
-
-    Returns the share of personal data, per labeler the probability of a right
-    vote on personal data and on other candidates (given an opinion), and the
-    posterior of each pattern.
-    """
-    labelers = len(next(iter(counts)))
-    prior, rate = 0.5, [(0.8, 0.8)] * labelers
-    post: dict[tuple[int, ...], float] = {}
-    for _ in range(rounds):
-        for pattern in counts:
-            yes, no = prior, 1 - prior
-            for v, (a, b) in zip(pattern, rate, strict=True):
-                if v:
-                    yes *= a if v > 0 else 1 - a
-                    no *= 1 - b if v > 0 else b
-            post[pattern] = yes / (yes + no)
-        total = sum(counts.values())
-        prior = min(0.99, max(0.01, sum(n * post[p] for p, n in counts.items()) / total))
-        rate = []
-        for j in range(labelers):
-            sums = [1.0, 2.0, 1.0, 2.0]  # one right and one wrong vote beforehand
-            for p, n in counts.items():
-                if p[j]:
-                    sums[0] += n * post[p] * (p[j] > 0)
-                    sums[1] += n * post[p]
-                    sums[2] += n * (1 - post[p]) * (p[j] < 0)
-                    sums[3] += n * (1 - post[p])
-            # a labeler is taken to be better than chance
-            rate.append((max(0.5, sums[0] / sums[1]), max(0.5, sums[2] / sums[3])))
-    return prior, rate, post
-
-
 def train(found: DataFrame) -> Model:
     """Fit reliabilities and classifier on every candidate (``found`` has one row each)."""
     kinds = [k for k, _, _ in _patterns()]

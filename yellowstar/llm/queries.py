@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, packing, pii, quality_rules, sentencepiece_codec, suffix_dedup
+from . import exact_dedup, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece, op7_pii, op8_best_fit_packing, op10_quality_rules)
+    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece, op6_quality_classifier, op7_pii, op8_best_fit_packing, op10_quality_rules)
 }
 
 ORACLE: dict[str, str] = {
