@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup
+from . import exact_dedup, license_scan, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup
 from .common import table
 
 
@@ -46,12 +46,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json").decode())
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece, op6_quality_classifier, op7_pii, op8_best_fit_packing, op10_quality_rules)
+    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece, op6_quality_classifier, op7_pii, op8_best_fit_packing, op9_license_scan, op10_quality_rules)
 }
 
 ORACLE: dict[str, str] = {
