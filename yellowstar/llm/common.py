@@ -157,3 +157,18 @@ def in_bits(df: DataFrame, column: str, words: DataFrame, bits: int = FILTER_BIT
     """Rows whose value may be among the keys; a row left out is certainly not."""
     flagged = flag_bits(df, column, words, "filter_hit", bits)
     return flagged.filter("filter_hit").drop("filter_hit")
+
+
+def twice_bitmap(values: DataFrame, column: str, bits: int):
+    """Bitmap (numpy bytes) of the hashed values that occur in two rows or more; ``bits`` / 8 bytes at most."""
+    import numpy as np
+
+    at = values.select(F.col(column).bitwiseAND(F.lit(bits - 1)).alias("bit"))
+    twice = at.groupBy("bit").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    words = twice.groupBy(F.shiftright("bit", 3).alias("byte")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(bit & 7 as int))")).alias("mask")
+    )
+    out = np.zeros(bits // 8, np.uint8)
+    table = words.toArrow()  # at most bits / 8 rows
+    out[table.column("byte").to_numpy()] = table.column("mask").to_numpy()
+    return out

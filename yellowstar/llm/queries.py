@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, license_scan, near_dedup, packing, pii, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup
+from . import exact_dedup, license_scan, near_dedup, packing, passage_dedup, pii, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup
 from .common import table
 
 
+def op1_compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece, op6_quality_classifier, op7_pii, op8_best_fit_packing, op9_license_scan, op10_quality_rules)
+    f.__name__: f for f in (op1_compact_window_passages, op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece, op6_quality_classifier, op7_pii, op8_best_fit_packing, op9_license_scan, op10_quality_rules)
 }
 
 ORACLE: dict[str, str] = {

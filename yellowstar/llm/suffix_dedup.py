@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import POWERS, ranges
-from .common import bit_words, flag_bits, id_text, map_texts, saved, ship_package
+from .common import bit_words, flag_bits, id_text, map_texts, saved, ship_package, twice_bitmap
 from .shingles import mix
 
 WINDOW = 200
@@ -180,8 +180,8 @@ def _sorted_bucket(batches):
         yield solve(waiting)
 
 
-def _leading_bits(docs: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarray, int]:
-    """Bits of the leading hashes that occur twice or more in the corpus, and their number."""
+def _leading_bits(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
+    """Bits of the leading hashes that occur twice or more in the corpus."""
 
     def run(texts):
         _, _, owner, _, _, _, h = anchors([t.encode() for t in texts])
@@ -189,16 +189,7 @@ def _leading_bits(docs: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarr
         return None, {"heads": np.split(h.view(np.int64), np.cumsum(count)[:-1])}
 
     heads = map_texts(docs, run, "heads array<bigint>", id_col, text_col).select(F.explode("heads").alias("head"))
-    twice = heads.groupBy(F.col("head").bitwiseAND(F.lit(MAX_BITS - 1)).alias("bit")).agg(F.count(F.lit(1)).alias("n"))
-    words = (
-        twice.filter("n >= 2")
-        .groupBy(F.shiftright("bit", 3).alias("byte"))
-        .agg(F.bit_or(F.expr("shiftleft(1, cast(bit & 7 as int))")).alias("mask"))
-    )
-    bits = np.zeros(MAX_BITS // 8, np.uint8)
-    table = words.toArrow()  # at most MAX_BITS / 8 rows
-    bits[table.column("byte").to_numpy()] = table.column("mask").to_numpy()
-    return bits, MAX_BITS
+    return twice_bitmap(heads, "head", MAX_BITS)
 
 
 def _records(docs: DataFrame, bits, id_col: str, text_col: str) -> DataFrame:
@@ -263,8 +254,7 @@ def _hot_windows(hot: DataFrame) -> DataFrame:
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """``sha`` (SHA-256 of a text) and ``ranges`` (repeated byte ranges, unmerged) of texts that have any."""
     spark = docs.sparkSession
-    filled, _ = _leading_bits(docs, id_col, text_col)
-    bits = spark.sparkContext.broadcast(filled)
+    bits = spark.sparkContext.broadcast(_leading_bits(docs, id_col, text_col))
     table = saved(_records(docs, bits, id_col, text_col), "suffix-records")
     fresh = table.select(F.explode(F.arrays_zip("fresh", "lefts", "records")).alias("x")).select(
         F.col("x.fresh").alias("key"),
