@@ -16,8 +16,8 @@ are candidates (a pair of similarity 0.8 shares no band with probability
 3e-5, one of 0.9 with 2e-14).
 
 Groups are never expanded into pairs. Equal sets are one node. In each bucket
-every member is compared with one centre; further rounds, with other centres,
-compare only members whose component still differs from the centre's. A last
+every member is compared with one centre; a further round, with a few other
+centres, compares only members whose component still differs from the centre's. A last
 step takes the members of buckets that still hold several components and
 compares those of different components that share a rare shingle, by the
 prefix rule that no similar pair escapes. All comparisons are exact, on whole
@@ -43,8 +43,8 @@ from .shingles import C1, C2, distinct, mix, shingles
 ROWS = 8
 BANDS = 56
 COORDINATES = ROWS * BANDS
-#: Rounds with one centre per bucket before the prefix rule.
-ROUNDS = 2
+#: Centres per bucket in each round before the prefix rule.
+CENTRES = (1, 5)
 
 
 def _uniform(h: np.ndarray) -> np.ndarray:
@@ -192,18 +192,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     labels = wanted.select("node", F.col("node").alias("comp"))
     links, tested = None, None
-    for turn in range(ROUNDS + 1):
+    for centres in (*CENTRES, 0):
         at = members.join(labels, "node")
-        order = F.col("node") if turn == 0 else F.xxhash64(F.lit(turn), F.col("node"))
+        # the first round's centre is the least node, so that buckets of a class share it
+        orders = [F.xxhash64(F.lit(k), F.col("node")) for k in range(1, centres)] + [F.col("node")]
         centre = at.groupBy(F.col("key").alias("k")).agg(
-            F.min(F.struct(order.alias("o"), "node", "comp", "n")).alias("c"),
+            F.array(*[F.min(F.struct(o.alias("o"), "node", "comp", "n")) for o in orders]).alias("c"),
             F.min("comp").alias("low"),
             F.max("comp").alias("high"),
         )
-        mixed = centre.filter("low <> high")
-        met = at.join(mixed, F.col("key") == F.col("k"))
-        if turn < ROUNDS:
-            met = met.filter((F.col("comp") != F.col("c.comp")) & _similar_sizes(F.col("n"), F.col("c.n")))
+        met = at.join(centre.filter("low <> high"), F.col("key") == F.col("k"))
+        if centres:
+            met = met.withColumn("c", F.explode("c")).filter(
+                (F.col("comp") != F.col("c.comp")) & _similar_sizes(F.col("n"), F.col("c.n"))
+            )
             pairs = met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
         else:
             open_ = saved(met.select("node", "comp", "n").distinct(), "open-members")
@@ -241,12 +243,25 @@ def _prefix_pairs(members: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("node").orderBy("often", "item"))
     first = ranked.withColumn("place", place).filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)
     # an element that one component alone has joins nothing
-    first = saved(first.filter("low <> high").select("node", "comp", "n", "item"), "member-prefixes")
-    other = first.select("item", F.col("node").alias("b"), F.col("comp").alias("other"), F.col("n").alias("m"))
-    met = first.join(other, "item").filter(
-        (F.col("node") < F.col("b")) & (F.col("comp") != F.col("other")) & _similar_sizes(F.col("n"), F.col("m"))
+    first = saved(first.filter("low <> high").select("node", "comp", "n", "item", "place", "often"), "member-prefixes")
+    whole = first.groupBy(F.col("node").alias("w")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("often", "item"))), lambda x: x["item"]).alias("prefix")
     )
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    first = saved(first.join(whole, F.col("node") == F.col("w")).drop("w", "often"), "member-prefixes")
+    other = first.select("item", *[F.col(c).alias(f"{c}2") for c in ("node", "comp", "n", "place", "prefix")])
+    both = F.col("n") + F.col("n2")
+    reach = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) + 1
+    met = first.join(
+        other.withColumnRenamed("item", "item2"),
+        (F.col("item") == F.col("item2"))
+        & (F.col("node") < F.col("node2"))
+        & (F.col("comp") != F.col("comp2"))
+        & _similar_sizes(F.col("n"), F.col("n2"))
+        # what can follow the first common element must suffice, and a pair counts once, there
+        & (reach * 9 >= both * 4)
+        & (F.get(F.array_intersect("prefix", "prefix2"), F.lit(0)) == F.col("item")),
+    )
+    return met.select(F.col("node").alias("a"), F.col("node2").alias("b"))
 
 
 def _per_document(sketch: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:

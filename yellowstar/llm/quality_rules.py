@@ -4,7 +4,7 @@ Base rules count words, symbols, repeated lines and repeated three-word
 windows. The method compares two multinomials over hashed n-grams (single
 words and neighbouring pairs): one estimated from trusted target documents, one
 from the whole raw corpus. A document's score is the mean over its n-grams of
-``ln p_target - ln p_raw``, add-one smoothed; a document is kept when the base
+``ln p_target - ln p_raw``, the target smoothed towards the raw corpus; a document is kept when the base
 rules pass and the score reaches a fixed threshold.
 
 Log ratios are rounded to millionths and summed as integers, so the verdict
@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from .common import id_text, long_array
 
 BUCKETS = 1 << 14
+#: Weight of the raw distribution in the target, in n-grams.
+PRIOR = 1 << 20
 MAX_TRUSTED = 20_000
 #: Mean log ratio, in millionths, that a document must reach.
-THRESHOLD = -50_000
+THRESHOLD = -30_000
 SYMBOLS = "#*$%&|<>"
 
 
@@ -159,12 +161,14 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> l
     pair = F.xxhash64(single, F.coalesce(F.when(nxt.isNotNull(), F.xxhash64(nxt)), F.lit(0).cast("bigint")))
     grams = at.select("good", F.explode(F.array(_bucket(single, buckets), _bucket(pair, buckets))).alias("b"))
     counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target")).collect()
-    raw, target = [1] * buckets, [1] * buckets
+    raw, target = [1] * buckets, [0] * buckets
     for row in counts:  # at most ``buckets`` rows
         raw[row["b"]] += row["raw"]
         target[row["b"]] += row["target"]
+    # the target is smoothed towards the raw corpus: little evidence leaves a ratio near one
     all_raw, all_target = sum(raw), sum(target)
-    return [round(1e6 * math.log(t * all_raw / (r * all_target))) for r, t in zip(raw, target, strict=True)]
+    smooth = [(t + PRIOR * r / all_raw) / (all_target + PRIOR) for r, t in zip(raw, target, strict=True)]
+    return [round(1e6 * math.log(p * all_raw / r)) for r, p in zip(raw, smooth, strict=True)]
 
 
 def judge(
