@@ -312,16 +312,17 @@ def _base_of(k: int):
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with personal data in the text replaced by ``<EMAIL>``, ``<IP>``, ``<CARD>``, ``<PHONE>``.
 
-    Kind after kind, base matches first; every match is judged in the text that is left.
+    The base spans of all kinds go first; the classifier judges what matches in the text that is left.
     """
     found = candidates(_rows(docs, id_col, text_col)).select(F.explode("found").alias("x"))
     model = train(saved(found.select("x.pattern", "x.votes", "x.features"), "candidates"))
     names = {"text": "redact_text", "gaps": "redact_gaps", "hits": "redact_hits"}
     out = docs.withColumn(names["text"], F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    for kind, base, pattern in _patterns():
+    passes = [(p, None) for p in _patterns() if p[1]] + [(p, model) for p in _patterns()]
+    for (kind, base, pattern), judge in passes:
         gaps, hits = _matches(F.col(names["text"]), pattern, NEEDS.get((kind, base)))
         out = out.withColumns({names["gaps"]: gaps, names["hits"]: hits})
-        out = out.withColumn(names["text"], _replaced(kind, base, model, names))
+        out = out.withColumn(names["text"], _replaced(kind, base, judge, names))
     return out.select(
         *[
             F.when(docs[c].isNotNull(), F.col(names["text"])).alias(c) if c == text_col else docs[c]
@@ -330,15 +331,18 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-def _replaced(kind: str, base: bool, model: Model, names: dict[str, str]) -> Column:
-    """The gaps joined again, accepted matches between them replaced."""
+def _replaced(kind: str, base: bool, model: Model | None, names: dict[str, str]) -> Column:
+    """The gaps joined again; between them the matches, replaced if valid (no model) or accepted by the model."""
     gaps, hits = F.col(names["gaps"]), F.col(names["hits"])
     mark = F.lit(f"<{kind.upper()}>")
 
     def one(gap: Column, i: Column) -> Column:
         m = F.get(hits, i)
-        judged = accepted(model, kind, features(kind, base, m, _tail(gap), F.substring(F.get(gaps, i + 1), 1, 8)))
-        take = valid(kind, m) | judged if base else judged
+        if model is None:
+            take = valid(kind, m)
+        else:
+            right = F.substring(F.get(gaps, i + 1), 1, 8)
+            take = accepted(model, kind, features(kind, base, m, _tail(gap), right))
         return F.concat(gap, F.when(m.isNull(), "").when(take, mark).otherwise(m))
 
     return F.when(F.size(hits) == 0, F.col(names["text"])).otherwise(F.array_join(F.transform(gaps, one), ""))
