@@ -34,7 +34,7 @@ def test_run_pipeline_from_directory(spark, trips_small, tmp_dir):
     keys = list(scale_conf(1, 1))
     before = {k: spark.conf.get(k, None) for k in keys}
     try:
-        run_pipeline(spark, f"{tmp_dir}/src", out, sample_rows=None, auto_size=True)
+        run_pipeline(spark, f"{tmp_dir}/src", out, auto_size=True)
         # a tiny input: two partitions per core
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(2 * spark.sparkContext.defaultParallelism)
     finally:
@@ -117,3 +117,25 @@ def build_star_fact(spark, trips):
     from yellowstar.pipeline import build_star
 
     return build_star(trips).fact
+
+
+def test_incremental_stream_with_its_own_checkpoint(spark, trips_small, tmp_dir):
+    landing, out = f"{tmp_dir}/landing2", f"{tmp_dir}/clean2"
+    rows = conform(trips_small, YELLOW_TRIPS)
+    rows.filter(F.col("vendorid") == 1).coalesce(1).write.parquet(landing, mode="append")
+    land_clean_trips(spark, landing, out)
+    rows.filter(F.col("vendorid") != 1).coalesce(1).write.parquet(landing, mode="append")
+    land_clean_trips(spark, landing, out)
+    assert spark.read.parquet(out).count() == 3038
+
+
+def test_files_of_any_name_are_read(spark, trips_small, tmp_dir):
+    import glob
+    import shutil
+
+    from yellowstar.sources import list_data_files
+
+    trips_small.coalesce(1).write.parquet(f"{tmp_dir}/named")
+    part = glob.glob(f"{tmp_dir}/named/part-*.parquet")[0]
+    shutil.copy(part, f"{tmp_dir}/named/month.parq")
+    assert any(p.endswith("month.parq") for p in list_data_files(spark, f"{tmp_dir}/named"))

@@ -72,9 +72,9 @@ def test_limit_ordered_two_level_equals_single_merge(spark):
     assert [tuple(r) for r in two.collect()] == [tuple(r) for r in single.collect()]
 
 
-def test_value_lists_bounded_by_measured_cardinality(spark):
-    df = spark.createDataFrame([(1, "b", i) for i in range(50)] + [(2, None, 99), (None, "a", 7)], "x int, y string, z int")
-    got = {r["column"]: (r["n_distinct"], r["has_null"], r["values"]) for r in value_lists(df, ["x", "y", "z"], max_values=5).collect()}
-    assert got["x"] == (3, True, ["1", "2"])
-    assert got["y"] == (3, True, ["a", "b"])
-    assert got["z"] == (51, False, None)  # too many values: no list gathered
+def test_value_lists_are_whole(spark):
+    df = spark.createDataFrame([(1, "b", i) for i in range(1000)] + [(2, None, 7), (None, "a", 7)], "x int, y string, z int")
+    got = {(r["column"], r["value"]): r["rows"] for r in value_lists(df, ["x", "y", "z"]).collect()}
+    assert (got["x", "1"], got["x", "2"], got["x", None]) == (1000, 1, 1)
+    assert (got["y", "b"], got["y", "a"], got["y", None]) == (1000, 1, 1)
+    assert sum(c == "z" for c, _ in got) == 1000 and got["z", "7"] == 3

@@ -54,28 +54,17 @@ def cardinality_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def value_lists(df: DataFrame, cols: list[str], max_values: int = 100) -> DataFrame:
-    """Sorted distinct values (as strings) of each low-cardinality column.
-
-    Output ``(column, n_distinct, has_null, values)``. The cardinality is
-    measured first (one aggregate, one row per column); values are gathered
-    only for columns with at most ``max_values`` distinct values, so no
-    group ever grows with the data. Larger columns get a null list. Nulls
-    are reported by ``has_null``, not inside the list.
+def value_lists(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Every distinct value (as a string) of each column with its row count.
+
+    Output ``(column, value, rows)``, one row per value, null included. One
+    scan and one partial aggregate; no list is gathered, so columns of any
+    cardinality are listed whole.
     """
-    profile = cardinality_profile(df, cols)
-    sizes = {r["column"]: r["n_distinct"] for r in profile.collect()}  # one row per column
-    small = [c for c in cols if sizes[c] <= max_values]
-    lists = None
-    if small:
-        pairs = F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in small])
-        )
-        distinct = df.select(pairs.alias("p")).select("p.*").filter(F.col("value").isNotNull()).distinct()
-        lists = distinct.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("values"))
-    if lists is None:
-        return profile.withColumn("values", F.lit(None).cast("array<string>"))
-    return profile.join(F.broadcast(lists), "column", "left").select("column", "n_distinct", "has_null", "values")
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    )
+    return df.select(pairs.alias("p")).groupBy("p.column", "p.value").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def schema_rows(df: DataFrame) -> DataFrame:

@@ -29,7 +29,6 @@ from .operators.cleaning import clean_trips
 from .operators.dimensions import Dimension, build_dimensions
 from .operators.blocks import BLOCK_LOOKUP_MAX_ROWS
 from .operators.facts import BROADCAST_MAX_ROWS, PICKUP_MONTH, build_fact
-from .operators.limits import limit_ordered
 from .schemas import FACT_TABLE, YELLOW_TRIPS
 from .session import scale_conf
 from .sinks.writers import write_jdbc, write_parquet, write_star
@@ -92,7 +91,7 @@ def jdbc_sink(url: str, **options) -> Sink:
     return write
 
 
-def input_bytes(spark: SparkSession, source: str | list[str], glob: str = "*.parquet") -> int:
+def input_bytes(spark: SparkSession, source: str | list[str], glob: str = "*") -> int:
     """Total size of the source files, from the file listing only (no data read)."""
     paths = [source] if isinstance(source, str) else source
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(*paths)
@@ -116,8 +115,6 @@ def run_pipeline(
     source: str | list[str] | DataFrame,
     sink: Sink | str,
     schema: T.StructType = YELLOW_TRIPS,
-    max_files: int | None = None,
-    sample_rows: int | None = None,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_MAX_ROWS,
     strict: bool = False,
@@ -128,8 +125,8 @@ def run_pipeline(
     """Load, clean, model and write the six tables (K3).
 
     ``source`` is a directory, a file list, or an already loaded frame.
-    ``sample_rows`` reproduces the reference's row cap, but over a total
-    order so that reruns keep the same rows; it is off by default.
+    All of its rows are read; to cap them, pass a frame made with
+    ``limit_ordered`` or ``load_trips(max_files=...)``.
     ``auto_size`` sets the shuffle partition count from the input's bytes.
     ``partition_by_month`` writes the fact table (parquet sink) partitioned
     by ``pickup_month`` so readers of a month range prune whole folders.
@@ -138,9 +135,7 @@ def run_pipeline(
     """
     if auto_size and not isinstance(source, DataFrame):
         size_shuffles(spark, source)
-    raw = source if isinstance(source, DataFrame) else load_trips(spark, source, schema, max_files)
-    if sample_rows is not None:
-        raw = limit_ordered(raw, sample_rows)
+    raw = source if isinstance(source, DataFrame) else load_trips(spark, source, schema)
     star = build_star(
         raw, how=how, broadcast_rows=broadcast_rows, strict=strict, with_pickup_month=partition_by_month, **star_options
     )
@@ -173,8 +168,6 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Build the trip star schema.")
     parser.add_argument("--source", required=True, help="directory (or glob) of monthly trip parquet files")
     parser.add_argument("--sink", required=True, help="output base path for the six parquet tables")
-    parser.add_argument("--max-files", type=int, default=None)
-    parser.add_argument("--sample-rows", type=int, default=None)
     parser.add_argument("--broadcast-rows", type=int, default=BROADCAST_MAX_ROWS)
     parser.add_argument("--strict", action="store_true", help="fail on unknown code values")
     parser.add_argument("--partition-by-month", action="store_true", help="partition the fact table by pickup month")
@@ -184,8 +177,6 @@ def main(argv: list[str] | None = None) -> None:
         spark,
         args.source,
         args.sink,
-        max_files=args.max_files,
-        sample_rows=args.sample_rows,
         broadcast_rows=args.broadcast_rows,
         strict=args.strict,
         auto_size=True,

@@ -229,9 +229,8 @@ def cardinality(spark, sf_dir):
 
 @query("value_lists_profile")
 def value_lists_profile(spark, sf_dir):
-    """The notebook's distinct-value listing of six columns, bounded by their
-    measured cardinality (at most 100 values per list)."""
-    return value_lists(_raw(spark, sf_dir), CARDINALITY_COLUMNS, max_values=100)
+    """The notebook's distinct-value listing of six columns, and of one with thousands of values."""
+    return value_lists(_raw(spark, sf_dir), [*CARDINALITY_COLUMNS, "pulocationid"])
 
 
 @query("clean_trips")

@@ -281,12 +281,9 @@ ORACLE["dense_key_blocks"] = (
     "SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey ASC NULLS LAST) - 1 AS order_key "
     "FROM (SELECT DISTINCT l_orderkey FROM lineitem)"
 )
-_lists = " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", list(DISTINCT CAST({c} AS VARCHAR) ORDER BY CAST({c} AS VARCHAR)) "
-    f"FILTER (WHERE {c} IS NOT NULL) AS \"values\" FROM raw"
-    for c in _CARD_COLS
-)
 ORACLE["value_lists_profile"] = with_ctes(
-    f"SELECT c.\"column\", c.n_distinct, c.has_null, v.\"values\" FROM ({_cardinality}) c "
-    f"LEFT JOIN ({_lists}) v ON c.\"column\" = v.\"column\""
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS rows FROM raw GROUP BY 2"
+        for c in [*_CARD_COLS, "pulocationid"]
+    )
 )

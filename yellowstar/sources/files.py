@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from ..schemas import YELLOW_TRIPS
 
 
-def list_data_files(spark: SparkSession, directory: str, glob: str = "*.parquet") -> list[str]:
-    """Data files of a directory, sorted by path (A1).
+def list_data_files(spark: SparkSession, directory: str, glob: str = "*") -> list[str]:
+    """Data files of a directory, sorted by path (A1); every file that is not hidden, whatever its name.
 
     Spark's file index does the listing (hidden ``.``/``_`` files are
     skipped, as the reference skips dot files); the binary-file source is

@@ -61,6 +61,6 @@ def trips_fixture(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None =
     if lineitem is None:
         lineitem = spark.read.schema(LINEITEM_COLUMNS).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDERS_COLUMNS).parquet(f"{sf_dir}/orders.parquet")
-    # Both sides are fact-sized at scale: shuffle both on the order key.
-    joined = lineitem.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    # Both sides are fact-sized at scale; the planner chooses, and a sort-merge join can spill.
+    joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     return joined.select(*[F.expr(expr).alias(name) for name, expr in TRIPS_COLUMNS])

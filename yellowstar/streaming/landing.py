@@ -22,7 +22,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cleaning import clean_trips
 from ..schemas import YELLOW_TRIPS
-from ..session import scratch_path
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -33,16 +32,22 @@ def landed_files_stream(
     spark: SparkSession,
     landing_dir: str,
     schema: T.StructType = YELLOW_TRIPS,
-    glob: str = "*.parquet",
+    glob: str = "*",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Stream of rows from parquet files as they land (names matched case-insensitively)."""
+    """Stream of rows from parquet files as they land, whatever their names
+    (hidden files aside); column names are matched case-insensitively."""
     reader = spark.readStream.schema(_nullable(schema)).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(landing_dir)
 
 
+def default_checkpoint(output_path: str) -> str:
+    """Checkpoint folder that belongs to an output table: its sibling of the same name."""
+    return f"{output_path.rstrip('/')}__checkpoint"
+
+
 def start_clean_stream(
     raw_stream: DataFrame,
     output_path: str,
@@ -51,9 +56,12 @@ def start_clean_stream(
     transform: Callable[[DataFrame], DataFrame] = clean_trips,
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
-    """Append ``transform(raw_stream)`` to a parquet table; returns the running query."""
-    spark = raw_stream.sparkSession
-    checkpoint_location = checkpoint_location or scratch_path(spark, "clean-stream-checkpoint")
+    """Append ``transform(raw_stream)`` to a parquet table; returns the running query.
+
+    Without ``checkpoint_location`` the checkpoint lies beside the output, so
+    that the next run into the same table goes on where this one ended.
+    """
+    checkpoint_location = checkpoint_location or default_checkpoint(output_path)
     writer = (
         transform(raw_stream)
         .writeStream.format("parquet")
