@@ -129,12 +129,17 @@ def plan_sequences(demand: np.ndarray, capacity: int = CAPACITY) -> list[tuple[t
         left[capacity] = 0
     fractional = solve_configurations(left, capacity)
     for config, amount in sorted(fractional.items(), key=lambda x: (-sum(x[0]), -x[1], x[0])):
+        if sum(config) < capacity:
+            break  # rounding keeps full sequences; what others held is packed with the rest
         kinds, counts = np.unique(config, return_counts=True)
         times = min(int(amount), int((left[kinds] // counts).min()))
         if times > 0:
             plan.append((config, times))
             left[kinds] -= times * counts
-    return plan + _best_fit_rest(left, capacity)
+    plan += _best_fit_rest(left, capacity)
+    # the rounded program is nearly always the better plan, but never let it be the worse one
+    plain = _best_fit_rest(demand.astype(np.int64), capacity)
+    return min(plan, plain, key=lambda groups: sum(times for _, times in groups))
 
 
 def _best_fit_rest(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:

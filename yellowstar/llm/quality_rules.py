@@ -194,10 +194,12 @@ def _judged(rows: DataFrame, ratios: list[int], threshold: int) -> DataFrame:
     counted = base_counts(with_word_hashes(rows))
     scored = counted.withColumn("total", F.aggregate(gains, F.lit(0).cast("bigint"), lambda n, x: n + x))
     grams = F.col("n_words") * 2
+    # the row number, always at least 0, keeps the optimizer from copying the whole verdict into a filter below
+    once = F.monotonically_increasing_id() >= 0
     return scored.select(
         *[c for c in counted.columns if c != "hs"],
         (F.col("total") / F.greatest(grams, F.lit(1)) / 1e6).alias("score"),
-        (~F.col("base_failed") & (F.col("total") >= grams * threshold)).alias("kept"),
+        (~F.col("base_failed") & (F.col("total") >= grams * threshold) & once).alias("kept"),
     )
 
 
@@ -216,7 +218,4 @@ def keep_good(
         F.struct(*[docs[c] for c in docs.columns]).alias("doc_id"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
     )
-    # the row number, always at least 0, keeps the optimizer from copying the whole verdict below the projections
-    once = F.monotonically_increasing_id() >= 0
-    judged = _judged(packed, ratios, threshold).select("doc_id", (F.col("kept") & once).alias("kept"))
-    return judged.filter("kept").select("doc_id.*")
+    return _judged(packed, ratios, threshold).filter("kept").select("doc_id.*")
