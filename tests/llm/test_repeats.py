@@ -60,6 +60,22 @@ def test_shared_passages_are_found(spark, docs):
     assert (clean["n_links"], clean["class_id"], clean["spans"]) == (0, 9, "")
 
 
+def test_passages_adjacent_in_one_text_only_are_found_from_both_sides():
+    def words(tag, n):
+        return [f"{tag}{k}" for k in range(n)]
+
+    def edited(passage):
+        return passage[:40] + ["edit"] + passage[41:]
+
+    p, q = words("p", 80), words("q", 80)
+    near = words("a", 30) + p + q + words("b", 30)
+    apart = words("c", 30) + edited(p) + words("d", 150) + edited(q) + words("e", 30)
+    x, y = (passage_dedup.shingles([" ".join(w)], 5)[0] for w in (near, apart))
+    want = {(30, 105, 30, 105), (110, 185, 260, 335)}
+    assert set(passage_dedup.similar_passages(x, y)) == want
+    assert set(passage_dedup.similar_passages(y, x)) == {(c, d, a, b) for a, b, c, d in want}
+
+
 def test_windows_are_the_nodes_of_the_cartesian_tree():
     rng = np.random.default_rng(5)
     h = rng.integers(0, 40, 300).astype(np.uint64)  # with ties
