@@ -62,6 +62,30 @@ def test_one_row_of_a_class_stays(docs):
     assert out.count() == len(_classes(docs.collect()))
 
 
+def test_rows_that_share_an_id_or_have_none_go_by_their_own_text(spark):
+    def text(tag):
+        return [f"{tag}{k}" for k in range(100)]
+
+    def near(words):
+        return " ".join([*words[:50], "edit", *words[51:]])
+
+    one, two = text("one"), text("two")
+    rows = [
+        (1, " ".join(one)),
+        (None, near(one)),
+        (None, "a text of its own " + " ".join(text("x"))),
+        (None, "another text " + " ".join(text("y"))),
+        (None, None),
+        (2, " ".join(two)),
+        (3, near(two)),
+        (3, " ".join(text("three"))),
+        (3, " ".join(text("three"))),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((tuple(r) for r in near_dedup.keep_one(docs).collect()), key=str)
+    assert got == sorted((r for i, r in enumerate(rows) if i not in (1, 6, 8)), key=str)
+
+
 def test_empty(empty):
     assert near_dedup.classes(empty).count() == 0
 

@@ -288,17 +288,26 @@ def _per_document(sketch: DataFrame, nodes: DataFrame, labels: DataFrame) -> Dat
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stays: one per class, with all columns.
+    """The rows of ``docs`` that stay: one per class, with all columns.
 
-    Of repeated ids one row stays if the id's document does.
+    The decision is keyed by id and text, so rows that share an id, or have
+    none, are judged each by its own text; of rows equal in both, one stays if
+    one is kept.
     """
-    gone = classes(docs, id_col, text_col).groupBy("doc_id").agg(
+
+    def key(df: DataFrame) -> Column:
+        text = F.coalesce(df[text_col].cast("string"), F.lit(""))
+        # a struct's order puts null first; rows with an id come before those without
+        return F.struct(df[id_col].isNull().alias("no_id"), df[id_col].alias("id"), F.unhex(F.sha2(text, 256)).alias("sha"))
+
+    keyed = docs.select(key(docs).alias("doc_id"), docs[text_col].alias("text"))
+    gone = classes(keyed).groupBy("doc_id").agg(
         F.sum(F.col("kept").cast("bigint")).alias("stay"), F.count(F.lit(1)).alias("rows")
     )
-    gone = saved(gone.filter("stay < rows").select(F.col("doc_id").alias("gone_id"), "stay"), "gone")
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), docs[id_col].alias("key"))
-    met = whole.join(gone, F.col("key").eqNullSafe(F.col("gone_id")), "left")
+    gone = saved(gone.filter("stay < rows").select(F.col("doc_id").alias("gone_key"), "stay"), "gone")
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), key(docs).alias("key"))
+    met = whole.join(gone, F.col("key").eqNullSafe(F.col("gone_key")), "left")
     kept = met.filter("stay is null").select("whole.*")
-    # repeated ids of which some rows stay: one row per distinct text
+    # rows equal in id and text of which one stays
     ties = met.filter("stay > 0").dropDuplicates(["key"]).select("whole.*")
     return kept.union(ties)
