@@ -1,8 +1,10 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from yellowstar.llm import passage_dedup, suffix_dedup
 
@@ -60,6 +62,36 @@ def test_shared_passages_are_found(spark, docs):
     assert (clean["n_links"], clean["class_id"], clean["spans"]) == (0, 9, "")
 
 
+def test_links_equal_brute_force_on_random_excerpts(spark):
+    rng = random.Random(11)
+    rows, excerpts = [], []
+    for s in range(2):
+        source = [f"s{s}w{k}" for k in range(300)]
+        for k in range(60):
+            at, size = rng.randrange(220), rng.randrange(55, 81)
+            part = source[at : at + size]
+            words = [f"h{s}x{k}y{i}" for i in range(30)] + part + [f"t{s}x{k}y{i}" for i in range(30)]
+            rows.append((None if k % 10 == 0 else s * 100 + k, " ".join(words)))
+            excerpts.append((s, at, at + len(part)))
+    n = len(rows)
+    near = [
+        [j for j in range(n) if j != i and excerpts[i][0] == excerpts[j][0]
+         and min(excerpts[i][2], excerpts[j][2]) - max(excerpts[i][1], excerpts[j][1]) >= 50]
+        for i in range(n)
+    ]
+    label = list(range(n))
+    for _ in range(n):
+        label = [min([label[i], *[label[j] for j in near[i]]]) for i in range(n)]
+    least = {k: min([rows[i][0] for i in range(n) if label[i] == k and rows[i][0] is not None], default=None) for k in label}
+    want = Counter((rows[i][0], least[label[i]], len(near[i])) for i in range(n))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for cell in (passage_dedup.CELL, 7):  # whole groups, and groups dealt into cells
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(passage_dedup, "CELL", cell)
+            got = passage_dedup.repeated_passages(docs).collect()
+        assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == want
+
+
 def test_passages_adjacent_in_one_text_only_are_found_from_both_sides():
     def words(tag, n):
         return [f"{tag}{k}" for k in range(n)]
