@@ -3,6 +3,8 @@ from collections import Counter
 
 from yellowstar.llm import quality_rules as q
 
+from .conftest import prose
+
 
 def _expected(text):
     text = text or ""
@@ -42,6 +44,24 @@ def test_junk_scores_below_prose(spark):
     assert share[1] > 0.99 and share[0] < 0.5
 
 
+def test_junk_is_rejected_on_small_inputs_too(spark):
+    from pyspark.sql import functions as F
+
+    good = [(k, prose(50 + k, 100)) for k in range(40)]
+    junk = [(100 + k, " ".join(f"zq{(k * 31 + i * 7) % 97}" for i in range(90))) for k in range(10)]
+    docs = spark.createDataFrame(good + junk, "doc_id bigint, text string")
+    for copies in (1, 20):  # the verdict does not depend on the size of the input
+        every = docs.crossJoin(spark.range(copies)).select((F.col("doc_id") + 1000 * F.col("id")).alias("doc_id"), "text")
+        labels = every.filter("doc_id % 1000 < 100").select("doc_id", F.lit(1).alias("quality"))
+        kept = [r["doc_id"] % 1000 for r in q.judge(every, labels).filter("kept").collect()]
+        assert sorted(kept) == sorted(list(range(40)) * copies)
+
+
+def test_every_trusted_row_counts(spark):
+    labels = spark.range(20_500).selectExpr("id as doc_id", "1 as quality")
+    assert q.trusted_ids(labels).count() == 20_500
+
+
 def test_kept_rows_keep_their_columns(docs, labels):
     out = q.keep_good(docs, labels)
     assert out.columns == docs.columns

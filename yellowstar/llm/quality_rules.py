@@ -10,15 +10,20 @@ rules pass and the score reaches a fixed threshold.
 Log ratios are rounded to millionths and summed as integers, so the verdict
 does not depend on the order of the sums, on partitions or on machines.
 
-Bounds: the tables have ``BUCKETS`` rows whatever the corpus. The trusted rows
-may be fitted on a bounded sample (``max_trusted`` rows of smallest id hash,
-the documented bound); the raw multinomial counts every document.
+The smoothing grows with the target (the raw distribution weighs ``SHARE`` times
+the target's n-grams), so an n-gram that no trusted document holds scores the
+same whatever the size of the input. What a trusted n-gram loses on average when
+it is left out itself is given back to all, so that few trusted documents don't
+reject unseen ones of their kind.
+
+Bounds: the tables have ``BUCKETS`` rows whatever the corpus. Both multinomials
+count every document of theirs (``max_trusted``, if given, takes the trusted
+rows of smallest id hash); only texts of trusted documents shuffle.
 
 Only DataFrame functions, no Python on the executors.
 
 Defined cases: null text has no words and fails; so does any text under 50
-words. Without trusted rows all ratios are equal up to smoothing and only the
-base rules decide. An empty table gives an empty result.
+words. Without trusted rows all ratios are zero and only the base rules decide. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,12 +33,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, long_array
+from .common import bit_words, id_text, in_bits, long_array
 
 BUCKETS = 1 << 14
-#: Weight of the raw distribution in the target, in n-grams.
-PRIOR = 1 << 20
-MAX_TRUSTED = 20_000
+#: Weight of the raw distribution in the target, as a share of the target's n-grams.
+SHARE = 1.0
 #: Mean log ratio, in millionths, that a document must reach.
 THRESHOLD = -30_000
 SYMBOLS = "#*$%&|<>"
@@ -144,31 +148,45 @@ def _pair(hashes: Column, h: Column, i: Column) -> Column:
     return F.xxhash64(h, F.coalesce(F.get(hashes, i + 1), F.lit(0).cast("bigint")))
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """Ids labelled good: at most ``max_trusted``, those of smallest id hash."""
+def trusted_ids(labels: DataFrame, max_trusted: int | None = None) -> DataFrame:
+    """Ids labelled good: all, or at most ``max_trusted``, those of smallest id hash."""
     good = labels.filter("quality = 1").select(labels["doc_id"].alias("trusted_id")).dropna().distinct()
-    return good.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(max_trusted)
+    return good if max_trusted is None else good.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(max_trusted)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int]:
-    """Log ratio per bucket in millionths; ``docs`` has doc_id and text, ``trusted`` is bounded."""
-    marked = docs.join(F.broadcast(trusted), docs["doc_id"] == trusted["trusted_id"], "left")
+def _bucket_counts(docs: DataFrame, buckets: int) -> list[int]:
+    """N-grams per bucket."""
     # one row per word, then its two n-grams: all in generated code
-    at = marked.select(F.col("trusted_id").isNotNull().cast("bigint").alias("good"), words(F.col("text")).alias("ws"))
-    at = at.select("good", "ws", F.posexplode("ws").alias("i", "w"))
+    at = docs.select(words(F.col("text")).alias("ws")).select("ws", F.posexplode("ws").alias("i", "w"))
     nxt = F.get("ws", F.col("i") + 1)
     single = F.xxhash64("w")
     pair = F.xxhash64(single, F.coalesce(F.when(nxt.isNotNull(), F.xxhash64(nxt)), F.lit(0).cast("bigint")))
-    grams = at.select("good", F.explode(F.array(_bucket(single, buckets), _bucket(pair, buckets))).alias("b"))
-    counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target")).collect()
-    raw, target = [1] * buckets, [0] * buckets
-    for row in counts:  # at most ``buckets`` rows
-        raw[row["b"]] += row["raw"]
-        target[row["b"]] += row["target"]
-    # the target is smoothed towards the raw corpus: little evidence leaves a ratio near one
+    grams = at.select(F.explode(F.array(_bucket(single, buckets), _bucket(pair, buckets))).alias("b"))
+    counts = [0] * buckets
+    for row in grams.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect():  # at most ``buckets`` rows
+        counts[row["b"]] = row["n"]
+    return counts
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int]:
+    """Log ratio per bucket in millionths; ``docs`` has doc_id and text, ``trusted`` distinct ids."""
+    ids = trusted.select(F.col("trusted_id").cast(docs.schema["doc_id"].dataType).alias("trusted_id"))
+    # the filter keeps all other texts out of the join
+    maybe = in_bits(docs, "doc_id", bit_words(ids, "trusted_id"))
+    target = _bucket_counts(maybe.join(ids, F.col("doc_id") == F.col("trusted_id")).select("text"), buckets)
+    raw = [1 + n for n in _bucket_counts(docs, buckets)]
     all_raw, all_target = sum(raw), sum(target)
-    smooth = [(t + PRIOR * r / all_raw) / (all_target + PRIOR) for r, t in zip(raw, target, strict=True)]
-    return [round(1e6 * math.log(p * all_raw / r)) for r, p in zip(raw, smooth, strict=True)]
+    if not all_target:
+        return [0] * buckets
+    # the target is smoothed towards the raw corpus
+    prior = SHARE * all_target
+    smooth = [(t + prior * r / all_raw) / (all_target + prior) for r, t in zip(raw, target, strict=True)]
+    ratios = [math.log(p * all_raw / r) for r, p in zip(raw, smooth, strict=True)]
+    # what a trusted n-gram gets on average when it is left out of the target itself: little evidence
+    # makes it negative, and an unseen document of the target's kind must not be charged with that
+    left_out = [(max(t - 1, 0) + prior * r / all_raw) / (all_target - 1 + prior) for r, t in zip(raw, target, strict=True)]
+    unseen = sum(t * math.log(p * all_raw / r) for r, t, p in zip(raw, target, left_out, strict=True)) / all_target
+    return [round(1e6 * (x - min(0.0, unseen))) for x in ratios]
 
 
 def judge(
@@ -177,7 +195,7 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: int = THRESHOLD,
-    max_trusted: int = MAX_TRUSTED,
+    max_trusted: int | None = None,
 ) -> DataFrame:
     """One row per document: base columns, ``score`` and ``kept``."""
     rows = id_text(docs, id_col, text_col)
@@ -209,7 +227,7 @@ def keep_good(
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: int = THRESHOLD,
-    max_trusted: int = MAX_TRUSTED,
+    max_trusted: int | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     rows = id_text(docs, id_col, text_col)
