@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, license_scan, near_dedup, packing, passage_dedup, pii, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup
+from . import centroids, divergence, exact_dedup, language_id, license_scan, near_dedup, packing, passage_dedup, pii, quality_classifier, quality_rules, sentencepiece_codec, suffix_dedup
 from .common import table
 
 
@@ -58,9 +58,53 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.held_out_predictions(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_compact_window_passages, op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece, op6_quality_classifier, op7_pii, op8_best_fit_packing, op9_license_scan, op10_quality_rules)
-}
+    f.__name__: f
+    for f in (
+        op1_compact_window_passages, op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece,
+        op6_quality_classifier, op7_pii, op8_best_fit_packing, op9_license_scan, op10_quality_rules,
+        op11_source_divergence, op12_centroid_clustering, op13_language_id,
+    )
+}
+
+
+def _cluster_sql(k: int = centroids.CENTROIDS, rounds: int = centroids.ROUNDS, n: int = centroids.DIMENSIONS) -> str:
+    """The clustering as one SQL statement: each round is an assignment and a table of means."""
+    parts = [
+        f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE len(embedding) = {n} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {n})""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, q) - 1 AS k, q AS c FROM v QUALIFY k < {k})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(q) AS q, min({{'d': d, 'k': k}}) AS best
+  FROM (SELECT r, vec_id, q, k, list_sum(list_transform(list_zip(q, c), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{i})
+  GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS c
+  FROM (SELECT best.k AS k, j, sum(q[j]) AS s, count(*) AS n FROM a{i}, range(1, {n + 1}) t(j) GROUP BY ALL) GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.k, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} ON c{i}.k = m{i}.k)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best.k = c{rounds}.k"""
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": """
@@ -70,4 +114,39 @@ WITH t AS (
 SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
   row_number() OVER (PARTITION BY x ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(x) AS text_sha256
 FROM t""",
+    "op11_source_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+  FROM documents),
+words AS (SELECT r, lang, source, unnest(found) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM counts GROUP BY ALL),
+every AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 1) // (coalesce(total, 0) + v) AS p
+  FROM groups JOIN kept USING (lang) JOIN size USING (lang)
+  LEFT JOIN counts USING (lang, source, term) LEFT JOIN totals USING (lang, source)),
+whole AS (
+  SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (sum(n) + 1) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v)) AS q
+  FROM counts JOIN size USING (lang) GROUP BY lang, term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN every x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN every y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+terms AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM every JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT 'term' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200""",
+    "op12_centroid_clustering": _cluster_sql(),
 }
