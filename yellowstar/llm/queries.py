@@ -84,16 +84,16 @@ def _cluster_sql(k: int = centroids.CENTROIDS, rounds: int = centroids.ROUNDS, n
     """The clustering as one SQL statement: each round is an assignment and a table of means."""
     parts = [
         f"""v AS MATERIALIZED (
-  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
-  WHERE len(embedding) = {n} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {n})""",
+  WHERE len(embedding) = {n} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {n})""",
         f"""c0 AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, q) - 1 AS k, q AS c FROM v QUALIFY k < {k})""",
     ]
     for i in range(rounds + 1):
         parts.append(f"""a{i} AS MATERIALIZED (
   SELECT r, any_value(vec_id) AS vec_id, any_value(q) AS q, min({{'d': d, 'k': k}}) AS best
-  FROM (SELECT r, vec_id, q, k, list_sum(list_transform(list_zip(q, c), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{i})
+  FROM (SELECT r, vec_id, q, k, list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{i})
   GROUP BY r)""")
         if i < rounds:
             parts.append(f"""m{i} AS (
