@@ -123,3 +123,47 @@ def test_single_scan_path_equals_grouped_path(spark, trips_small, tmp_dir):
     grouped = load_trips(spark, f"{tmp_dir}/same")
     single = load_trips(spark, f"{tmp_dir}/same", group_by_schema=False)
     assert grouped.exceptAll(single).count() == 0 and single.exceptAll(grouped).count() == 0
+
+
+def _layouts(spark, tmp_dir, n):
+    """n small files of two layouts, written without Spark."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(f"{tmp_dir}/many")
+    a = pa.table({"VendorID": pa.array([1], pa.int64()), "trip_distance": [1.5]})
+    b = pa.table({"TRIP_DISTANCE": [2.5], "vendorid": pa.array([2], pa.int32())})
+    for i in range(n):
+        pq.write_table(b if i % 3 == 0 else a, f"{tmp_dir}/many/f{i:05d}.parquet")
+    return list_data_files(spark, f"{tmp_dir}/many")
+
+
+def test_footers_are_read_by_one_job(spark, tmp_dir):
+    from yellowstar.sources import footer_groups
+
+    paths = _layouts(spark, tmp_dir, 600)
+    spark.sparkContext.setJobGroup("footers", "footers")
+    groups = footer_groups(spark, paths)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("footers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+    assert groups == [paths[0::3], [p for i, p in enumerate(paths) if i % 3]]
+    loaded = load_trips(spark, paths, YELLOW_TRIPS)
+    assert loaded.count() == 600
+    assert {r["vendorid"]: r["count"] for r in loaded.groupBy("vendorid").count().collect()} == {1: 400, 2: 200}
+
+
+def test_footers_of_a_store_that_only_spark_reads(spark, tmp_dir):
+    """Such files are read from the driver, with the same groups."""
+    from yellowstar.sources import footer_groups
+
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_dir}")
+    local = _layouts(spark, tmp_dir, 7)
+    far = [f"viewfs://store/in/many/{p.rsplit('/', 1)[1]}" for p in local]
+    names = lambda groups: [[p.rsplit("/", 1)[1] for p in g] for g in groups]
+    assert names(footer_groups(spark, far)) == names(footer_groups(spark, local))
+    # and a mixture of both still loads every row
+    assert load_trips(spark, far[:3] + local[3:], YELLOW_TRIPS).count() == 7

@@ -26,11 +26,13 @@ from .profiling import (
     value_counts,
     value_lists,
 )
+from .registry import KeyRegistry, register_load, registries
 
 __all__ = [
     "BLOCK_LOOKUP_MAX_ROWS",
     "BROADCAST_MAX_ROWS",
     "Dimension",
+    "KeyRegistry",
     "ROLES",
     "STAGES",
     "STAGE_NAMES",
@@ -55,6 +57,8 @@ __all__ = [
     "paymenttype_dim",
     "ranged_dense_key",
     "ratecode_dim",
+    "register_load",
+    "registries",
     "row_count",
     "schema_rows",
     "stage_frames",

@@ -172,24 +172,30 @@ def _cast_accessor(df: DataFrame) -> Accessor:
     return lambda name: casts[name](F.col(name)) if name in casts else F.col(name)
 
 
-def cleaning_funnel(raw: DataFrame) -> DataFrame:
-    """Rows left after each stage, in one scan and one tiny aggregate.
-
-    Output ``(step, stage, rows)``: step 0 is the raw count, then one row
-    per stage with cumulative predicates, all counted by ``count_if`` in a
-    single global aggregate (partial counts per task, no data shuffle).
-    """
+def funnel_counts(raw: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The lower-cased frame and, per stage, the aggregate that counts the rows left after it."""
     df = lower_names(raw)
     c = _cast_accessor(df)
-    aggs = [F.count(F.lit(1)).alias("raw")]
+    counts = {"raw": F.count(F.lit(1))}
     cumulative = None
     for stage in STAGES:
         if stage.keep is None:
             continue
         cond = stage.keep(c)
         cumulative = cond if cumulative is None else cumulative & cond
-        aggs.append(F.count_if(cumulative).alias(stage.name))
-    counts = df.agg(*aggs)
+        counts[stage.name] = F.count_if(cumulative)
+    return df, counts
+
+
+def cleaning_funnel(raw: DataFrame) -> DataFrame:
+    """Rows left after each stage, in one scan and one tiny aggregate.
+
+    Output ``(step, stage, rows)``: step 0 is the raw count, then one row
+    per stage with cumulative predicates, all counted by ``count_if`` in a
+    single global aggregate (partial counts per task, no data shuffle).
+    """
+    df, measures = funnel_counts(raw)
+    counts = df.agg(*[c.alias(name) for name, c in measures.items()])
     rows = [
         F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(name).alias("rows"))
         for i, name in enumerate(STAGE_NAMES)

@@ -65,11 +65,15 @@ class Dimension:
     partition_counts: DataFrame | None = field(default=None, repr=False)
     # fact column -> its hot natural-key values (at most MAX_HOT_KEYS rows)
     hot_values: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    # keys rise with the natural key without gaps; block lookups rest on that
+    dense: bool = True
     _rows: int | None = field(default=None, repr=False)
     _blocks: dict[int, BlockLookup | None] = field(default_factory=dict, repr=False)
 
     def block_lookup(self, max_rows: int) -> BlockLookup | None:
         """The broadcastable block lookup of this dimension (built once), or None."""
+        if not self.dense:
+            return None
         for lookup in self._blocks.values():
             if lookup is not None and lookup.rows <= max_rows:
                 return lookup
@@ -159,7 +163,18 @@ def _hot_values(keys: DataFrame, source: str, threshold: int) -> DataFrame:
     ).select(source)
 
 
-def _values(keys: DataFrame, spec: DimSpec) -> DataFrame:
+def mark_hot_values(
+    dim: Dimension, spec: DimSpec, keys: DataFrame, stats: dict[str, KeyStats], hot_key_rows: int
+) -> None:
+    """Note the values of each source column that hold enough rows to be joined apart."""
+    for src in spec.sources:
+        threshold = hot_threshold(stats[src].rows, hot_key_rows)
+        if stats[src].top_rows >= threshold:
+            dim.hot_values[src] = _hot_values(keys, src, threshold)
+
+
+def natural_values(keys: DataFrame, spec: DimSpec) -> DataFrame:
+    """The distinct natural keys of one dimension, from the frozen key sets."""
     part = keys.filter(F.col(SOURCE).isin(*spec.sources))
     if len(spec.sources) == 1:
         return part.select(F.col(spec.sources[0]).alias(spec.natural))
@@ -230,11 +245,8 @@ def build_dimensions(
     for spec in wanted:
         bound = sum(stats[s].values for s in spec.sources)
         has_null = any(stats[s].has_null for s in spec.sources)
-        dim = key_dimension(_values(keys, spec), spec, bound, strict, window_max_rows, block_rows, has_null)
-        for src in spec.sources:
-            threshold = hot_threshold(stats[src].rows, hot_key_rows)
-            if stats[src].top_rows >= threshold:
-                dim.hot_values[src] = _hot_values(keys, src, threshold)
+        dim = key_dimension(natural_values(keys, spec), spec, bound, strict, window_max_rows, block_rows, has_null)
+        mark_hot_values(dim, spec, keys, stats, hot_key_rows)
         out[spec.name] = dim
     return out
 

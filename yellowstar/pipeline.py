@@ -29,8 +29,11 @@ from .operators.cleaning import clean_trips
 from .operators.dimensions import Dimension, build_dimensions
 from .operators.blocks import BLOCK_LOOKUP_MAX_ROWS
 from .operators.facts import BROADCAST_MAX_ROWS, PICKUP_MONTH, build_fact
+from .operators.registry import register_load, registries
 from .schemas import FACT_TABLE, YELLOW_TRIPS
 from .session import scale_conf
+from .sinks.monthly import read_loads, write_load
+from .sinks.observed import MeasuredFunnel, write_tables
 from .sinks.writers import write_jdbc, write_parquet, write_star
 from .sources.files import load_trips
 
@@ -42,6 +45,9 @@ class StarSchema:
     clean: DataFrame
     dimensions: dict[str, Dimension]
     fact: DataFrame
+    #: with ``measure``: the cleaning funnel and the tables' rows, as counted on the writes
+    funnel: DataFrame | None = None
+    sizes: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """All six tables in load order: dimensions first, fact last."""
@@ -57,10 +63,14 @@ def build_star(
     strict: bool = False,
     with_pickup_month: bool = False,
     block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
+    measured: MeasuredFunnel | None = None,
     **dimension_options,
 ) -> StarSchema:
     """Clean raw trips and build the star schema (lazy except for key freezing).
 
+    ``measured`` counts the cleaning funnel of the same raw trips when the
+    fact table is written.
+
     ``dimension_options`` go to ``build_dimensions`` (``window_max_rows``,
     ``hot_key_rows``); ``block_rows`` bounds block tables for both the keys
     and the fact lookups.
@@ -68,7 +78,7 @@ def build_star(
     clean = clean_trips(raw)
     dims = build_dimensions(clean, strict=strict, block_rows=block_rows, **dimension_options)
     fact = build_fact(
-        clean, dims, how=how, broadcast_rows=broadcast_rows, with_pickup_month=with_pickup_month, block_rows=block_rows
+        measured.clean() if measured else clean, dims, how=how, broadcast_rows=broadcast_rows, with_pickup_month=with_pickup_month, block_rows=block_rows
     )
     return StarSchema(clean, dims, fact)
 
@@ -120,10 +130,14 @@ def run_pipeline(
     strict: bool = False,
     auto_size: bool = False,
     partition_by_month: bool = False,
+    measure: bool = False,
     **star_options,
 ) -> StarSchema:
     """Load, clean, model and write the six tables (K3).
 
+    ``measure`` takes the cleaning funnel and all table sizes from the writes
+    themselves (``star.funnel``, ``star.sizes``): no further scan.
+
     ``source`` is a directory, a file list, or an already loaded frame.
     All of its rows are read; to cap them, pass a frame made with
     ``limit_ordered`` or ``load_trips(max_files=...)``.
@@ -136,8 +150,15 @@ def run_pipeline(
     if auto_size and not isinstance(source, DataFrame):
         size_shuffles(spark, source)
     raw = source if isinstance(source, DataFrame) else load_trips(spark, source, schema)
+    measured = MeasuredFunnel(raw) if measure else None
     star = build_star(
-        raw, how=how, broadcast_rows=broadcast_rows, strict=strict, with_pickup_month=partition_by_month, **star_options
+        raw,
+        how=how,
+        broadcast_rows=broadcast_rows,
+        strict=strict,
+        with_pickup_month=partition_by_month,
+        measured=measured,
+        **star_options,
     )
     if isinstance(sink, str):
         write_one = parquet_sink(sink, [PICKUP_MONTH] if partition_by_month else None)
@@ -152,13 +173,48 @@ def run_pipeline(
     for dim in cached:
         dim.df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_star(star.tables(), write_one)
+        if measured:
+            star.sizes = write_tables(star.tables(), write_one)
+            star.funnel = measured.rows(star.fact)
+        else:
+            write_star(star.tables(), write_one)
     finally:
         for dim in cached:
             dim.df.unpersist()
     return star
 
 
+def run_load(
+    spark: SparkSession,
+    source: str | list[str] | DataFrame,
+    base: str,
+    load: str,
+    schema: T.StructType = YELLOW_TRIPS,
+    broadcast_rows: int = BROADCAST_MAX_ROWS,
+    strict: bool = False,
+) -> int:
+    """Add one load (a month's files) to a growing star schema below ``base``; returns its fact rows (K3).
+
+    Keys of earlier loads never change and their fact files stay untouched:
+    ``keys/`` holds a registry per dimension, ``fact_table/`` a partition per
+    load. Running a load again, after a crash or with corrected files,
+    replaces that load's rows and nothing else.
+    """
+    raw = source if isinstance(source, DataFrame) else load_trips(spark, source, schema)
+    clean = clean_trips(raw)
+    base = base.rstrip("/")
+    dims = register_load(clean, f"{base}/keys", load, strict=strict)
+    return write_load(build_fact(clean, dims, broadcast_rows=broadcast_rows), f"{base}/{FACT_TABLE}", load)
+
+
+def read_star(spark: SparkSession, base: str, clean: DataFrame, loads: list[str] | None = None) -> dict[str, DataFrame]:
+    """The tables below ``base`` by name; ``clean`` (any cleaned trips, unread) gives the key types."""
+    base = base.rstrip("/")
+    out = {name: book.dimension().df for name, book in registries(spark, f"{base}/keys", clean).items()}
+    out[FACT_TABLE] = read_loads(spark, f"{base}/{FACT_TABLE}", loads)
+    return out
+
+
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m yellowstar.pipeline --source DIR --sink DIR`` (parquet sink)."""
     import argparse

@@ -45,13 +45,15 @@ from ..operators import (
     value_counts,
     value_lists,
 )
-from ..operators.dimensions import DIMENSION_BUILDERS
+from ..operators.dimensions import DIMENSION_BUILDERS, SPECS
+from ..operators.facts import ROLES
 from ..schemas import MONEY_COLUMNS, YELLOW_TRIPS
 from ..session import scratch_path
 from ..sources import (
     conform,
     file_names,
     list_data_files,
+    load_trips,
     new_files,
     page_links,
     read_parquet,
@@ -410,3 +412,109 @@ def streaming_clean(spark, sf_dir):
 def integrity(spark, sf_dir):
     clean = _clean(spark, sf_dir)
     return key_integrity(clean, build_dimensions(clean))
+
+
+# --- growing star schema, counts on the write, many files ----------------------------------
+
+FIRST_HALF = "coalesce({} < TIMESTAMP_NTZ '1995-06-17 00:00:00', false)"
+
+
+def _halves(df: DataFrame, col: str) -> list[DataFrame]:
+    """Stand-ins for two loads: the rows before a date, and all others."""
+    first = FIRST_HALF.format(col)
+    return [df.filter(first), df.filter(f"not {first}")]
+
+
+@query("stable_keys")
+def stable_keys(spark, sf_dir):
+    """Keys of all distinct extended prices, registered from two halves of lineitem one after the
+    other: the second load adds keys above the first one's and changes none; a repeated load adds none."""
+    from ..operators.dimensions import DimSpec
+    from ..operators.registry import KeyRegistry
+
+    lines = read_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    spec = DimSpec("price_DIM", "l_extendedprice", "price_key", ("l_extendedprice",))
+    book = KeyRegistry(spark, scratch_path(spark, "price-keys"), spec, lines.schema["l_extendedprice"].dataType)
+    first, second = _halves(lines, "l_shipdate")
+    for load, part in (("first", first), ("second", second), ("second", second)):
+        book.add(part.select("l_extendedprice").distinct(), load)
+    return book.members()
+
+
+def _grown(spark, sf_dir):
+    """A star schema grown by two loads, the second of which is run twice: the first
+    attempt brings only some of its trips, as a file that is corrected later would."""
+    from ..pipeline import run_load
+
+    first, second = _halves(trips_fixture(spark, sf_dir), "tpep_pickup_datetime")
+    base = scratch_path(spark, "growing-star")
+    run_load(spark, first, base, "2023-01")
+    run_load(spark, second.filter(F.col("VendorID") == 1), base, "2023-02")
+    run_load(spark, second, base, "2023-02")
+    return base
+
+
+@query("monthly_rewrite")
+def monthly_rewrite(spark, sf_dir):
+    """The fact table of the grown star, with natural keys looked up again in the registries."""
+    from ..pipeline import read_star
+
+    clean = _clean(spark, sf_dir)
+    star = read_star(spark, _grown(spark, sf_dir), clean)
+    out = star["fact_table"]
+    for role in ROLES:
+        spec = SPECS[role.dimension]
+        names = star[role.dimension].select(F.col(spec.key).alias(role.key), F.col(spec.natural).alias(role.fact_col))
+        out = out.join(names, role.key).drop(role.key)
+    return out
+
+
+@query("observed_funnel")
+def observed_funnel(spark, sf_dir):
+    """The cleaning funnel as counted while the cleaned trips are written."""
+    from ..sinks import write_clean
+
+    return write_clean(trips_fixture(spark, sf_dir), scratch_path(spark, "clean-trips"))
+
+
+@query("observed_sizes")
+def observed_sizes(spark, sf_dir):
+    """Rows of the six tables as counted while the whole pipeline writes them."""
+    from ..pipeline import run_pipeline
+
+    return run_pipeline(spark, trips_fixture(spark, sf_dir), scratch_path(spark, "star"), measure=True).sizes
+
+
+@query("pipeline_star")
+def pipeline_star(spark, sf_dir):
+    """The fact table as the whole pipeline wrote it."""
+    from ..pipeline import run_pipeline
+    from ..schemas import FACT_TABLE
+
+    out = scratch_path(spark, "star")
+    run_pipeline(spark, trips_fixture(spark, sf_dir), out)
+    return read_saved(spark, f"{out}/{FACT_TABLE}")
+
+
+def _drifted_files(spark, sf_dir):
+    """Two folders' worth of trip files: other column order, name case and types in the later ones."""
+    first, later = _halves(trips_fixture(spark, sf_dir), "tpep_pickup_datetime")
+    out = scratch_path(spark, "trip-files")
+    first.write.parquet(f"{out}/a")
+    later = later.select(*[F.col(c).alias(c.upper()) for c in reversed(later.columns)])
+    later.withColumn("VENDORID", F.col("VENDORID").cast("int")).write.parquet(f"{out}/b")
+    return [sorted(list_data_files(spark, f"{out}/{x}", glob="*.parquet")) for x in "ab"]
+
+
+@query("load_trip_files")
+def load_trip_files(spark, sf_dir):
+    """Many files of two layouts loaded by name, their footers read by one distributed job."""
+    first, later = _drifted_files(spark, sf_dir)
+    return load_trips(spark, first + later, YELLOW_TRIPS)
+
+
+@query("load_first_files")
+def load_first_files(spark, sf_dir):
+    """Only the first files in path order: those of the first folder."""
+    first, later = _drifted_files(spark, sf_dir)
+    return load_trips(spark, later + first, YELLOW_TRIPS, max_files=len(first))

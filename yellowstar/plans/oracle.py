@@ -287,3 +287,24 @@ ORACLE["value_lists_profile"] = with_ctes(
         for c in [*_CARD_COLS, "pulocationid"]
     )
 )
+
+_HALF = "TIMESTAMP '1995-06-17 00:00:00'"
+ORACLE["stable_keys"] = f"""
+WITH a AS (SELECT DISTINCT l_extendedprice FROM lineitem WHERE l_shipdate < {_HALF}),
+b AS (SELECT DISTINCT l_extendedprice FROM lineitem WHERE l_shipdate >= {_HALF} AND l_extendedprice NOT IN (FROM a))
+SELECT l_extendedprice, row_number() OVER (ORDER BY l_extendedprice) - 1 AS price_key, 1 AS version FROM a
+UNION ALL
+SELECT l_extendedprice, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY l_extendedprice) - 1, 2 FROM b"""
+_not_null = " AND ".join(
+    f"{c} IS NOT NULL"
+    for c in ["vendorid", "ratecodeid", "pulocationid", "dolocationid", "payment_type", "tpep_pickup_datetime", "tpep_dropoff_datetime"]
+)
+ORACLE["monthly_rewrite"] = with_ctes(
+    f"SELECT *, CASE WHEN tpep_pickup_datetime < {_HALF} THEN '2023-01' ELSE '2023-02' END AS load_month "
+    f"FROM clean WHERE {_not_null}"
+)
+ORACLE["observed_funnel"] = ORACLE["cleaning_funnel"]
+ORACLE["observed_sizes"] = ORACLE["dim_sizes"] + " UNION ALL SELECT 'fact_table', count(*) FROM fact"
+ORACLE["pipeline_star"] = ORACLE["fact_table"]
+ORACLE["load_trip_files"] = ORACLE["conform_schema"]
+ORACLE["load_first_files"] = ORACLE["conform_schema"] + f" WHERE tpep_pickup_datetime < {_HALF}"

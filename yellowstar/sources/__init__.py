@@ -1,6 +1,6 @@
 """Sources: parquet files, schema conforming, the trips fixture and page links."""
 
-from .files import conform, list_data_files, load_trips, read_parquet, read_saved, union_by_name
+from .files import conform, footer_groups, list_data_files, load_trips, read_parquet, read_saved, union_by_name
 from .fixture import TRIPS_COLUMNS, trips_fixture, trips_select_sql
 from .pages import file_names, new_files, page_links
 
@@ -8,6 +8,7 @@ __all__ = [
     "TRIPS_COLUMNS",
     "conform",
     "file_names",
+    "footer_groups",
     "list_data_files",
     "load_trips",
     "new_files",

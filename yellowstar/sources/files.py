@@ -94,12 +94,12 @@ def load_trips(
     ``source`` is a directory or a list of files; ``max_files`` keeps the
     first n files in path order. Files are grouped by footer schema so each
     schema variant is a single parallel scan, then the variants are
-    conformed and unioned by name. Grouping reads one footer per file
-    (small concurrent jobs); for very many files of one layout pass
-    ``group_by_schema=False`` to scan them all at once with the declared
-    schema (Spark resolves names case-insensitively and fills missing
-    columns with null). ``provenance`` names an extra column holding each
-    row's source file name (from the scan's ``_metadata``).
+    conformed and unioned by name. All footers are read by one distributed
+    job (``footer_groups``). With ``group_by_schema=False`` no footer is
+    read: all files are scanned with the declared schema (Spark resolves
+    names case-insensitively and fills missing columns with null).
+    ``provenance`` names an extra column holding each row's source file name
+    (from the scan's ``_metadata``).
     """
     paths = list_data_files(spark, source) if isinstance(source, str) else sorted(source)
     if max_files is not None:
@@ -109,10 +109,7 @@ def load_trips(
     if not group_by_schema:
         scans = [spark.read.schema(_nullable(schema)).parquet(*paths)]
     else:
-        variants: OrderedDict[str, list[str]] = OrderedDict()
-        for path, key in zip(paths, _footer_schemas(spark, paths)):
-            variants.setdefault(key, []).append(path)
-        scans = [spark.read.parquet(*group) for group in variants.values()]
+        scans = [spark.read.parquet(*group) for group in footer_groups(spark, paths)]
     frames = [conform(scan, schema) for scan in scans]
     if provenance:
         frames = [
@@ -121,14 +118,62 @@ def load_trips(
     return union_by_name(frames)
 
 
+def footer_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Files that share a footer schema (names ignoring case), in order of their first file.
+
+    One job of as many tasks as there are cores: each reads the footers of
+    some files, only their last bytes, and returns a short hash per file, not
+    a schema. Files in a store that the tasks can't open by themselves (its
+    connector being known to Spark alone) have their footers read from the
+    driver, a few at a time.
+    """
+    if len(paths) < 2:
+        return [list(paths)] if paths else []
+
+    def fingerprint(path: str) -> str | None:
+        import hashlib
+        from urllib.parse import unquote
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        try:
+            if path.startswith("file:"):
+                store, name = fs.LocalFileSystem(), unquote(path.removeprefix("file://").removeprefix("file:"))
+            else:
+                store, name = fs.FileSystem.from_uri(path)
+            columns = pq.read_metadata(name, filesystem=store).schema
+        except (OSError, ImportError, pa.ArrowInvalid, pa.ArrowNotImplementedError):
+            return None
+        fields = [(c.path.lower(), c.physical_type, str(c.logical_type)) for c in map(columns.column, range(len(columns)))]
+        return hashlib.sha256(repr(fields).encode()).hexdigest()
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            known = [fingerprint(p) for p in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(known, pa.string())], names=["at", "schema"])
+
+    names = spark.createDataFrame(list(zip(paths, range(len(paths)))), "path string, at int")
+    found = {r["at"]: r["schema"] for r in names.mapInArrow(run, "at int, schema string").collect()}
+    unread = [i for i in range(len(paths)) if found[i] is None]
+    found.update(zip(unread, _footer_schemas(spark, [paths[i] for i in unread])))
+    variants: OrderedDict[str, list[str]] = OrderedDict()
+    for i, path in enumerate(paths):
+        variants.setdefault(found[i], []).append(path)
+    return list(variants.values())
+
+
 def _footer_schemas(spark: SparkSession, paths: list[str], threads: int = 16) -> list[str]:
     """Footer schema of each file (lower-cased), read as concurrent small jobs."""
+    if not paths:
+        return []
 
     def read(path: str) -> str:
         return spark.read.parquet(path).schema.simpleString().lower()
 
-    if len(paths) == 1:
-        return [read(paths[0])]
     with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
         return list(pool.map(read, paths))
 
