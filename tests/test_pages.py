@@ -1,5 +1,7 @@
 """Link discovery on literal pages and the skip-existing landing rule."""
 
+from pyspark.sql import functions as F
+
 from yellowstar.sources import new_files, page_links
 
 PAGE = """<html><body>
@@ -118,3 +120,40 @@ def test_page_links_equal_tree_walk_on_pages_table(spark):
         for name, link in _tree_links(r.html, "th"):
             want[(r.page_id, name, link)] += 1
     assert got == want and sum(got.values()) > 0
+
+
+NESTED = """<table><tr><td>
+<ul><li>intro <ul><li><a href="/a/yellow_inner.parquet">i</a></li><li>none</li></ul> <a href="/a/yellow_late.parquet">l</a></li>
+<li><a name="n">no</a><a href="/b/yellow_second.parquet">s</a></li><li><a href="/c/yellow_third.parquet">t</a></li></ul>
+<ul><li><ul><li><ul><li><a href="/d/yellow_deep.parquet">d</a></li></ul></li></ul></li></ul>
+</td></tr></table><table><tr><td><ul><li><a href="/e/yellow_other_table.parquet">o</a></li></ul></td></tr></table>"""
+
+
+def test_nested_lists_equal_tree_walk(spark):
+    from collections import Counter
+
+    from yellowstar.sources import nested_page_links
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "html")
+    inner = '<ul><li><a href="/sub/inner-th.csv">x</a></li></ul></li>'
+    deep = pages.withColumn("html", F.replace("html", F.lit("</li>"), F.lit(inner)))
+    deep = deep.withColumn("page_id", F.col("page_id") + 10**6)
+    rows = [(-1, NESTED.replace("yellow", "th")), (-2, None), (-3, ""), (-4, "<ul></ul><li>")]
+    every = pages.union(deep).union(spark.createDataFrame(rows, "page_id bigint, html string"))
+    got = Counter((r.page_id, r.filename, r.link) for r in nested_page_links(every, word="th").collect())
+    want = Counter()
+    for r in every.toLocalIterator():
+        for name, link in _tree_links(r.html or "", "th"):
+            want[(r.page_id, name, link)] += 1
+    assert got == want and sum(v for (p, *_), v in got.items() if p > 10**6) > 0
+
+
+def test_nested_lists_of_the_first_table(spark):
+    from yellowstar.sources import nested_page_links
+
+    pages = spark.createDataFrame([(1, NESTED)], "page_id bigint, html string")
+    got = nested_page_links(pages, first_table_only=True).orderBy("list_pos", "item_pos").collect()
+    inner, deep = "yellow_inner.parquet", "yellow_deep.parquet"
+    assert [(r.list_pos, r.item_pos, r.filename) for r in got] == [
+        (0, 0, inner), (0, 1, inner), (1, 0, inner), (2, 0, deep), (2, 1, deep), (3, 0, deep), (3, 1, deep), (4, 0, deep),
+    ]

@@ -27,6 +27,7 @@ from .profiling import (
     value_lists,
 )
 from .registry import KeyRegistry, register_load, registries
+from .sketches import column_sketches, merged_cardinality
 
 __all__ = [
     "BLOCK_LOOKUP_MAX_ROWS",
@@ -45,6 +46,7 @@ __all__ = [
     "cardinality_profile",
     "clean_trips",
     "cleaning_funnel",
+    "column_sketches",
     "count_where",
     "datetime_dim",
     "dense_key",
@@ -54,6 +56,7 @@ __all__ = [
     "join_role",
     "key_integrity",
     "limit_ordered",
+    "merged_cardinality",
     "paymenttype_dim",
     "ranged_dense_key",
     "ratecode_dim",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DROPOFF, FACT_COLUMNS, PICKUP
 from .blocks import BLOCK_LOOKUP_MAX_ROWS, join_by_blocks
-from .dimensions import Dimension
+from .dimensions import ROWS, SOURCE, Dimension, natural_key_sets
 
 # Dimensions with at most this many rows are broadcast to the fact scan;
 # larger ones go through a shuffle join with hot values split off (see
@@ -135,37 +135,28 @@ def build_fact(
     return fact.select(*FACT_COLUMNS, *([PICKUP_MONTH] if with_pickup_month else []))
 
 
-def key_integrity(
-    clean: DataFrame,
-    dims: dict[str, Dimension],
-    broadcast_rows: int = BROADCAST_MAX_ROWS,
-    block_rows: int = BLOCK_LOOKUP_MAX_ROWS,
-) -> DataFrame:
+def key_integrity(clean: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
     """Per role: cleaned rows without a dimension member, and duplicate natural keys.
 
-    Unmatched rows (null natural keys included) come from one left-join pass
-    with the same join plan as the fact build; duplicates from one partial
-    aggregate per dimension. Output ``role, dimension, fact_column,
-    unmatched_rows, duplicate_keys``; all zeros except null keys means the
-    inner-join fact table lost nothing it should have kept.
+    The trips are not joined. One scan counts the rows of every distinct value
+    of the key columns (grouping sets, partial aggregation first); only these
+    values meet the dimensions, and the rows of a value that finds no member
+    are the role's unmatched rows, null values included. Duplicates come from
+    one partial aggregate per dimension. Output ``role, dimension,
+    fact_column, unmatched_rows, duplicate_keys``; all zeros except null keys
+    means the inner-join fact table lost nothing it should have kept.
     """
-    joined = build_fact(clean, dims, how="left", broadcast_rows=broadcast_rows, ordered=False, block_rows=block_rows)
-    unmatched = joined.agg(*[F.count_if(F.col(r.key).isNull()).alias(r.key) for r in ROLES])
-    per_role = unmatched.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(r.key).alias("role"),
-                        F.lit(r.dimension).alias("dimension"),
-                        F.lit(r.fact_col).alias("fact_column"),
-                        F.col(r.key).alias("unmatched_rows"),
-                    )
-                    for r in ROLES
-                ]
-            )
-        ).alias("r")
-    ).select("r.*")
+    keys, _ = natural_key_sets(clean, list(dict.fromkeys(r.fact_col for r in ROLES)))
+    per_role = None
+    for r in ROLES:
+        dim = dims[r.dimension]
+        members = dim.df.select(F.col(dim.natural).alias("_ys_member"))
+        values = keys.filter(F.col(SOURCE) == r.fact_col).select(F.col(r.fact_col).alias("_ys_value"), ROWS)
+        lost = values.join(members, F.col("_ys_value") == F.col("_ys_member"), "left_anti")
+        part = lost.agg(F.coalesce(F.sum(ROWS), F.lit(0).cast("bigint")).alias("unmatched_rows")).select(
+            F.lit(r.key).alias("role"), F.lit(r.dimension).alias("dimension"), F.lit(r.fact_col).alias("fact_column"), "unmatched_rows"
+        )
+        per_role = part if per_role is None else per_role.unionByName(part)
     dupes = None
     for name, dim in dims.items():
         d = (

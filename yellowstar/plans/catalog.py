@@ -33,11 +33,13 @@ from ..operators import (
     cardinality_profile,
     clean_trips,
     cleaning_funnel,
+    column_sketches,
     count_where,
     distinct_values,
     join_role,
     key_integrity,
     limit_ordered,
+    merged_cardinality,
     ranged_dense_key,
     row_count,
     stage_frames,
@@ -52,8 +54,10 @@ from ..session import scratch_path
 from ..sources import (
     conform,
     file_names,
+    footer_counts,
     list_data_files,
     load_trips,
+    nested_page_links,
     new_files,
     page_links,
     read_parquet,
@@ -416,7 +420,7 @@ def integrity(spark, sf_dir):
 
 # --- growing star schema, counts on the write, many files ----------------------------------
 
-FIRST_HALF = "coalesce({} < TIMESTAMP_NTZ '1995-06-17 00:00:00', false)"
+FIRST_HALF = "coalesce({} < TIMESTAMP_NTZ '1998-05-01 00:00:00', false)"
 
 
 def _halves(df: DataFrame, col: str) -> list[DataFrame]:
@@ -518,3 +522,55 @@ def load_first_files(spark, sf_dir):
     """Only the first files in path order: those of the first folder."""
     first, later = _drifted_files(spark, sf_dir)
     return load_trips(spark, later + first, YELLOW_TRIPS, max_files=len(first))
+
+
+@query("incremental_listing")
+def incremental_listing(spark, sf_dir):
+    """Monthly folders of lineitem that each of two runs lists: the second one only those that came since."""
+    from ..sources import Manifest
+
+    lines = read_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    area = scratch_path(spark, "landing-area")
+    manifest = Manifest(spark, area, scratch_path(spark, "manifest"))
+    for part in _halves(lines, "l_shipdate"):
+        months = part.withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+        months.repartition("month").write.mode("append").partitionBy("month").parquet(area)
+        manifest.run()
+    return manifest.files().select("run", "folder").distinct()
+
+
+@query("cardinality_sketches")
+def cardinality_sketches(spark, sf_dir):
+    """The cardinality profile from sketches kept per rate code and merged; no column has more
+    values than a sketch holds, so all counts are exact."""
+    raw = _raw(spark, sf_dir)
+    kept = scratch_path(spark, "sketches")
+    column_sketches(raw, [*CARDINALITY_COLUMNS, "pulocationid"], by=F.col("ratecodeid")).write.parquet(kept)
+    return merged_cardinality(read_saved(spark, kept))
+
+
+@query("parquet_footer_counts")
+def parquet_footer_counts(spark, sf_dir):
+    """Rows, and values and extremes of two columns, from the footers of lineitem's files."""
+    return footer_counts(spark, f"{sf_dir}/lineitem.parquet", columns=("l_orderkey", "l_linenumber"))
+
+
+@query("clean_clustered")
+def clean_clustered(spark, sf_dir):
+    """The cleaned trips, read from files written so that cleaning skips what it drops."""
+    from ..sinks import write_clustered
+
+    path = scratch_path(spark, "clustered")
+    write_clustered(trips_fixture(spark, sf_dir), path)
+    return clean_trips(read_saved(spark, path))
+
+
+NESTED_ITEM = '<ul><li><a href="/sub/inner-th-1.csv">x</a></li><li><a href="/sub/other.csv">y</a></li></ul></li>'
+
+
+@query("nested_page_links")
+def nested_links(spark, sf_dir):
+    """Links of pages whose every list item holds a list of its own."""
+    pages = read_parquet(spark, f"{sf_dir}/pages.parquet")
+    deep = pages.withColumn("html", F.replace("html", F.lit("</li>"), F.lit(NESTED_ITEM)))
+    return nested_page_links(deep, word=LINK_WORD)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from ..schemas import FACT_COLUMNS, MONEY_COLUMNS, PAYMENT_TYPES, RATE_CODES, VENDOR_NAMES
 from ..sources.fixture import TRIPS_COLUMNS, trips_select_sql
-from ..sources.pages import HREF_PATTERN, ITEM_PATTERN, LIST_PATTERN
+from ..sources.pages import HREF_PATTERN, ITEM_PATTERN, LIST_PATTERN, TAG_PATTERN
 
 RAW_COLUMNS = [name.lower() for name, _ in TRIPS_COLUMNS]
 
@@ -288,7 +288,7 @@ ORACLE["value_lists_profile"] = with_ctes(
     )
 )
 
-_HALF = "TIMESTAMP '1995-06-17 00:00:00'"
+_HALF = "TIMESTAMP '1998-05-01 00:00:00'"
 ORACLE["stable_keys"] = f"""
 WITH a AS (SELECT DISTINCT l_extendedprice FROM lineitem WHERE l_shipdate < {_HALF}),
 b AS (SELECT DISTINCT l_extendedprice FROM lineitem WHERE l_shipdate >= {_HALF} AND l_extendedprice NOT IN (FROM a))
@@ -308,3 +308,52 @@ ORACLE["observed_sizes"] = ORACLE["dim_sizes"] + " UNION ALL SELECT 'fact_table'
 ORACLE["pipeline_star"] = ORACLE["fact_table"]
 ORACLE["load_trip_files"] = ORACLE["conform_schema"]
 ORACLE["load_first_files"] = ORACLE["conform_schema"] + f" WHERE tpep_pickup_datetime < {_HALF}"
+ORACLE["incremental_listing"] = (
+    "SELECT DISTINCT 'month=' || strftime(l_shipdate, '%Y-%m') AS folder, "
+    f"CAST(CASE WHEN l_shipdate < {_HALF} THEN 1 ELSE 2 END AS INTEGER) AS run FROM lineitem"
+)
+ORACLE["cardinality_sketches"] = with_ctes(
+    "SELECT *, true AS exact FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_distinct, "
+        f"bool_or({c} IS NULL) AS has_null FROM raw"
+        for c in [*_CARD_COLS, "pulocationid"]
+    )
+    + ")"
+)
+ORACLE["parquet_footer_counts"] = "SELECT count(*) AS rows, " + ", ".join(
+    f"count({c}) AS {c}_values, min({c}) AS {c}_min, max({c}) AS {c}_max" for c in ["l_orderkey", "l_linenumber"]
+) + " FROM lineitem"
+ORACLE["clean_clustered"] = ORACLE["clean_trips"]
+_NESTED_ITEM = '<ul><li><a href="/sub/inner-th-1.csv">x</a></li><li><a href="/sub/other.csv">y</a></li></ul></li>'
+ORACLE["nested_page_links"] = f"""
+WITH tags AS (
+  SELECT page_id, unnest(found) AS tag, generate_subscripts(found, 1) AS pos
+  FROM (SELECT page_id, regexp_extract_all(replace(html, '</li>', {_sql_str(_NESTED_ITEM)}), {_sql_str(TAG_PATTERN)}, 0) AS found FROM pages)),
+parsed AS (
+  SELECT page_id, pos, regexp_extract(tag, {_sql_str(TAG_PATTERN)}, 1) = '/' AS closes,
+    lower(regexp_extract(tag, {_sql_str(TAG_PATTERN)}, 2)) AS kind,
+    regexp_extract(tag, {_sql_str(HREF_PATTERN)}, 1) || regexp_extract(tag, {_sql_str(HREF_PATTERN)}, 2)
+      || regexp_extract(tag, {_sql_str(HREF_PATTERN)}, 3) AS href
+  FROM tags),
+deep AS (
+  SELECT *, sum(CASE WHEN closes THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, kind ORDER BY pos) + CAST(closes AS INTEGER) AS depth
+  FROM parsed),
+ends AS (
+  SELECT * FROM (
+    SELECT *, coalesce(lead(pos) OVER (PARTITION BY page_id, kind, depth ORDER BY pos), 2147483647) AS stop FROM deep)
+  WHERE NOT closes),
+lists AS (
+  SELECT page_id, pos, stop, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS list_pos FROM ends WHERE kind = 'ul'),
+items AS (
+  SELECT l.page_id, list_pos, i.pos, i.stop, row_number() OVER (PARTITION BY l.page_id, list_pos ORDER BY i.pos) - 1 AS item_pos
+  FROM lists l JOIN ends i ON i.page_id = l.page_id AND i.kind = 'li' AND i.pos > l.pos AND i.pos < l.stop),
+links AS (
+  SELECT i.page_id, list_pos, item_pos, arg_min(a.href, a.pos) AS href
+  FROM items i JOIN ends a ON a.page_id = i.page_id AND a.kind = 'a' AND a.href <> '' AND a.pos > i.pos AND a.pos < i.stop
+  WHERE item_pos < 2 GROUP BY ALL),
+named AS (
+  SELECT page_id, CAST(list_pos AS INTEGER) AS list_pos, CAST(item_pos AS INTEGER) AS item_pos,
+    trim(replace(replace(replace(replace(replace(href, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) AS link
+  FROM links)
+SELECT *, trim(string_split(link, '/')[-1]) AS filename FROM named WHERE contains(trim(string_split(link, '/')[-1]), 'th')"""

@@ -1,5 +1,6 @@
 """Sinks: parquet and JDBC, loads that can be run again, counts taken on the write."""
 
+from .clustered import write_clustered
 from .monthly import committed_loads, read_loads, write_load
 from .observed import Measured, MeasuredFunnel, write_clean, write_tables
 from .writers import jdbc_options, write_jdbc, write_parquet, write_star
@@ -11,6 +12,7 @@ __all__ = [
     "jdbc_options",
     "read_loads",
     "write_clean",
+    "write_clustered",
     "write_jdbc",
     "write_load",
     "write_parquet",
