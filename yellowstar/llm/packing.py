@@ -188,10 +188,11 @@ def intervals(plan: list[tuple[tuple[int, ...], int]], capacity: int) -> dict[in
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``cut`` (one row per piece, with ``length``) with sequence_id and offset.
 
-    ``cut`` must be stored (its partitions are read twice and must agree).
+    The pieces are written together with the number of the part they are
+    ranked in: both the ranks and the parts' offsets rest on that column.
     """
     columns = cut.columns
-    here = cut.withColumn("part", F.spark_partition_id())
+    here = saved(cut.withColumn("part", F.spark_partition_id()), "pieces")
     counts = here.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -199,7 +200,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``capacity`` rows
         demand[row["length"]] = row["n"]
     table = intervals(plan_sequences(demand, capacity), capacity)
-    local = Window.partitionBy("part", "length").orderBy("doc_id", "piece")
+    local = Window.partitionBy("part", "length").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = here.withColumn("local", F.row_number().over(local) - 1)
     met = ranked.join(bases, ["part", "length"]).withColumn("rank", F.col("base") + F.col("local"))
 
@@ -227,4 +228,4 @@ def pack_documents(
     docs: DataFrame, spec: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(saved(pieces(docs, spec, capacity, id_col, text_col), "pieces"), capacity)
+    return pack(pieces(docs, spec, capacity, id_col, text_col), capacity)

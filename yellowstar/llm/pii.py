@@ -275,9 +275,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         order = F.when(F.col("pattern") == j, KINDS.index(kind)).otherwise(order)
     spans = spans.select("row", "start", order.alias("kind"), "end", "base", (~F.col("base") & take).alias("added"))
     spans = spans.filter("base or added")
-    at = Window.partitionBy("row").orderBy("start", "kind", "end")
-    before = F.max(F.when(F.col("base"), F.col("end"))).over(at.rowsBetween(Window.unboundedPreceding, -1))
-    behind = F.min(F.when(F.col("base"), F.col("start"))).over(at.rowsBetween(1, Window.unboundedFollowing))
+    # running values in one order and in its reverse: the work is linear in the spans of a text
+    order_by = [F.col(c) for c in ("start", "kind", "end", "base")]
+    forth = Window.partitionBy("row").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy("row").orderBy(*[c.desc() for c in order_by]).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.max(F.when(F.col("base"), F.col("end"))).over(forth)
+    behind = F.min(F.when(F.col("base"), F.col("start"))).over(back)
     clear = ~F.coalesce(before > F.col("start"), F.lit(False)) & ~F.coalesce(behind < F.col("end"), F.lit(False))
     spans = spans.withColumn("clear", clear).filter("base or clear").dropDuplicates(["row", "start", "kind", "end"])
     per_row = spans.groupBy(F.col("row").alias("r")).agg(

@@ -7,10 +7,12 @@ The votes are counted by pattern over all documents (at most ``3**10``
 patterns); expectation-maximisation estimates how accurate each labeller is
 and the posterior of each pattern. Posterior labels train a linear scorer over
 hashed words, word pairs, word endings and echoed words, fitted on a bounded sample of
-``SAMPLE`` documents of each side (those of smallest id hash); every document
-is scored by it.
+``SAMPLE`` documents of each side (those of smallest hash of id and text, of at
+most ``SAMPLE_CHARS`` characters); every document is scored by it.
 
-Defined cases: null and empty texts have no words and score 0. If all
+Defined cases: null and empty texts have no words and score 0. Rows that share
+an id, or have none, are labelled each by its own text; rows equal in both
+are one in the sample. If all
 documents fall on one side there is nothing to separate: the scorer is
 constant and the posterior alone decides. Rows are independent; an empty table
 gives an empty result.
@@ -31,6 +33,8 @@ from .weak_labels import estimate
 BUCKETS = 1 << 15
 #: Documents of each side that the scorer is fitted on, at most.
 SAMPLE = 2_500
+#: Characters of a text that the scorer may be fitted on; longer ones are scored, but not in the sample.
+SAMPLE_CHARS = 50_000
 STEPS = 60
 #: First guesses: share of good documents, and how often a labeller is right on good and on bad ones
 #: (a bad document shows in a few labellers only, each knows one kind of it).
@@ -127,8 +131,10 @@ def fit(buckets: np.ndarray, owners: np.ndarray, labels: np.ndarray) -> tuple[np
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, score (probability of good text) and kept."""
-    rows = id_text(docs, id_col, text_col)
-    voted = saved(labelled(rows), "votes")
+    # a row's mark tells its id and text: rows that share an id are sampled each for itself
+    rows = id_text(docs, id_col, text_col).withColumn("mark", F.xxhash64(F.lit(1), "doc_id", "text"))
+    voted = labelled(rows.select(F.struct("doc_id", "mark", F.length("text").alias("chars")).alias("doc_id"), "text"))
+    voted = saved(voted.select("doc_id.mark", "doc_id.chars", "votes"), "votes")
     tally = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()  # bounded by the patterns
     counts = {tuple(r["votes"]): r["n"] for r in tally}
     weights, bias = np.zeros(BUCKETS), 0.0
@@ -136,14 +142,14 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
         _, _, post = estimate(counts, start=START)
         good = [F.array(*[F.lit(v) for v in p]) for p, x in post.items() if x >= 0.5]
         side = F.col("votes").isin(good) if good else F.lit(False)
-        marked = voted.select("doc_id", side.alias("good")).dropna()
+        marked = voted.filter(F.col("chars") <= SAMPLE_CHARS).select("mark", side.alias("good")).distinct()
         picked = None
         for value in (True, False):
-            part = marked.filter(F.col("good") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+            part = marked.filter(F.col("good") == value).orderBy(F.xxhash64("mark"), "mark").limit(sample)
             picked = part if picked is None else picked.union(part)
-        # at most 2 * sample ids and their texts
-        bounded = F.broadcast(picked.groupBy(F.col("doc_id").alias("p")).agg(F.min("good").alias("good")))
-        chosen = rows.join(bounded, F.col("doc_id") == F.col("p")).select(
+        # at most 2 * sample marks; rows equal in id and text are one
+        bounded = F.broadcast(picked.select(F.col("mark").alias("p"), "good"))
+        chosen = rows.join(bounded, F.col("mark") == F.col("p")).dropDuplicates(["mark"]).select(
             F.col("good").cast("int").alias("doc_id"), "text"
         )
 
