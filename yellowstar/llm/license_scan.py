@@ -1,111 +1,81 @@
 """Licence scan: a trained paragraph classifier with template confirmation.
 
-Paragraphs are lines that hold a word. A softmax regression over hashed words
-and word pairs is trained on licence templates (whole, and every run of words
-of some lengths) against the class "unknown", for which a bounded sample of
-``SAMPLE`` corpus lines stands. Half of that sample calibrates the unknown
-class: a family is predicted only when its probability exceeds what all but
-one in a thousand of those lines reach, and at least a half. A prediction
-counts when the template comparison confirms it: enough of the paragraph's, or
-of a template's, word pairs are found in the other.
-
-Only lines that hold one of ``CUES`` are scored: every template sentence holds
-one and confirmation asks for one, so other lines are unknown in any case.
-
-Only DataFrame functions run on the executors; the model is a table of
-``BUCKETS`` weights a family, trained on the driver from the bounded sample.
-
-Defined cases: null and empty texts have no paragraphs. A line is judged by
-itself, so ties, repeats and other columns don't matter. An empty table gives
-an empty result.
+Paragraphs are the parts of a text between blank lines; each is judged as a
+whole, so that a notice wrapped over lines is one, and, if it has several
+lines, line by line, so that a notice within prose stands out. The classifier
+is a sparse softmax regression over the hashed words and word pairs that occur
+in licence texts (all others weigh nothing), against the class "unknown".
+
+It is trained on names, notices and body sentences of public licences, whole,
+in part, in usual surroundings and with words left out or put around, against
+a bounded sample of ``SAMPLE`` paragraphs and lines of the corpus (from about
+``SAMPLE_DOCS`` documents of any kind and as many that hold a licence word, those
+of smallest text hash), less those that the templates confirm, and a few
+phrases that hold licence words but name no licence. Half of the sample is held back and calibrates the
+unknown class: a family is predicted only when its probability exceeds what
+all but one in a thousand of those reach, and at least a half. The template
+comparison then confirms the prediction: a name or sentence of the family is
+found in the paragraph, or the paragraph is largely found in a sentence.
+
+Every paragraph and line is scored. A first look adds up, word by word, the
+most that any family could gain from it; where that sum leaves no family a
+probability of a half, the rest need not be computed.
+
+Only DataFrame functions run on the executors; the model is a few tables of
+constants, trained on the driver from the bounded sample. The bound on the hash
+follows from a first count, so what reaches the driver does not grow with the
+tasks.
+
+Defined cases: null and empty texts have no paragraphs. A paragraph is judged
+by itself, so ties, repeats and other columns don't matter. An empty table
+gives an empty result. Known limits, by choice: the name of a licence as a
+word by itself in prose ("at MIT") is unknown; notices in languages other than
+English are found by names only.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, long_array, saved
+from .license_templates import CARRIERS, NAMES, OTHER, SENTENCES
 
-BUCKETS = 1 << 11
-#: Corpus lines that stand for the unknown class, at most.
+BUCKETS = 1 << 16
+#: Corpus paragraphs and lines that stand for the unknown class, at most.
 SAMPLE = 4_000
-#: Share of word pairs that must be found in the template, or the template's in the line.
-CONFIRM = 0.6
-
-# Sentences of public licences, by family.
-TEMPLATES = {
-    "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
-        "SPDX-License-Identifier: Apache-2.0",
-    ],
-    "BSD": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "Released under the BSD License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
-    ],
-    "CC-BY": [
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-        "SPDX-License-Identifier: CC-BY-4.0",
-    ],
-    "CC-BY-NC": [
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Licensed under CC BY-NC 4.0.",
-        "SPDX-License-Identifier: CC-BY-NC-4.0",
-    ],
-    "CC-BY-SA": [
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-        "Licensed under CC BY-SA 4.0.",
-        "SPDX-License-Identifier: CC-BY-SA-4.0",
-    ],
-    "CC0": [
-        "To the extent possible under law, the author has waived all copyright and related rights to this work.",
-        "This work is dedicated to the public domain under the CC0 license.",
-        "SPDX-License-Identifier: CC0-1.0",
-    ],
-    "GPL": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
-    ],
-    "LGPL": [
-        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
-        "SPDX-License-Identifier: LGPL-2.1-or-later",
-    ],
-    "MIT": [
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including the license notice above.",
-        "SPDX-License-Identifier: MIT",
-    ],
-    "MPL-2.0": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
-    ],
-    "Proprietary": [
-        "Copyright. All rights reserved. No part of this publication may be reproduced without prior written permission.",
-        "All rights reserved.",
-        "This material is proprietary and confidential; unlicensed use is prohibited.",
-    ],
-}
-#: Every template sentence holds one of these parts (in lower case).
-CUES = ["licen", "copyright", "rights reserved", "redistribut", "permission is hereby", "public domain"]
-
-FAMILIES = sorted(TEMPLATES)
-UNKNOWN = len(FAMILIES)
-
-
-def tokens(line: Column) -> Column:
-    """Lower-cased words of letters, digits, dots and dashes inside."""
-    return F.regexp_extract_all(F.lower(line), F.lit(r"[a-z0-9]+(?:[.-][a-z0-9]+)*"), F.lit(0))
-
-
-def _tokens(line: str) -> list[str]:
-    return re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", line.lower())
+#: Documents that they are taken from, about, of each of two kinds; longer ones are scored, but not in the sample.
+SAMPLE_DOCS = 400
+SAMPLE_CHARS = 20_000
+#: Share of a sentence's word pairs that must be found in the paragraph, or of the paragraph's in a sentence.
+CONFIRM = 0.7
+#: Words of a paragraph that may be confirmed as a part of a longer sentence, at least.
+PART_WORDS = 6
+#: A score is divided by the root of the number of words, up to this many.
+LONG = 64
+STEPS = 250
+MICRO = 1_000_000
+
+FAMILIES = sorted(NAMES.keys() | SENTENCES.keys())
+WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+# Parts of words that licence texts often hold; they choose half of the sample and nothing else.
+HINTS = ["licen[sc]", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "rights reserved", "proprietary"]
+#: Names that are confirmed only beside a word that speaks of licences.
+PLAIN_NAMES = ("mit", "isc", "unlicense", "gpl", "mpl")
+
+
+def tokens(text: Column) -> Column:
+    """Lower-cased words of letters, digits, dots and dashes inside; one spelling of "license"."""
+    lower = F.replace(F.lower(text), F.lit("licence"), F.lit("license"))
+    return F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
+
+
+def _tokens(text: str) -> list[str]:
+    return re.findall(WORD, text.lower().replace("licence", "license"))
 
 
 def pairs(ts: Column) -> Column:
@@ -114,165 +84,321 @@ def pairs(ts: Column) -> Column:
     return F.transform(first, lambda t, i: F.concat(t, F.lit(" "), F.get(ts, i + 1)))
 
 
-def _grams(ts: list[str]) -> list[str]:
-    return ts + [f"{a} {b}" for a, b in zip(ts, ts[1:])]
+def _pairs(ts: list[str]) -> list[str]:
+    return [f"{a} {b}" for a, b in zip(ts, ts[1:])]
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """Lines with a cue, their words and hashed word n-grams: row, doc_id, line (its number), ts, grams."""
-    lower = F.lower("line_text")
-    cue = F.lit(False)
-    for c in CUES:
-        cue = cue | F.contains(lower, F.lit(c))
-    lines = docs.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "line_text")).filter(cue)
-    return lines.withColumn("ts", tokens(F.col("line_text"))).drop("line_text")
+def bucket(gram: Column) -> Column:
+    return F.xxhash64(gram).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def buckets(ts: Column) -> Column:
-    """Hash buckets of a line's words and word pairs."""
+def templates() -> dict[str, list[list[str]]]:
+    """Per family the words of its names and sentences."""
+    return {f: [_tokens(x) for x in NAMES.get(f, []) + SENTENCES.get(f, [])] for f in FAMILIES}
 
-    def bucket(g: Column) -> Column:
-        return F.xxhash64(g).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
-    return F.concat(F.transform(ts, bucket), F.transform(pairs(ts), bucket))
+def examples(noise: list[list[str]]) -> tuple[list[list[str]], list[int]]:
+    """Training paragraphs and their families: names in surroundings, sentences whole and in part, some with noise."""
+    rng = np.random.default_rng(0)
+    out, labels = [], []
 
+    def add(k: int, words: list[str]) -> None:
+        out.append(words)
+        labels.append(k)
+        kept = [w for w in words if rng.random() > 0.08] if len(words) > 5 else words
+        around = noise[rng.integers(len(noise))] if noise else []
+        cut = rng.integers(0, 9)
+        out.append([*around[:cut], *kept, *around[cut : cut + rng.integers(0, 9)]])
+        labels.append(k)
 
-def _variants() -> tuple[list[list[str]], list[int]]:
-    """Training texts: templates whole and in runs of 3 to 24 words that hold a word of their own."""
-    texts, labels = [], []
     for k, family in enumerate(FAMILIES):
-        for sentence in TEMPLATES[family]:
-            ts = _tokens(sentence)
-            texts += [ts] * 5
-            labels += [k] * 5
-            for size in (6, 12, 24):
-                for at in range(0, len(ts) - size + 1, 2):
-                    texts.append(ts[at : at + size])
-                    labels.append(k)
-    return texts, labels
-
+        for name in NAMES.get(family, []):
+            for carrier in CARRIERS:
+                if carrier != "{}" or _tokens(name)[0] not in PLAIN_NAMES or len(_tokens(name)) > 1:
+                    add(k, _tokens(carrier.format(name)))
+        for sentence in SENTENCES.get(family, []):
+            words = _tokens(sentence)
+            for _ in range(6):
+                add(k, words)
+            for size in (10, 16, 24):
+                for at in range(0, len(words) - size + 1, size // 2):
+                    add(k, words[at : at + size])
+    return out, labels
+
+
+def paragraphs(text: Column) -> Column:
+    """``paragraph`` (its number) and ``lines`` (the words of each line) of every paragraph that holds a word."""
+    blocks = F.filter(F.split(text, r"\n(?:[\x20\x09-\x0D]*\n)+"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return F.transform(
+        blocks, lambda x, i: F.struct(i.alias("paragraph"), F.transform(F.split(x, "\n"), tokens).alias("lines"))
+    )
 
-def _sample(docs: DataFrame) -> list[list[str]]:
-    """At most ``SAMPLE`` corpus lines without a cue, those of smallest hash."""
-    lower = F.lower("x")
-    cue = F.lit(False)
-    for c in CUES:
-        cue = cue | F.contains(lower, F.lit(c))
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("x"))
-    lines = lines.filter(~cue & (F.length("x") > 10)).select(F.substring("x", 1, 2000).alias("x"))
-    rows = lines.orderBy(F.xxhash64("x"), "x").limit(SAMPLE).collect()
-    return [_tokens(r["x"]) for r in rows]
-
-
-def _hash_grams(spark, texts: list[list[str]]) -> dict[str, int]:
-    """Buckets of the training n-grams, by the engine's own hash."""
-    every = sorted({g for ts in texts for g in _grams(ts)})
-    frame = spark.createDataFrame([(g,) for g in every], "g string")
-    rows = frame.select("g", F.xxhash64("g").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).collect()
-    return {r["g"]: r["b"] for r in rows}
 
+def units(docs: DataFrame) -> DataFrame:
+    """``row``, ``paragraph`` and ``lines`` of every paragraph of ``docs`` (row, text)."""
+    return docs.select("row", F.explode(paragraphs(F.col("text"))).alias("p")).select("row", "p.*")
 
-def train(docs: DataFrame, steps: int = 300) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """Weights (class x bucket), biases, and the probability each family must exceed."""
-    texts, labels = _variants()
-    unknown = _sample(docs)
-    held = unknown[1::2]
-    # licence words in other surroundings are unknown, too
-    loose = [["license", w] for w in ("plate", "fee", "driver", "number", "agreement")] + [["licensed"], ["license"], ["copyright"]]
-    train_texts = texts + unknown[::2] + loose
-    y = np.array(labels + [UNKNOWN] * (len(unknown[::2]) + len(loose)))
-    where = _hash_grams(docs.sparkSession, train_texts + held)
 
-    def matrix(items):
-        x = np.zeros((len(items), BUCKETS), np.float32)
-        for i, ts in enumerate(items):
-            for g in _grams(ts):
-                x[i, where[g]] += 1
-        return x / np.maximum(x.sum(axis=1, keepdims=True), 1) * 4
-
-    x = matrix(train_texts)
-    classes = UNKNOWN + 1
-    share = np.bincount(y, minlength=classes).astype(np.float32)
-    weight = (len(y) / classes / np.maximum(share, 1))[y]
-    w, b = np.zeros((classes, BUCKETS), np.float32), np.zeros(classes, np.float32)
-    target = np.eye(classes, dtype=np.float32)[y]
-    for _ in range(steps):
-        p = _softmax(x @ w.T + b)
-        error = (target - p) * weight[:, None]
-        w += 8.0 * (error.T @ x) / len(y) - 1e-4 * w
-        b += 1.0 * error.mean(axis=0)
-    reach = _softmax(matrix(held) @ w.T + b) if held else np.zeros((0, classes))
-    floors = [max(0.5, float(np.quantile(reach[:, k], 0.999)) if len(reach) else 0.5) for k in range(UNKNOWN)]
-    return w, b, floors
-
-
-def _softmax(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
-
-
-def predict(lines: DataFrame, model: tuple[np.ndarray, np.ndarray, list[float]]) -> DataFrame:
-    """``lines`` with ``family`` (null: unknown) and ``prob``."""
-    w, b, floors = model
-    tables = [long_array(np.round(row * 1e6)) for row in w]
-    at = lines.withColumn("grams", buckets(F.col("ts")))
-    scale = F.greatest(F.size("grams"), F.lit(1))
-    logits = F.array(
-        *[
-            F.aggregate("grams", F.lit(0).cast("bigint"), _adder(t)) * 4 / scale / 1e6 + float(b[k])
-            for k, t in enumerate(tables)
-        ]
-    )
-    # written, so that the few lines are scored once and not once per use of a score
-    scored = saved(at.select(*lines.columns, logits.alias("z")), "licence-scores")
-    top = F.array_max("z")
-    k = F.array_position("z", top).cast("int") - 1
-    prob = F.lit(1.0) / F.aggregate("z", F.lit(0.0), lambda n, x: n + F.exp(x - top))
-    named = F.array(*[F.lit(f) for f in FAMILIES], F.lit(None).cast("string"))
-    floor = F.array(*[F.lit(f) for f in floors], F.lit(1.0))
-    return scored.select(
-        *lines.columns, F.when(prob >= F.get(floor, k), F.get(named, k)).alias("family"), prob.alias("prob")
+def split_units(each: DataFrame) -> DataFrame:
+    """``row, paragraph, line, ts``: every paragraph as a whole (line -1) and, of several lines, each line."""
+    whole = F.struct(F.lit(-1).alias("line"), F.flatten("lines").alias("ts"))
+    own = F.transform("lines", lambda ts, i: F.struct(i.alias("line"), ts.alias("ts")))
+    parts = F.when(F.size("lines") > 1, F.concat(F.array(whole), own)).otherwise(F.array(whole))
+    return each.select("row", "paragraph", F.explode(parts).alias("u")).select("row", "paragraph", "u.line", "u.ts").filter(
+        F.size("ts") > 0
     )
 
 
+def _norm(n: Column) -> Column:
+    return F.sqrt(F.least(F.greatest(n, F.lit(1)), F.lit(LONG)).cast("double"))
+
+
+@dataclass
+class Model:
+    """Buckets of the known n-grams, a weight per family and n-gram, and the probability a family must exceed."""
+
+    where: np.ndarray  # bucket of each feature
+    weights: np.ndarray  # family x feature, in millionths
+    bias: np.ndarray
+    floors: list[float]
+    most: np.ndarray  # per feature (a word) the most any family gains from it and from pairs counted with it
+
+    def bound(self, ts: Column) -> Column:
+        """No less than any family's score of the words."""
+        table = np.zeros(BUCKETS, np.int64)
+        np.maximum.at(table, self.where, self.most)
+        gain = F.aggregate(ts, F.lit(0).cast("bigint"), lambda n, t: n + F.get(long_array(table), bucket(t)))
+        return gain / MICRO / _norm(F.size(ts)) + float(self.bias.max())
+
+    def scores(self, ts: Column) -> Column:
+        """Score of each family against the unknown class."""
+        table = np.zeros(BUCKETS, np.int64)
+        table[self.where] = np.arange(1, len(self.where) + 1)
+        number = long_array(table)
+        ids = F.concat(F.transform(ts, lambda g: F.get(number, bucket(g))), F.transform(pairs(ts), lambda g: F.get(number, bucket(g))))
+        ids = F.filter(ids, lambda i: i > 0).cast("array<int>")
+        lists = [long_array([0, *row]) for row in self.weights]
+        # the numbers are found once, then summed per family
+        return F.get(
+            F.transform(
+                F.array(ids),
+                lambda own: F.array(
+                    *[
+                        F.aggregate(own, F.lit(0).cast("bigint"), _adder(t)) / MICRO / _norm(F.size(ts)) + float(b)
+                        for t, b in zip(lists, self.bias, strict=True)
+                    ]
+                ),
+            ),
+            F.lit(0),
+        )
+
+
 def _adder(table: Column):
     return lambda n, g: n + F.get(table, g)
 
 
+def _hashed(spark, grams: list[str]) -> dict[str, int]:
+    """Buckets of n-grams, by the engine's own hash."""
+    rows = spark.createDataFrame([(g,) for g in grams], "g string").select("g", bucket(F.col("g")).alias("b")).collect()
+    return {r["g"]: r["b"] for r in rows}
+
+
+def _sample(docs: DataFrame) -> list[list[str]]:
+    """Words of at most ``SAMPLE`` distinct paragraphs and lines, from documents of small text hash.
+
+    Half of the documents are taken from all, half from those that hold one
+    of ``HINTS`` (where there are any).
+    """
+    short = docs.filter(F.length("text").between(1, SAMPLE_CHARS))
+    hint = F.lower("text").rlike("|".join(HINTS))
+    n, hinted = short.agg(F.count(F.lit(1)), F.count_if(hint)).first()
+    at = F.pmod(F.xxhash64("text"), F.lit(1 << 32))
+
+    def below(many: int) -> Column:
+        return at < int(min(1.0, SAMPLE_DOCS / max(many, 1)) * (1 << 32))
+
+    some = short.filter(below(n) | (below(hinted) & hint))
+    parts = split_units(units(some)).select(F.array_join("ts", " ").alias("x")).distinct()
+    # about 2 * SAMPLE_DOCS short texts' parts
+    rows = parts.orderBy(F.xxhash64("x"), "x").limit(SAMPLE).collect()
+    return [r["x"].split(" ") for r in rows]
+
+
+def train(docs: DataFrame) -> Model:
+    """Fit the classifier; ``docs`` (row, text) give the unknown class."""
+    rng = np.random.default_rng(1)
+    known = templates()
+    corpus = [ts for ts in _sample(docs) if not any(_confirmed(ts, known[f]) for f in FAMILIES)]
+    order = rng.permutation(len(corpus))
+    held, unknown = [corpus[i] for i in order[1::2]], [corpus[i] for i in order[::2]]
+    texts, labels = examples(unknown)
+    other = [_tokens(x) for x in OTHER] + [_tokens(c.format("")) for c in CARRIERS]
+    unknown += [x for x in other for _ in range(4)]
+    grams = sorted({g for ts in known.values() for t in ts for g in t + _pairs(t)} | {g for c in CARRIERS for g in _tokens(c.format(""))})
+    place = _hashed(docs.sparkSession, sorted({*grams, *(g for ts in [*texts, *unknown, *held] for g in ts + _pairs(ts))}))
+    where = np.unique([place[g] for g in grams])
+    column = np.full(BUCKETS, -1)
+    column[where] = np.arange(len(where))
+
+    def matrix(items: list[list[str]]) -> np.ndarray:
+        x = np.zeros((len(items), len(where)), np.float32)
+        for i, ts in enumerate(items):
+            at = column[[place[g] for g in ts + _pairs(ts)]] if ts else np.zeros(0, np.int64)
+            np.add.at(x[i], at[at >= 0], 1 / np.sqrt(min(max(len(ts), 1), LONG)))
+        return x
+
+    k = len(FAMILIES)
+    x = np.concatenate([matrix(texts), matrix(unknown)])
+    y = np.array(labels + [k] * len(unknown))
+    count = np.bincount(y, minlength=k + 1)
+    # the families share half of the weight, the unknown class has the other
+    weight = np.where(y == k, 0.5 / max(count[k], 1), 0.5 / k / np.maximum(count[y], 1)).astype(np.float32)
+    w, b = _fit(x, y, weight, k)
+    reach = _probabilities(matrix(held) @ w.T + b) if held else np.zeros((0, k))
+    floors = [max(0.5, float(np.quantile(reach[:, i], 0.999)) if len(reach) else 0.5) for i in range(k)]
+    micro = np.rint(w * MICRO).astype(np.int64)
+    return Model(where, micro, b, floors, _most(micro, grams, place, column, held))
+
+
+def _most(weights: np.ndarray, grams: list[str], place: dict[str, int], column: np.ndarray, corpus: list[list[str]]) -> np.ndarray:
+    """Per word its own greatest weight and those of the pairs counted with it (with their rarer word)."""
+    seen: dict[str, int] = {}
+    for ts in corpus:
+        for t in set(ts):
+            seen[t] = seen.get(t, 0) + 1
+    top = np.maximum(weights.max(axis=0), 0)
+    out = np.zeros(weights.shape[1], np.int64)
+    after: dict[int, dict[str, int]] = {}
+    for g in grams:
+        i = column[place[g]]
+        if " " not in g:
+            out[i] = max(out[i], top[i])
+        else:
+            rare = min(g.split(" "), key=lambda t: (seen.get(t, 0), t))
+            best = after.setdefault(column[place[rare]], {"left": 0, "right": 0})
+            side = "right" if g.startswith(rare + " ") else "left"
+            best[side] = max(best[side], int(top[i]))
+    for i, best in after.items():
+        # a word stands in one pair on each side
+        out[i] += best["left"] + best["right"]
+    return out
+
+
+def _probabilities(z: np.ndarray) -> np.ndarray:
+    """Of each family, the unknown class having score 0."""
+    top = np.maximum(z.max(axis=1, keepdims=True), 0)
+    e = np.exp(z - top)
+    return e / (e.sum(axis=1, keepdims=True) + np.exp(-top))
+
+
+def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax regression with the unknown class (``k``) at score 0, by accelerated proximal steps that keep weights sparse."""
+    target = np.zeros((len(y), k), np.float32)
+    target[np.flatnonzero(y < k), y[y < k]] = 1
+    w, b = np.zeros((k, x.shape[1]), np.float32), np.full(k, -1.0, np.float32)
+    grown_w, grown_b = np.full_like(w, 1e-8), np.full_like(b, 1e-8)
+    for _ in range(STEPS):
+        error = (target - _probabilities(x @ w.T + b)) * weight[:, None]
+        step_w, step_b = error.T @ x, error.sum(axis=0)
+        grown_w += step_w**2
+        grown_b += step_b**2
+        w += 0.5 * step_w / np.sqrt(grown_w)
+        b += 0.1 * step_b / np.sqrt(grown_b)
+        w = np.sign(w) * np.maximum(np.abs(w) - 1e-3, 0)
+    return w, b
+
+
+def _confirmed(ts: list[str], known: list[list[str]]) -> bool:
+    """``confirmed`` for one paragraph in plain code (used on the sample)."""
+    mine = set(_pairs(ts))
+    for words in known:
+        if len(words) == 1:
+            if words[0] in ts and (words[0] not in PLAIN_NAMES or any("licens" in t for t in ts)):
+                return True
+            continue
+        theirs = set(_pairs(words))
+        shared = len(mine & theirs)
+        if shared >= CONFIRM * len(theirs) or (len(ts) >= PART_WORDS and len(words) > PART_WORDS and shared >= CONFIRM * len(mine)):
+            return True
+    return False
+
+
 def confirmed(ts: Column, family: Column) -> Column:
-    """Whether enough word pairs of the line, or of a template of the family, are found in the other."""
+    """Whether a name or sentence of the family is found in the paragraph, or the paragraph largely in a sentence."""
     mine = F.array_distinct(pairs(ts))
+    speaks = F.exists(ts, lambda t: F.contains(t, F.lit("licens")))
     out = F.lit(False)
-    for name in FAMILIES:
-        for sentence in TEMPLATES[name]:
-            words = _tokens(sentence)
-            theirs = sorted({f"{a} {b}" for a, b in zip(words, words[1:])}) or words
-            own = mine if len(words) > 1 else ts
-            shared = F.size(F.array_intersect(own, F.array(*[F.lit(p) for p in theirs])))
-            small = F.least(F.size(own), F.lit(len(theirs)))
-            out = out | ((family == name) & (shared > 0) & (shared >= small * CONFIRM))
+    for name, known in templates().items():
+        found = F.lit(False)
+        for words in known:
+            if len(words) == 1:
+                hit = F.array_contains(ts, words[0])
+                found = found | ((hit & speaks) if words[0] in PLAIN_NAMES else hit)
+                continue
+            theirs = sorted(set(_pairs(words)))
+            shared = F.size(F.array_intersect(mine, F.array(*[F.lit(p) for p in theirs])))
+            found = found | (shared >= CONFIRM * len(theirs))
+            if len(words) > PART_WORDS:
+                found = found | ((F.size(ts) >= PART_WORDS) & (shared >= F.size(mine) * CONFIRM))
+        out = out | ((family == name) & found)
     return F.coalesce(out, F.lit(False))
 
 
+def may_name(model: Model, lines: Column) -> Column:
+    """Whether a paragraph or one of its lines can reach a probability of a half."""
+    return F.exists(lines, lambda ts: model.bound(ts) >= 0) | (model.bound(F.flatten(lines)) >= 0)
+
+
+def predict(each: DataFrame, model: Model) -> DataFrame:
+    """``row, paragraph, line, ts`` with ``family`` (null: unknown) and ``prob`` of the parts of ``each`` that may name one."""
+    parts = split_units(each).filter(model.bound(F.col("ts")) >= 0)
+    # written, so that the few parts are scored once and not once per use of a score
+    scored = saved(parts.withColumn("z", model.scores(F.col("ts"))), "licence-scores")
+    top = F.array_max("z")
+    k = F.array_position("z", top).cast("int") - 1
+    zero = F.greatest(top, F.lit(0.0))
+    prob = F.exp(top - zero) / (F.aggregate("z", F.exp(-zero), lambda n, x: n + F.exp(x - zero)))
+    named = F.array(*[F.lit(f) for f in FAMILIES])
+    floor = F.array(*[F.lit(f) for f in model.floors])
+    return scored.select(
+        "row", "paragraph", "line", "ts", F.when(prob >= F.get(floor, k), F.get(named, k)).alias("family"), prob.alias("prob")
+    )
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_paragraphs, n_licensed, families, and lines (number:family, joined)."""
+    """One row per document: doc_id, n_paragraphs, n_licensed, families, and lines (paragraph:family, joined).
+
+    A line's family counts for its paragraph; the family of the paragraph as
+    a whole counts where no line of it names one.
+    """
     rows = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     model = train(rows)
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    every = rows.select("row", "doc_id", F.size(lines).cast("bigint").alias("n_paragraphs"), "text")
-    lower = F.lower("text")
-    cue = F.lit(False)
-    for c in CUES:
-        cue = cue | F.contains(lower, F.lit(c))
-    table = saved(every.withColumn("text", F.when(cue, F.col("text"))), "licence-lines")
-    found = predict(saved(paragraphs(table.filter("text is not null")), "licence-paragraphs"), model).filter("family is not null")
-    found = found.filter(confirmed(F.col("ts"), F.col("family")))
-    per_row = found.groupBy(F.col("row").alias("r")).agg(
-        F.count(F.lit(1)).alias("n_licensed"),
+    # row numbers and paragraphs are written together, from one reading; the texts are not
+    read = rows.select("row", "doc_id", paragraphs(F.col("text")).alias("all"))
+    table = saved(
+        read.select(
+            "row",
+            "doc_id",
+            F.size("all").cast("bigint").alias("n_paragraphs"),
+            F.filter("all", lambda x: may_name(model, x["lines"])).alias("open"),
+        ),
+        "licence-paragraphs",
+    )
+    each = table.select("row", F.explode("open").alias("p")).select("row", "p.*")
+    found = predict(each, model).filter("family is not null").filter(confirmed(F.col("ts"), F.col("family")))
+    best = found.groupBy("row", "paragraph").agg(
+        F.max(F.col("line") >= 0).alias("by_line"),
+        F.collect_set(F.struct((F.col("line") >= 0).alias("is_line"), "family")).alias("all"),
+    )
+    named = best.select(
+        "row", "paragraph", F.explode(F.filter("all", lambda x: x["is_line"] == F.col("by_line"))).alias("x")
+    ).select("row", "paragraph", "x.family")
+    per_row = named.groupBy(F.col("row").alias("r")).agg(
+        F.count_distinct("paragraph").alias("n_licensed"),
         F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"),
-        F.sort_array(F.collect_list(F.struct("line", "family"))).alias("at"),
+        F.sort_array(F.collect_list(F.struct("paragraph", "family"))).alias("at"),
     )
-    shown = F.array_join(F.transform("at", lambda x: F.concat_ws(":", x["line"], x["family"])), ",")
+    shown = F.array_join(F.transform("at", lambda x: F.concat_ws(":", x["paragraph"], x["family"])), ",")
     return table.join(per_row, F.col("row") == F.col("r"), "left").select(
         "doc_id",
         "n_paragraphs",
