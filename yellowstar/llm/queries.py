@@ -70,12 +70,24 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.held_out_predictions(table(spark, sf_dir, "documents"))
 
 
+def pii_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts of op7, which SQL can state."""
+    return pii.find(table(spark, sf_dir, "documents")).select("doc_id", *[f"n_{kind}" for kind in pii.KINDS])
+
+
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base columns of op10, which SQL can state."""
+    return op10_quality_rules(spark, sf_dir).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_compact_window_passages, op2_exact_dedup, op3_minhash_near_dedup, op4_suffix_array_dedup, op5_sentencepiece,
         op6_quality_classifier, op7_pii, op8_best_fit_packing, op9_license_scan, op10_quality_rules,
-        op11_source_divergence, op12_centroid_clustering, op13_language_id,
+        op11_source_divergence, op12_centroid_clustering, op13_language_id, pii_base_counts, quality_base_counts,
     )
 }
 
@@ -149,4 +161,39 @@ ranked AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 200""",
     "op12_centroid_clustering": _cluster_sql(),
+    "pii_base_counts": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+m AS (
+  SELECT doc_id,
+    regexp_extract_all(x, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+', 0) AS email,
+    regexp_extract_all(x, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)', 0) AS ip,
+    list_transform(regexp_extract_all(x, '[0-9]([\x20-]?[0-9])+', 0), lambda c: regexp_replace(c, '[^0-9]', '', 'g')) AS card,
+    list_transform(regexp_extract_all(x, '\+[0-9][\x20().0-9-]+[0-9]', 0), lambda c: regexp_replace(c, '[^0-9]', '', 'g')) AS phone
+  FROM t)
+SELECT doc_id, CAST(len(email) AS BIGINT) AS n_email,
+  CAST(len(list_filter(ip, lambda a: list_max(list_transform(string_split(a, '.'),
+    lambda p: CASE WHEN length(ltrim(p, '0')) > 3 THEN 999 ELSE coalesce(TRY_CAST(ltrim(p, '0') AS INTEGER), 0) END)) <= 255)) AS BIGINT) AS n_ip,
+  CAST(len(list_filter(card, lambda d: length(d) BETWEEN 14 AND 19 AND list_sum(list_transform(string_split(reverse(d), ''),
+    lambda c, i: CASE WHEN i % 2 = 1 THEN CAST(c AS INTEGER) ELSE (2 * CAST(c AS INTEGER)) // 10 + (2 * CAST(c AS INTEGER)) % 10 END)) % 10 = 0)) AS BIGINT) AS n_card,
+  CAST(len(list_filter(phone, lambda d: length(d) BETWEEN 10 AND 15)) AS BIGINT) AS n_phone
+FROM m""",
+    "quality_base_counts": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+wins AS (
+  SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS w
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM t WHERE len(ws) >= 3)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM wins) WHERE n >= 2),
+marked AS (SELECT r, count(DISTINCT i + k) AS n FROM again, range(3) s(k) GROUP BY r),
+c AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+    coalesce(n, 0) AS n_repeat_words
+  FROM t LEFT JOIN marked USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+FROM c""",
 }
