@@ -28,7 +28,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,13 +131,9 @@ class KeyRegistry:
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder with files is there, asked of the store that Spark reads."""
-    try:
-        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).inputFiles())
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+    """Whether a path is there, asked of the store that Spark writes to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def registries(spark: SparkSession, base: str, clean: DataFrame, specs: dict[str, DimSpec] = SPECS) -> dict[str, KeyRegistry]:
