@@ -113,3 +113,38 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 30)] + [(100, 100 + k) for k in range(1, 30)]
     got = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert set(got.values()) == {1, 100} and len(got) == 60
+
+
+def test_words_of_a_regular_pattern_stand_apart(spark):
+    """A long word and its complement, whose polynomial hashes modulo 2**64 are equal."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
+    h, owner, _ = shingles([one, two])
+    assert owner.tolist() == [0, 1] and h[0] != h[1]
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["class_id"], r["kept"]) for r in near_dedup.classes(docs).collect()} == {
+        (1, 1, True), (2, 2, True), (3, 1, False)
+    }
+
+
+def test_similarity_is_that_of_the_sets():
+    def text(*parts):
+        return " ".join(f"w{i}" for part in parts for i in part)
+
+    # 100 shingles each
+    base = text(range(104))
+    texts = [base, text(range(93), range(200, 211)), text(range(92), range(200, 212)), base, "one two", "ONE two", "one two three"]
+    assert near_dedup.similar([(0, 1), (0, 2), (0, 3), (4, 5), (4, 6), (0, 4)], texts) == [True, False, True, True, False, False]
+
+
+def test_scratch_tables_go(spark, docs):
+    import os
+
+    from yellowstar.session import ensure_checkpoint_dir
+
+    def tables():
+        return {x.rsplit("-", 1)[0] for x in os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:"))}
+
+    before = tables()
+    near_dedup.classes(docs).count()
+    assert not {"sketches", "bucket-members", "candidate-texts", "pairs", "links", "edges"} & (tables() - before)

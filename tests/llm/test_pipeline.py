@@ -90,7 +90,8 @@ def test_stages_equal_brute_force(spark, docs, labels, tmp_path):
         family += [(500 + k, " ".join(w)), (600 + k, " ".join(w).upper()), (700 + k, " ".join(f"z{k}x{i}" for i in range(80)))]
     family += [(800, " ".join(f"q{i}" for i in range(70)) + " write to a.b@c.example.org or 10.1.2.3"), (801, " ".join(f"q{i}y" for i in range(5000)))]
     extra = spark.createDataFrame([(i, t, "a", i, 1, "x") for i, t in family], docs.schema)
-    labels = labels.union(spark.createDataFrame([(500, 1, 0), (700, 1, 0), (701, 1, 0)], labels.schema))
+    # of the texts of their own only some are trusted
+    labels = labels.union(spark.createDataFrame([(i, 1, 0) for i, _ in family if not 704 <= i < 720], labels.schema))
     docs.union(extra).write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     now, steps = spark.read.parquet(f"{tmp_path}/documents.parquet"), dict(corpus_pipeline.STAGES)

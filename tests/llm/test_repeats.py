@@ -123,3 +123,39 @@ def test_windows_are_the_nodes_of_the_cartesian_tree():
         if right - left >= 4:
             want.add((left, c, right))
     assert got == want
+
+
+def test_equal_windows_choose_equal_anchors_whatever_else_is_in_the_batch(spark):
+    """Texts on both sides of the batch size, one-character texts and runs inside others."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    passage = " ".join(word() for _ in range(20))  # 199 bytes and one more below
+    passage += "x"
+    long = " ".join(word() for _ in range(850_000))
+    rows = [(1, passage), (2, passage + long), (3, "z" * 1_000_000), (4, "y" * 150 + word() * 40), (5, "q" * 199), (6, "q" * 150 + "!")]
+    got = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(rows[0][1]) == 200 and got[1]["n_removed"] == got[2]["n_removed"] == 200
+    assert (got[3]["n_removed"], got[3]["n_spans"]) == (1_000_000, 1)
+    assert got[4]["n_removed"] == 40 * 9 and got[5]["n_removed"] == got[6]["n_removed"] == 0
+
+
+def test_anchors_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(2)
+    # few leading strings, so that their hashes tie often
+    blob = rng.integers(97, 99, 4000).astype(np.uint8).tobytes() + b"ab" * 600
+    alone = suffix_dedup.anchors([blob])
+    for before in (b"", b"short", bytes(rng.integers(0, 200, 300_000).astype(np.uint8))):
+        _, ends, owner, at, first, last, h = suffix_dedup.anchors([before, blob])
+        own, zero = owner == 1, ends[0]
+        assert (at[own] - zero == alone[3]).all() and (first[own] - zero == alone[4]).all()
+        assert (last[own] - zero == alone[5]).all() and (h[own] == alone[6]).all()
+
+
+def test_filter_bits_reach_the_driver_in_blocks(spark):
+    from yellowstar.llm.common import twice_bitmap
+
+    values = [v for v in range(0, 400_000, 7) for _ in range(1 + v % 2)]
+    bits = np.unpackbits(twice_bitmap(spark.createDataFrame([(v,) for v in values], "v bigint"), "v", 1 << 18), bitorder="little")
+    count = np.bincount(np.array(values) & ((1 << 18) - 1), minlength=1 << 18)
+    assert (bits.astype(bool) == (count >= 2)).all()
+    assert not twice_bitmap(spark.range(0), "id", 1 << 18).any()

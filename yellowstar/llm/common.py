@@ -37,7 +37,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``saved`` returned, once every frame made from them has been written itself.
+
+    Nothing that a lost executor would have to read again may be among them.
+    """
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_._saved_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def long_array(values) -> Column:
@@ -160,15 +173,25 @@ def in_bits(df: DataFrame, column: str, words: DataFrame, bits: int = FILTER_BIT
 
 
 def twice_bitmap(values: DataFrame, column: str, bits: int):
-    """Bitmap (numpy bytes) of the hashed values that occur in two rows or more; ``bits`` / 8 bytes at most."""
+    """Bitmap (numpy bytes) of the hashed values that occur in two rows or more.
+
+    Tasks fold the bits into blocks of 512 words of 64 bits; the driver gets
+    at most ``bits`` / 2**15 rows of at most 6 kB, however many values there are.
+    """
     import numpy as np
 
     at = values.select(F.col(column).bitwiseAND(F.lit(bits - 1)).alias("bit"))
     twice = at.groupBy("bit").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
-    words = twice.groupBy(F.shiftright("bit", 3).alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(bit & 7 as int))")).alias("mask")
+    words = twice.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")
     )
-    out = np.zeros(bits // 8, np.uint8)
-    table = words.toArrow()  # at most bits / 8 rows
-    out[table.column("byte").to_numpy()] = table.column("mask").to_numpy()
-    return out
+    blocks = words.groupBy(F.shiftright("word", 9).alias("block")).agg(
+        F.collect_list(F.struct(F.expr("cast(word & 511 as int)").alias("at"), "mask")).alias("w")
+    )
+    out = np.zeros(bits // 64, np.int64)
+    table = blocks.select("block", F.col("w.at").alias("at"), F.col("w.mask").alias("mask")).toArrow().combine_chunks()
+    if table.num_rows:
+        sizes = np.asarray(table.column("at").combine_chunks().value_lengths())
+        start = np.repeat(table.column("block").to_numpy() << 9, sizes)
+        out[start + table.column("at").combine_chunks().flatten().to_numpy()] = table.column("mask").combine_chunks().flatten().to_numpy()
+    return out.view(np.uint8)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import discard, saved
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -37,11 +37,15 @@ def components(edges: DataFrame) -> DataFrame:
         large = _star(both.union(both.select("v", "u")), True)
         # after the large step every edge points down: a is larger than b
         small = _star(large.select(F.col("a").alias("u"), F.col("b").alias("v")), False)
-        now = saved(small, "edges")
+        before, now = now, saved(small, "edges")
+        discard(before)
         after = _digest(now)
         if after == seen:
             break
         seen = after
-    return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
+    both = now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
     )
+    out = saved(both, "components")
+    discard(now)
+    return out

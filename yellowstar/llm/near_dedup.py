@@ -15,13 +15,16 @@ the signature: ``BANDS`` bands of ``ROWS`` ranks; documents with an equal band
 are candidates (a pair of similarity 0.8 shares no band with probability
 3e-5, one of 0.9 with 2e-14).
 
-Groups are never expanded into pairs. Equal sets are one node. In each bucket
-every member is compared with one centre; a further round, with a few other
-centres, compares only members whose component still differs from the centre's. A last
-step takes the members of buckets that still hold several components and
-compares those of different components that share a rare shingle, by the
-prefix rule that no similar pair escapes. All comparisons are exact, on whole
-shingle sets.
+Groups are never expanded into pairs. Equal sets are one node. Buckets of the
+same nodes (a pair of similar documents shares dozens of bands) count once.
+Every member of a bucket is compared with one centre, its least node; a
+further round, with a few other centres, compares only members whose
+component still differs from the centre's. A last step takes the members of
+buckets that still hold several components and compares those of different
+components that share a rare shingle, by the prefix rule that no similar pair
+escapes. All comparisons are exact, on whole texts, as sets of 64-bit shingle
+hashes; what travels to a comparison are the two texts, which are shorter than
+their sets.
 
 Defined cases: null and empty texts and texts without words have no
 shingles and stand alone; a text of one to four words has one shingle and
@@ -36,7 +39,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_words, in_bits, map_texts, saved
+from .common import batches, bit_words, discard, flag_bits, in_bits, map_texts, saved, ship_package, text_batches
 from .components import components
 from .shingles import C1, C2, distinct, mix, shingles
 
@@ -138,104 +141,170 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, k1, k2 and the sorted set of shingle hashes."""
+    """doc_id and the sorted set of shingle hashes."""
 
     def run(texts):
         h, o, _ = shingles(texts)
         h, o = distinct(h, o)
-        size, k1, k2 = _set_keys(h, o, len(texts))
-        ends = np.cumsum(size)
-        values = h.view(np.int64)
-        return None, {"k1": k1, "k2": k2, "items": [values[e - s : e] for e, s in zip(ends, size, strict=True)]}
+        return None, {"items": np.split(h.view(np.int64), np.cumsum(np.bincount(o, minlength=len(texts)))[:-1])}
+
+    return map_texts(docs, run, "items array<bigint>", id_col, text_col)
+
+
+def similar(pairs: list[tuple[int, int]], texts: list[str]) -> list[bool]:
+    """Whether the two numbered texts of each pair have a similarity of 0.8 or more."""
+    h, o, _ = shingles(texts)
+    h, o = distinct(h, o)
+    ends = np.cumsum(np.bincount(o, minlength=len(texts)))
+    sets = np.split(h, ends[:-1])
+    out = []
+    for i, j in pairs:
+        shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        # i / (x + y - i) >= 0.8 in whole numbers
+        out.append(shared > 0 and shared * 9 >= (len(sets[i]) + len(sets[j])) * 4)
+    return out
+
 
-    return map_texts(docs, run, "k1 bigint, k2 bigint, items array<bigint>", id_col, text_col)
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose ``texts`` (node, text) have a similarity of 0.8 or more.
 
+    Only the texts of nodes in ``pairs`` travel: each once for every pair it
+    is the greater node of, and those of centres once.
+    """
+    spark = pairs.sparkSession
+    text_batches(spark)
+    ship_package(spark)
+
+    def of(end: str) -> DataFrame:
+        met = in_bits(texts, "node", bit_words(pairs, end))
+        return met.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}"))
+
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have a similarity of 0.8 or more."""
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("ia"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("ib"))
-    both = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("ia", "ib"))
-    # i / (x + y - i) >= 0.8 in whole numbers
-    return both.filter(shared * 9 >= (F.size("ia") + F.size("ib")) * 4).select("a", "b")
+    def run(record_batches):
+        import pyarrow as pa
+
+        for batch in record_batches:
+            a, b, ta, tb = (batch.column(i).to_pylist() for i in range(4))
+            # ranges stand for the lengths of the pairs' texts
+            for part in batches([range(len(x) + len(y)) for x, y in zip(ta, tb, strict=True)]):
+                number: dict[int, int] = {}
+                held: list[str] = []
+                for node, text in zip(a[part] + b[part], ta[part] + tb[part], strict=True):
+                    if node not in number:
+                        number[node] = len(held)
+                        held.append(text)
+                good = similar([(number[x], number[y]) for x, y in zip(a[part], b[part], strict=True)], held)
+                rows = batch.slice(part.start, part.stop - part.start).select([0, 1])
+                yield rows.filter(pa.array(good, pa.bool_()))
+
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def _similar_sizes(a: Column, b: Column) -> Column:
     return F.least(a, b) * 10 >= F.greatest(a, b) * 8
 
 
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
+    """What tells a row's id and text apart: a hash of the text, and one of id and text."""
+    text_hash = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    return text_hash, F.xxhash64(F.lit(1), docs[id_col], text_hash)
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, class_size, n_shingles, kept (the class's least id stays)."""
-    sketch = saved(sketches(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sketches")
-    nodes = saved(
+    return _classes(docs, id_col, text_col).drop("text_hash", "mark")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``classes`` with the marks of each row's text and of its id and text."""
+    text_hash, mark = _marked(docs, id_col, text_col)
+    texts = docs.select(docs[id_col].alias("doc_id"), text_hash.alias("text_hash"), mark.alias("mark"), docs[text_col].alias("text"))
+    keyed = texts.select(F.struct("doc_id", "text_hash", "mark").alias("doc_id"), "text")
+    sketch = sketches(keyed).select("doc_id.*", "n", "k1", "k2", "bands").withColumn("row", F.monotonically_increasing_id())
+    sketch = saved(sketch, "sketches")
+    nodes = (
         sketch.filter("n > 0")
         .groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        "shingle-sets",
+        .agg(F.min(F.struct("row", "text_hash", "mark")).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     )
-    keys = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = saved(keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c >= 2").select("key"), "shared-bands")
-    words = saved(bit_words(shared, "key"), "shared-band-bits")
-    members = in_bits(keys, "key", words).join(shared.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).drop("k")
+    # a node is the least row of its set; its text is that row's
+    nodes = saved(nodes.select("k1", "k2", F.col("rep.row").alias("node"), "rep.text_hash", "rep.mark", "n", "bands"), "shingle-sets")
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    held = keys.groupBy("key").agg(
+        F.count(F.lit(1)).alias("c"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("who")
+    )
+    # of buckets with the same members one is enough
+    buckets = saved(held.filter("c >= 2").groupBy("c", "low", "who").agg(F.min("key").alias("k")).select("k", "low"), "buckets")
+    members = in_bits(keys, "key", bit_words(buckets, "k")).join(buckets, F.col("key") == F.col("k")).drop("k")
     members = saved(members, "bucket-members")
-    wanted = members.select("node").distinct()
-    wanted = saved(nodes.join(wanted, "node").select("node", "k1", "k2", "doc_id"), "candidates")
-    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
-    near = in_bits(texts, "doc_id", saved(bit_words(ids, "wanted_id"), "candidate-bits"))
-    # an inner join (the ids are distinct): a semi join would be moved below the filter and shuffle every text
-    near = near.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    found = shingle_sets(near.select("doc_id", "text")).select("k1", "k2", "items")
-    sets = saved(found.join(wanted, ["k1", "k2"]).select("node", "items").dropDuplicates(["node"]), "candidate-sets")
-
-    labels = wanted.select("node", F.col("node").alias("comp"))
-    links, tested = None, None
+    wanted = nodes.select("node", "text_hash", "mark", "n").join(members.select("node").distinct(), "node")
+    wanted = saved(wanted, "candidates")
+    near = in_bits(texts.select("text_hash", "mark", "text"), "mark", bit_words(wanted, "mark"))
+    near = near.dropDuplicates(["mark", "text_hash"]).join(wanted.select("node", "mark", "text_hash"), ["mark", "text_hash"])
+    found = saved(near.select("node", "text"), "candidate-texts")
+    sizes = wanted.select("node", "n")
+
+    labels, links, tested = None, [], []
     for centres in (*CENTRES, 0):
-        at = members.join(labels, "node")
-        # the first round's centre is the least node, so that buckets of a class share it
-        orders = [F.xxhash64(F.lit(k), F.col("node")) for k in range(1, centres)] + [F.col("node")]
-        centre = at.groupBy(F.col("key").alias("k")).agg(
-            F.array(*[F.min(F.struct(o.alias("o"), "node", "comp", "n")) for o in orders]).alias("c"),
-            F.min("comp").alias("low"),
-            F.max("comp").alias("high"),
-        )
-        met = at.join(centre.filter("low <> high"), F.col("key") == F.col("k"))
-        if centres:
-            met = met.withColumn("c", F.explode("c")).filter(
-                (F.col("comp") != F.col("c.comp")) & _similar_sizes(F.col("n"), F.col("c.n"))
-            )
-            pairs = met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+        if labels is None:
+            size = {x: sizes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab"}
+            pairs = members.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+            pairs = pairs.join(size["a"], "a").join(size["b"], "b").filter(_similar_sizes(F.col("n_a"), F.col("n_b")))
+            pairs = pairs.select("a", "b")
         else:
-            open_ = saved(met.select("node", "comp", "n").distinct(), "open-members")
-            pairs = _prefix_pairs(open_.join(sets, "node"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            met = _open_buckets(members, labels, sizes, centres)
+            if centres:
+                met = met.withColumn("c", F.explode("c")).filter(
+                    (F.col("comp") != F.col("c.comp")) & _similar_sizes(F.col("n"), F.col("c.n"))
+                )
+                pairs = met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+            else:
+                open_ = saved(met.select("node", "comp", "n").distinct(), "open-members")
+                pairs = _prefix_pairs(open_, found)
+            for before in tested:
+                pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
-        if not pairs.limit(1).count():
-            continue
-        good = saved(_linked(pairs, sets), "links")
-        links = good if links is None else links.union(good)
-        tested = pairs if tested is None else tested.union(pairs)
-        labels = saved(
-            wanted.select("node")
-            .join(components(links), "node", "left")
-            .select("node", F.coalesce("comp", "node").alias("comp")),
-            "labels",
-        )
-    return _per_document(sketch, nodes, labels)
-
-
-def _prefix_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components that may reach the similarity; loses none that does.
+        tested.append(pairs)
+        links.append(saved(_linked(pairs, found), "links"))
+        if labels is None or links[-1].limit(1).count():
+            every = links[0]
+            for more in links[1:]:
+                every = every.union(more)
+            named, old = components(every), labels
+            labels = saved(sizes.join(named, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "labels")
+            discard(named, *([old] if old else []))
+    out = saved(_per_document(sketch, nodes, labels), "near-copies")
+    discard(sketch, nodes, buckets, members, wanted, found, open_, labels, *tested, *links)
+    return out
+
+
+def _open_buckets(members: DataFrame, labels: DataFrame, sizes: DataFrame, centres: int) -> DataFrame:
+    """key, node, comp and n of members of buckets that hold several components, and the bucket's centres (c)."""
+    at = members.select("key", "node").join(labels, "node")
+    several = at.groupBy(F.col("key").alias("k")).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
+    several = several.select("k")
+    at = in_bits(at, "key", bit_words(several, "k")).join(several, F.col("key") == F.col("k")).drop("k").join(sizes, "node")
+    if not centres:
+        return at
+    orders = [F.xxhash64(F.lit(k), F.col("node")) for k in range(1, centres)] + [F.col("node")]
+    best = at.groupBy(F.col("key").alias("k")).agg(
+        F.array(*[F.min(F.struct(o.alias("o"), "node", "comp", "n")) for o in orders]).alias("c")
+    )
+    return at.join(best, F.col("key") == F.col("k")).drop("k")
+
+
+def _prefix_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of ``members`` of different components that may reach the similarity; loses none that does.
 
     Two sets of similarity 0.8 share one of the first ``n - ceil(0.8 n) + 1``
     elements of each in any common order. In the order of rising frequency
     those are the rare ones, so members that have only a common passage in
     common never meet.
     """
-    items = saved(members.select("node", "comp", "n", F.explode("items").alias("item")), "member-items")
+    own = in_bits(texts, "node", bit_words(members, "node"))
+    sets = shingle_sets(own, "node").select(F.col("doc_id").alias("s"), "items").join(members, F.col("s") == F.col("node"))
+    items = saved(sets.select("node", "comp", "n", F.explode("items").alias("item")), "member-items")
     often = items.groupBy(F.col("item").alias("i")).agg(
         F.count(F.lit(1)).alias("often"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
@@ -243,12 +312,11 @@ def _prefix_pairs(members: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("node").orderBy("often", "item"))
     first = ranked.withColumn("place", place).filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)
     # an element that one component alone has joins nothing
-    first = saved(first.filter("low <> high").select("node", "comp", "n", "item", "place", "often"), "member-prefixes")
-    whole = first.groupBy(F.col("node").alias("w")).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("often", "item"))), lambda x: x["item"]).alias("prefix")
-    )
-    first = saved(first.join(whole, F.col("node") == F.col("w")).drop("w", "often"), "member-prefixes")
-    other = first.select("item", *[F.col(c).alias(f"{c}2") for c in ("node", "comp", "n", "place", "prefix")])
+    first = saved(first.filter("low <> high").select("node", "comp", "n", "item", "place"), "member-prefixes")
+    earlier = Window.partitionBy("node").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    once, first = first, saved(first.withColumn("before", F.collect_list("item").over(earlier)), "ordered-prefixes")
+    discard(items, once)
+    other = first.select("item", *[F.col(c).alias(f"{c}2") for c in ("node", "comp", "n", "place", "before")])
     both = F.col("n") + F.col("n2")
     reach = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) + 1
     met = first.join(
@@ -259,7 +327,7 @@ def _prefix_pairs(members: DataFrame) -> DataFrame:
         & _similar_sizes(F.col("n"), F.col("n2"))
         # what can follow the first common element must suffice, and a pair counts once, there
         & (reach * 9 >= both * 4)
-        & (F.get(F.array_intersect("prefix", "prefix2"), F.lit(0)) == F.col("item")),
+        & ~F.arrays_overlap("before", "before2"),
     )
     return met.select(F.col("node").alias("a"), F.col("node2").alias("b"))
 
@@ -268,17 +336,29 @@ def _per_document(sketch: DataFrame, nodes: DataFrame, labels: DataFrame) -> Dat
     """Classes of nodes brought back to documents."""
     named = nodes.select("node", "k1", "k2").join(labels, "node", "left")
     named = named.select("k1", "k2", F.coalesce("comp", "node").alias("comp"))
-    whole = sketch.filter("n > 0").select("doc_id", "row", "n", "k1", "k2").join(named, ["k1", "k2"])
-    sums = whole.groupBy(F.col("comp").alias("c")).agg(
-        F.min("doc_id").alias("class_id"),
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"),
-        F.count(F.lit(1)).alias("class_size"),
+    whole = sketch.filter("n > 0").select("doc_id", "text_hash", "mark", "row", "n", "k1", "k2").join(named, ["k1", "k2"])
+    # written, so that a hot class is split in the join and not met in the sums' task
+    sums = saved(
+        whole.groupBy(F.col("comp").alias("c")).agg(
+            F.min("doc_id").alias("class_id"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"),
+            F.count(F.lit(1)).alias("class_size"),
+        ),
+        "classes",
     )
     grouped = whole.join(sums, whole["comp"] == sums["c"]).select(
-        "doc_id", "class_id", "class_size", F.col("n").alias("n_shingles"), (F.col("row") == F.col("first.row")).alias("kept")
+        "doc_id",
+        "text_hash",
+        "mark",
+        "class_id",
+        "class_size",
+        F.col("n").alias("n_shingles"),
+        (F.col("row") == F.col("first.row")).alias("kept"),
     )
     alone = sketch.filter("n = 0").select(
         "doc_id",
+        "text_hash",
+        "mark",
         F.col("doc_id").alias("class_id"),
         F.lit(1).cast("bigint").alias("class_size"),
         F.col("n").alias("n_shingles"),
@@ -290,24 +370,22 @@ def _per_document(sketch: DataFrame, nodes: DataFrame, labels: DataFrame) -> Dat
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one per class, with all columns.
 
-    The decision is keyed by id and text, so rows that share an id, or have
-    none, are judged each by its own text; of rows equal in both, one stays if
-    one is kept.
+    The decision is keyed by hashes of the text and of id and text, so rows
+    that share an id, or have none, are judged each by its own text; of rows
+    equal in both, one stays if one is kept. Only rows that a bit filter of
+    the dropped ones lets through shuffle; the others pass straight.
     """
-
-    def key(df: DataFrame) -> Column:
-        text = F.coalesce(df[text_col].cast("string"), F.lit(""))
-        # a struct's order puts null first; rows with an id come before those without
-        return F.struct(df[id_col].isNull().alias("no_id"), df[id_col].alias("id"), F.unhex(F.sha2(text, 256)).alias("sha"))
-
-    keyed = docs.select(key(docs).alias("doc_id"), docs[text_col].alias("text"))
-    gone = classes(keyed).groupBy("doc_id").agg(
+    found = _classes(docs, id_col, text_col)
+    gone = found.groupBy("mark", "text_hash").agg(
         F.sum(F.col("kept").cast("bigint")).alias("stay"), F.count(F.lit(1)).alias("rows")
     )
-    gone = saved(gone.filter("stay < rows").select(F.col("doc_id").alias("gone_key"), "stay"), "gone")
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), key(docs).alias("key"))
-    met = whole.join(gone, F.col("key").eqNullSafe(F.col("gone_key")), "left")
-    kept = met.filter("stay is null").select("whole.*")
+    gone = saved(gone.filter("stay < rows").select("mark", "text_hash", "stay"), "gone")
+    discard(found)
+    text_hash, mark = _marked(docs, id_col, text_col)
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), text_hash.alias("text_hash"), mark.alias("mark"))
+    flagged = flag_bits(whole, "mark", bit_words(gone, "mark"), "maybe")
+    met = flagged.filter("maybe").join(gone, ["mark", "text_hash"], "left")
+    kept = flagged.filter(~F.col("maybe")).select("whole.*").union(met.filter("stay is null").select("whole.*"))
     # rows equal in id and text of which one stays
-    ties = met.filter("stay > 0").dropDuplicates(["key"]).select("whole.*")
+    ties = met.filter("stay > 0").dropDuplicates(["mark", "text_hash"]).select("whole.*")
     return kept.union(ties)

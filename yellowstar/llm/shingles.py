@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from .bpe import span_hashes
-
 _SPACE = np.zeros(0x110000, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -42,13 +40,27 @@ def word_spans(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return cp, starts, stops - starts, np.searchsorted(ends, starts, side="right")
 
 
+def word_hashes(cp: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word: the sum of its mixed (place, code point) pairs, mixed with its length.
+
+    Every place has values of its own, so no pattern of letters cancels out,
+    as some long ones do in a polynomial modulo 2**64.
+    """
+    first = np.zeros(len(cp), np.int64)
+    first[starts] = starts
+    place = (np.arange(len(cp)) - np.maximum.accumulate(first)).astype(np.uint64) if len(cp) else first.astype(np.uint64)
+    total = np.zeros(len(cp) + 1, np.uint64)
+    np.cumsum(mix(place << np.uint64(21) | cp), out=total[1:])
+    return mix((total[starts + lens] - total[starts]) ^ mix(lens.astype(np.uint64)))
+
+
 def shingles(texts: list[str], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, text and place (word number in its text) of every shingle of ``size`` words, lower-cased.
 
     A text of fewer words, but one at least, has a single shingle of all of them.
     """
     cp, starts, lens, owner = word_spans([t.lower() for t in texts])
-    words = mix(span_hashes(cp, starts, lens))
+    words = word_hashes(cp, starts, lens)
     count = np.bincount(owner, minlength=len(texts))
     ends = np.cumsum(count)
     place = np.arange(len(words)) - (ends - count)[owner]

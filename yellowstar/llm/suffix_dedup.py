@@ -3,8 +3,9 @@
 Every byte covered by a ``WINDOW``-byte string that also starts anywhere else
 goes. Sorting a suffix per byte would multiply the corpus by the window, so
 the suffixes are a sample chosen by content: the anchor of a window is the
-place in it whose ``LEAD`` leading bytes hash lowest (leftmost of equals).
-Equal windows have their anchors at the same place, so only windows whose
+place in it whose ``LEAD`` leading bytes have the lowest upper half of a
+64-bit hash (leftmost of equals). That depends on the window's bytes alone, so
+equal windows have their anchors at the same place, and only windows whose
 anchors' suffixes begin alike need comparing. About every 85th byte is an
 anchor; it stands for the run of windows that chose it.
 
@@ -20,8 +21,9 @@ anchor; it stands for the run of windows that chose it.
    all documents share) are not sorted in one bucket: their windows are
    counted by hash with partial aggregation, at any size.
 
-Equal suffix records travel once per batch, so copies and runs of one
-character do not multiply.
+Equal suffix records travel once per batch, and a run of one character, whose
+every byte is an anchor with the same record, is noted as one range of starts:
+copies and runs do not multiply.
 
 Defined cases: null and empty texts have nothing to remove; a text under 200
 bytes stays whole. Repeated rows are copies of each other and go entirely
@@ -73,13 +75,14 @@ def anchors(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
     sizes = np.array([len(b) for b in blobs], np.int64)
     ends = np.cumsum(sizes)
     none = np.zeros(0, np.int64)
-    if len(data) < WINDOW:
+    if sizes.max(initial=0) < WINDOW:
         return data, ends, none, none, none, none, np.zeros(0, np.uint64)
     up, down = POWERS.to(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     h = mix((total[LEAD:] - total[:-LEAD]) * down[: len(data) - LEAD + 1])
-    shift = np.uint64(int(len(data)).bit_length())
+    # the same half of the hash in every batch: which place is lowest must not depend on what else is in it
+    shift = np.uint64(32)
     marked = ((h >> shift) << shift) | np.arange(len(h), dtype=np.uint64)
     least = _sliding_min(marked, WINDOW - LEAD + 1)
     windows = np.maximum(sizes - WINDOW + 1, 0)
@@ -193,7 +196,10 @@ def _leading_bits(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
 
 
 def _records(docs: DataFrame, bits, id_col: str, text_col: str) -> DataFrame:
-    """Per text its SHA-256, the starts and keys of its suffix records, and the records new to the batch."""
+    """Per text its SHA-256, the starts and keys of its suffix records, and the records new to the batch.
+
+    ``counts`` tells at how many neighbouring starts the same record lies.
+    """
 
     def run(texts):
         filled = bits.value
@@ -205,15 +211,21 @@ def _records(docs: DataFrame, bits, id_col: str, text_col: str) -> DataFrame:
         raw = data.tobytes()
         begin = ends - np.array([len(b) for b in blobs], np.int64)
         out = {"sha": [hashlib.sha256(b).digest() for b in blobs]}
-        for name in ("starts", "keys", "lefts", "fresh", "records"):
+        for name in ("starts", "counts", "keys", "lefts", "fresh", "records"):
             out[name] = [[] for _ in blobs]
         seen: set[bytes] = set()
         rows = zip(owner.tolist(), at.tolist(), first.tolist(), last.tolist(), begin[owner].tolist(), strict=True)
+        before = None
         for i, p, a, b, zero in rows:
             record = raw[a : b + WINDOW]
-            key = _record_key(p - a, record)
-            out["starts"][i].append(a - zero)
-            out["keys"][i].append(key)
+            if before == (i, a - 1, p - a, record):
+                out["counts"][i][-1] += 1
+            else:
+                key = _record_key(p - a, record)
+                out["starts"][i].append(a - zero)
+                out["counts"][i].append(1)
+                out["keys"][i].append(key)
+            before = (i, a, p - a, record)
             # two occurrences in a batch are as good as any number
             again = key + b"2" if key in seen else key
             if again not in seen:
@@ -223,7 +235,7 @@ def _records(docs: DataFrame, bits, id_col: str, text_col: str) -> DataFrame:
                 out["records"][i].append(record)
         return None, out
 
-    fields = "sha binary, starts array<bigint>, keys array<binary>, lefts array<int>, fresh array<binary>, records array<binary>"
+    fields = "sha binary, starts array<bigint>, counts array<bigint>, keys array<binary>, lefts array<int>, fresh array<binary>, records array<binary>"
     return map_texts(docs, run, fields, id_col, text_col)
 
 
@@ -274,12 +286,14 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ordered = cold.repartitionByRange(parts, "lead").sortWithinPartitions("lead")
     solved = ordered.mapInArrow(_sorted_bucket, schema)
     found = saved(solved if found is None else solved.union(found), "repeated-windows")
-    each = table.select("sha", F.explode(F.arrays_zip("starts", "keys")).alias("x"))
-    each = each.select("sha", F.col("x.starts").alias("start"), F.col("x.keys").alias("k")).distinct()
+    each = table.select("sha", F.explode(F.arrays_zip("starts", "counts", "keys")).alias("x"))
+    each = each.select("sha", F.col("x.starts").alias("start"), F.col("x.counts").alias("count"), F.col("x.keys").alias("k")).distinct()
     met = each.join(found, F.col("k") == F.col("key"))
+    # the same range from each of the neighbouring starts: together one
+    span = lambda a, b: F.struct((a + F.col("start")).alias("a"), (b + F.col("start") + F.col("count") - 1).alias("b"))
     return met.select(
         "sha",
-        F.explode(F.zip_with("froms", "tos", lambda a, b: F.struct((a + F.col("start")).alias("a"), (b + F.col("start")).alias("b")))).alias("r"),
+        F.explode(F.zip_with("froms", "tos", span)).alias("r"),
     ).groupBy("sha").agg(F.collect_list("r").alias("ranges"))
 
 
