@@ -157,26 +157,29 @@ def _norm(n: Column) -> Column:
 class Model:
     """Buckets of the known n-grams, a weight per family and n-gram, and the probability a family must exceed."""
 
-    where: np.ndarray  # bucket of each feature
-    weights: np.ndarray  # family x feature, in millionths
+    where: np.ndarray  # bucket of each n-gram
+    hashes: np.ndarray  # and its whole hash, so that other n-grams of the bucket weigh nothing
+    weights: np.ndarray  # family x n-gram, in millionths
     bias: np.ndarray
     floors: list[float]
-    most: np.ndarray  # per feature (a word) the most any family gains from it and from pairs counted with it
+    most: np.ndarray  # per word the most any family gains from it and from the pairs counted with it
+
+    def number(self, gram: Column) -> Column:
+        """1-based number of a known n-gram, 0 for others."""
+        table = np.zeros(BUCKETS, np.int64)
+        table[self.where] = np.arange(1, len(self.where) + 1)
+        i = F.get(long_array(table), bucket(gram)).cast("int")
+        return F.when(F.get(long_array([0, *self.hashes]), i) == F.xxhash64(gram), i).otherwise(0)
 
     def bound(self, ts: Column) -> Column:
         """No less than any family's score of the words."""
-        table = np.zeros(BUCKETS, np.int64)
-        np.maximum.at(table, self.where, self.most)
-        gain = F.aggregate(ts, F.lit(0).cast("bigint"), lambda n, t: n + F.get(long_array(table), bucket(t)))
+        most = long_array([0, *self.most])
+        gain = F.aggregate(ts, F.lit(0).cast("bigint"), lambda n, t: n + F.get(most, self.number(t)))
         return gain / MICRO / _norm(F.size(ts)) + float(self.bias.max())
 
     def scores(self, ts: Column) -> Column:
         """Score of each family against the unknown class."""
-        table = np.zeros(BUCKETS, np.int64)
-        table[self.where] = np.arange(1, len(self.where) + 1)
-        number = long_array(table)
-        ids = F.concat(F.transform(ts, lambda g: F.get(number, bucket(g))), F.transform(pairs(ts), lambda g: F.get(number, bucket(g))))
-        ids = F.filter(ids, lambda i: i > 0).cast("array<int>")
+        ids = F.filter(F.transform(F.concat(ts, pairs(ts)), self.number), lambda i: i > 0)
         lists = [long_array([0, *row]) for row in self.weights]
         # the numbers are found once, then summed per family
         return F.get(
@@ -198,9 +201,9 @@ def _adder(table: Column):
 
 
 def _hashed(spark, grams: list[str]) -> dict[str, int]:
-    """Buckets of n-grams, by the engine's own hash."""
-    rows = spark.createDataFrame([(g,) for g in grams], "g string").select("g", bucket(F.col("g")).alias("b")).collect()
-    return {r["g"]: r["b"] for r in rows}
+    """N-grams and their hashes, by the engine's own function."""
+    rows = spark.createDataFrame([(g,) for g in grams], "g string").select("g", F.xxhash64("g").alias("h")).collect()
+    return {r["g"]: r["h"] for r in rows}
 
 
 def _sample(docs: DataFrame) -> list[list[str]]:
@@ -235,16 +238,19 @@ def train(docs: DataFrame) -> Model:
     other = [_tokens(x) for x in OTHER] + [_tokens(c.format("")) for c in CARRIERS]
     unknown += [x for x in other for _ in range(4)]
     grams = sorted({g for ts in known.values() for t in ts for g in t + _pairs(t)} | {g for c in CARRIERS for g in _tokens(c.format(""))})
-    place = _hashed(docs.sparkSession, sorted({*grams, *(g for ts in [*texts, *unknown, *held] for g in ts + _pairs(ts))}))
-    where = np.unique([place[g] for g in grams])
-    column = np.full(BUCKETS, -1)
-    column[where] = np.arange(len(where))
+    known_grams = _hashed(docs.sparkSession, grams)
+    # of n-grams that share a bucket only the first is known
+    first: dict[int, str] = {}
+    for g in grams:
+        first.setdefault(known_grams[g] & (BUCKETS - 1), g)
+    where = np.array(sorted(first))
+    column = {first[b]: i for i, b in enumerate(where.tolist())}
 
     def matrix(items: list[list[str]]) -> np.ndarray:
         x = np.zeros((len(items), len(where)), np.float32)
         for i, ts in enumerate(items):
-            at = column[[place[g] for g in ts + _pairs(ts)]] if ts else np.zeros(0, np.int64)
-            np.add.at(x[i], at[at >= 0], 1 / np.sqrt(min(max(len(ts), 1), LONG)))
+            at = [column[g] for g in ts + _pairs(ts) if g in column]
+            np.add.at(x[i], at, 1 / np.sqrt(min(max(len(ts), 1), LONG)))
         return x
 
     k = len(FAMILIES)
@@ -257,27 +263,29 @@ def train(docs: DataFrame) -> Model:
     reach = _probabilities(matrix(held) @ w.T + b) if held else np.zeros((0, k))
     floors = [max(0.5, float(np.quantile(reach[:, i], 0.999)) if len(reach) else 0.5) for i in range(k)]
     micro = np.rint(w * MICRO).astype(np.int64)
-    return Model(where, micro, b, floors, _most(micro, grams, place, column, held))
+    most = _most(micro, column, held)
+    return Model(where, np.array([known_grams[first[b]] for b in where.tolist()]), micro, b, floors, most)
 
 
-def _most(weights: np.ndarray, grams: list[str], place: dict[str, int], column: np.ndarray, corpus: list[list[str]]) -> np.ndarray:
-    """Per word its own greatest weight and those of the pairs counted with it (with their rarer word)."""
+def _most(weights: np.ndarray, column: dict[str, int], corpus: list[list[str]]) -> np.ndarray:
+    """Per word its own greatest weight and, if they gain, those of the pairs counted with it (with their rarer word)."""
     seen: dict[str, int] = {}
     for ts in corpus:
         for t in set(ts):
             seen[t] = seen.get(t, 0) + 1
-    top = np.maximum(weights.max(axis=0), 0)
-    out = np.zeros(weights.shape[1], np.int64)
+    out = weights.max(axis=0)
     after: dict[int, dict[str, int]] = {}
-    for g in grams:
-        i = column[place[g]]
+    for g, i in column.items():
         if " " not in g:
-            out[i] = max(out[i], top[i])
-        else:
-            rare = min(g.split(" "), key=lambda t: (seen.get(t, 0), t))
-            best = after.setdefault(column[place[rare]], {"left": 0, "right": 0})
-            side = "right" if g.startswith(rare + " ") else "left"
-            best[side] = max(best[side], int(top[i]))
+            continue
+        words = [t for t in g.split(" ") if t in column]
+        if not words:  # no word to count it with
+            weights[:, i] = 0
+            continue
+        rare = min(words, key=lambda t: (seen.get(t, 0), t))
+        best = after.setdefault(column[rare], {"left": 0, "right": 0})
+        side = "right" if g.startswith(rare + " ") else "left"
+        best[side] = max(best[side], int(weights[:, i].max()))
     for i, best in after.items():
         # a word stands in one pair on each side
         out[i] += best["left"] + best["right"]
