@@ -88,10 +88,6 @@ def _pairs(ts: list[str]) -> list[str]:
     return [f"{a} {b}" for a, b in zip(ts, ts[1:])]
 
 
-def bucket(gram: Column) -> Column:
-    return F.xxhash64(gram).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-
-
 def templates() -> dict[str, list[list[str]]]:
     """Per family the words of its names and sentences."""
     return {f: [_tokens(x) for x in NAMES.get(f, []) + SENTENCES.get(f, [])] for f in FAMILIES}
@@ -164,38 +160,54 @@ class Model:
     floors: list[float]
     most: np.ndarray  # per word the most any family gains from it and from the pairs counted with it
 
-    def number(self, gram: Column) -> Column:
-        """1-based number of a known n-gram, 0 for others."""
+    def number(self, h: Column) -> Column:
+        """1-based number of the known n-gram of a hash, 0 for others."""
         table = np.zeros(BUCKETS, np.int64)
         table[self.where] = np.arange(1, len(self.where) + 1)
-        i = F.get(long_array(table), bucket(gram)).cast("int")
-        return F.when(F.get(long_array([0, *self.hashes]), i) == F.xxhash64(gram), i).otherwise(0)
+        i = F.get(long_array(table), h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("int")
+        return F.when(F.get(long_array([0, *self.hashes]), i) == h, i).otherwise(0)
+
+    def gain(self, ts: Column) -> Column:
+        """What the words and their pairs add to any family's score, at most (in millionths, before the division)."""
+        most = long_array([0, *self.most])
+        return F.aggregate(F.transform(ts, lambda t: F.xxhash64(t)), F.lit(0).cast("bigint"), lambda n, h: n + F.get(most, self.number(h)))
+
+    def reach(self, gain: Column, n: Column) -> Column:
+        """No less than any family's score of ``n`` words with that gain."""
+        return gain / MICRO / _norm(n) + float(self.bias.max())
 
     def bound(self, ts: Column) -> Column:
         """No less than any family's score of the words."""
-        most = long_array([0, *self.most])
-        gain = F.aggregate(ts, F.lit(0).cast("bigint"), lambda n, t: n + F.get(most, self.number(t)))
-        return gain / MICRO / _norm(F.size(ts)) + float(self.bias.max())
+        return self.reach(self.gain(ts), F.size(ts))
 
     def scores(self, ts: Column) -> Column:
         """Score of each family against the unknown class."""
-        ids = F.filter(F.transform(F.concat(ts, pairs(ts)), self.number), lambda i: i > 0)
         lists = [long_array([0, *row]) for row in self.weights]
-        # the numbers are found once, then summed per family
-        return F.get(
-            F.transform(
-                F.array(ids),
-                lambda own: F.array(
-                    *[
-                        F.aggregate(own, F.lit(0).cast("bigint"), _adder(t)) / MICRO / _norm(F.size(ts)) + float(b)
-                        for t, b in zip(lists, self.bias, strict=True)
-                    ]
-                ),
+
+        def pair_ids(own: Column) -> Column:
+            # a known pair has two known words
+            both = lambda i: (F.get(own, i) > 0) & (F.get(own, i + 1) > 0)
+            pair = lambda t, i: F.concat(t, F.lit(" "), F.get(ts, i + 1))
+            return F.transform(ts, lambda t, i: F.when(both(i), self.number(F.xxhash64(pair(t, i)))).otherwise(0))
+
+        words = F.transform(F.transform(ts, lambda t: F.xxhash64(t)), self.number)
+        ids = _once(words, lambda own: F.filter(F.concat(own, pair_ids(own)), lambda i: i > 0))
+        return _once(
+            ids,
+            lambda own: F.array(
+                *[
+                    F.aggregate(own, F.lit(0).cast("bigint"), _adder(t)) / MICRO / _norm(F.size(ts)) + float(b)
+                    for t, b in zip(lists, self.bias, strict=True)
+                ]
             ),
-            F.lit(0),
         )
 
 
+def _once(value: Column, f) -> Column:
+    """``f`` of an array that is computed once, not once per use."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _adder(table: Column):
     return lambda n, g: n + F.get(table, g)
 
@@ -243,6 +255,8 @@ def train(docs: DataFrame) -> Model:
     first: dict[int, str] = {}
     for g in grams:
         first.setdefault(known_grams[g] & (BUCKETS - 1), g)
+    # and a pair only with both of its words
+    first = {b: g for b, g in first.items() if all(first.get(known_grams[t] & (BUCKETS - 1)) == t for t in g.split(" "))}
     where = np.array(sorted(first))
     column = {first[b]: i for i, b in enumerate(where.tolist())}
 
@@ -278,11 +292,7 @@ def _most(weights: np.ndarray, column: dict[str, int], corpus: list[list[str]])
     for g, i in column.items():
         if " " not in g:
             continue
-        words = [t for t in g.split(" ") if t in column]
-        if not words:  # no word to count it with
-            weights[:, i] = 0
-            continue
-        rare = min(words, key=lambda t: (seen.get(t, 0), t))
+        rare = min(g.split(" "), key=lambda t: (seen.get(t, 0), t))
         best = after.setdefault(column[rare], {"left": 0, "right": 0})
         side = "right" if g.startswith(rare + " ") else "left"
         best[side] = max(best[side], int(weights[:, i].max()))
@@ -354,7 +364,13 @@ def confirmed(ts: Column, family: Column) -> Column:
 
 def may_name(model: Model, lines: Column) -> Column:
     """Whether a paragraph or one of its lines can reach a probability of a half."""
-    return F.exists(lines, lambda ts: model.bound(ts) >= 0) | (model.bound(F.flatten(lines)) >= 0)
+    each = F.transform(lines, lambda ts: F.struct(model.gain(ts).alias("gain"), F.size(ts).alias("n")))
+
+    def open_(parts: Column) -> Column:
+        total = lambda name: F.aggregate(parts, F.lit(0).cast("bigint"), lambda n, x: n + x[name])
+        return F.exists(parts, lambda x: model.reach(x["gain"], x["n"]) >= 0) | (model.reach(total("gain"), total("n")) >= 0)
+
+    return _once(each, open_)
 
 
 def predict(each: DataFrame, model: Model) -> DataFrame:
