@@ -409,7 +409,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "licence-paragraphs",
     )
     each = table.select("row", F.explode("open").alias("p")).select("row", "p.*")
-    found = predict(each, model).filter("family is not null").filter(confirmed(F.col("ts"), F.col("family")))
+    # written, so that the prediction is computed once and not once per family it is confirmed for
+    named = saved(predict(each, model).filter("family is not null"), "licence-named")
+    found = named.filter(confirmed(F.col("ts"), F.col("family")))
     best = found.groupBy("row", "paragraph").agg(
         F.max(F.col("line") >= 0).alias("by_line"),
         F.collect_set(F.struct((F.col("line") >= 0).alias("is_line"), "family")).alias("all"),
