@@ -202,6 +202,42 @@ def test_the_bound_is_no_less_than_any_score(spark):
     assert any(r["bound"] < 0 for r in rows)
 
 
+def test_only_parts_with_a_predicted_family_are_written(spark, monkeypatch):
+    """Lines full of licence words that name no licence leave nothing on disk but a row per document."""
+    written = {}
+    saved = license_scan.saved
+
+    def noted(df, name):
+        written[name] = saved(df, name)
+        return written[name]
+
+    monkeypatch.setattr(license_scan, "saved", noted)
+    lines = "\n".join("the use of any copy in the public work is granted to a person for the terms of notice" for _ in range(200))
+    rows = [(i, f"{lines}\nnumber {i}") for i in range(50)] + [(100, "Licensed under the ISC license")]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["families"] for r in got if r["families"]} == {100: "ISC"}
+    assert list(written) == ["licence-named"]
+    table = written["licence-named"]
+    assert table.count() == len(rows)
+    parts = table.selectExpr("explode(named) as p").select("p.*")
+    assert parts.count() <= 3 and parts.filter("family is null").count() == 0
+
+
+def test_family_is_that_of_the_best_score(spark):
+    """The second look leaves out no part that its scores give a family."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(pii.F.col("doc_id").alias("row"), "text")
+    model = license_scan.train(docs)
+    lines = [t for t, _ in HELD_OUT] + [r["text"][:2000] for r in docs.limit(100).collect()]
+    table = spark.createDataFrame([(t,) for t in lines], "t string").select(license_scan.tokens(pii.F.col("t")).alias("ts"))
+    seen = 0
+    for r in table.select(model.family(pii.F.col("ts")).alias("family"), model.scores(pii.F.col("ts")).alias("z")).collect():
+        k = max(range(len(r["z"])), key=lambda i: r["z"][i])
+        prob = license_scan._probabilities(license_scan.np.array([r["z"]]))[0][k]
+        assert r["family"] == (license_scan.FAMILIES[k] if prob >= model.floors[k] else None)
+        seen += r["family"] is not None
+    assert seen > 10
+
+
 def test_weak_labels_agree_with_held_out_labels(spark, docs, empty):
     sf = "/root/testdata/sf0.01"
     got = quality_classifier.classify(spark.read.parquet(f"{sf}/documents.parquet"))

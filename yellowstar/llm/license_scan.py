@@ -18,8 +18,10 @@ comparison then confirms the prediction: a name or sentence of the family is
 found in the paragraph, or the paragraph is largely found in a sentence.
 
 Every paragraph and line is scored. A first look adds up, word by word, the
-most that any family could gain from it; where that sum leaves no family a
-probability of a half, the rest need not be computed.
+most that any family could gain from it, a second one the most from the known
+words and pairs at hand; where such a sum leaves no family a probability of a
+half, the rest need not be computed. Only parts with a predicted family are
+written, so the scratch space follows their number and not the input.
 
 Only DataFrame functions run on the executors; the model is a few tables of
 constants, trained on the driver from the bounded sample. The bound on the hash
@@ -180,9 +182,8 @@ class Model:
         """No less than any family's score of the words."""
         return self.reach(self.gain(ts), F.size(ts))
 
-    def scores(self, ts: Column) -> Column:
-        """Score of each family against the unknown class."""
-        lists = [long_array([0, *row]) for row in self.weights]
+    def _grams(self, ts: Column) -> Column:
+        """Numbers of the known words and pairs."""
 
         def pair_ids(own: Column) -> Column:
             # a known pair has two known words
@@ -191,17 +192,47 @@ class Model:
             return F.transform(ts, lambda t, i: F.when(both(i), self.number(F.xxhash64(pair(t, i)))).otherwise(0))
 
         words = F.transform(F.transform(ts, lambda t: F.xxhash64(t)), self.number)
-        ids = _once(words, lambda own: F.filter(F.concat(own, pair_ids(own)), lambda i: i > 0))
-        return _once(
-            ids,
-            lambda own: F.array(
-                *[
-                    F.aggregate(own, F.lit(0).cast("bigint"), _adder(t)) / MICRO / _norm(F.size(ts)) + float(b)
-                    for t, b in zip(lists, self.bias, strict=True)
-                ]
-            ),
+        return _once(words, lambda own: F.filter(F.concat(own, pair_ids(own)), lambda i: i > 0))
+
+    def _scores(self, own: Column, n: Column) -> Column:
+        """Score of each family, from the known n-grams of ``n`` words."""
+        lists = [long_array([0, *row]) for row in self.weights]
+        return F.array(
+            *[
+                F.aggregate(own, F.lit(0).cast("bigint"), _adder(t)) / MICRO / _norm(n) + float(b)
+                for t, b in zip(lists, self.bias, strict=True)
+            ]
         )
 
+    def scores(self, ts: Column) -> Column:
+        """Score of each family against the unknown class."""
+        return _once(self._grams(ts), lambda own: self._scores(own, F.size(ts)))
+
+    def family(self, ts: Column) -> Column:
+        """The family predicted for the words; null: unknown.
+
+        Only where the n-grams at hand, each counted with its greatest weight,
+        leave a family a probability of a half are the families' scores added up.
+        """
+        best = long_array([0, *self.weights.max(axis=0)])
+        named = F.array(*[F.lit(f) for f in FAMILIES])
+        floor = F.array(*[F.lit(f) for f in self.floors])
+
+        def named_by(z: Column) -> Column:
+            def likely(top: Column) -> Column:
+                # no score below 0 has a probability of a half, so none is lost
+                prob = F.lit(1.0) / F.aggregate(z, F.exp(-top), lambda n, x: n + F.exp(x - top))
+                k = F.array_position(z, top).cast("int") - 1
+                return F.when((top >= 0) & (prob >= F.get(floor, k)), F.get(named, k))
+
+            return _once(F.array_max(z), likely)
+
+        def judged(own: Column) -> Column:
+            most = F.aggregate(own, F.lit(0).cast("bigint"), _adder(best))
+            return F.when(self.reach(most, F.size(ts)) >= 0, _once(self._scores(own, F.size(ts)), named_by))
+
+        return _once(self._grams(ts), judged)
+
 
 def _once(value: Column, f) -> Column:
     """``f`` of an array that is computed once, not once per use."""
@@ -362,31 +393,39 @@ def confirmed(ts: Column, family: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def may_name(model: Model, lines: Column) -> Column:
-    """Whether a paragraph or one of its lines can reach a probability of a half."""
-    each = F.transform(lines, lambda ts: F.struct(model.gain(ts).alias("gain"), F.size(ts).alias("n")))
+def open_parts(model: Model, lines: Column) -> Column:
+    """``line`` and ``ts`` of the parts of a paragraph (``split_units``) that can reach a probability of a half."""
+    each = F.transform(
+        lines, lambda ts, i: F.struct(i.alias("line"), ts.alias("ts"), model.gain(ts).alias("gain"), F.size(ts).alias("n"))
+    )
 
     def open_(parts: Column) -> Column:
         total = lambda name: F.aggregate(parts, F.lit(0).cast("bigint"), lambda n, x: n + x[name])
-        return F.exists(parts, lambda x: model.reach(x["gain"], x["n"]) >= 0) | (model.reach(total("gain"), total("n")) >= 0)
+        whole = F.struct(F.lit(-1).alias("line"), F.flatten(F.transform(parts, lambda x: x["ts"])).alias("ts"))
+        own = F.filter(parts, lambda x: (F.size(parts) > 1) & (x["n"] > 0) & (model.reach(x["gain"], x["n"]) >= 0))
+        own = F.transform(own, lambda x: F.struct(x["line"].alias("line"), x["ts"].alias("ts")))
+        reached = (total("n") > 0) & (model.reach(total("gain"), total("n")) >= 0)
+        return F.when(reached, F.concat(F.array(whole), own)).otherwise(own)
 
     return _once(each, open_)
 
 
-def predict(each: DataFrame, model: Model) -> DataFrame:
-    """``row, paragraph, line, ts`` with ``family`` (null: unknown) and ``prob`` of the parts of ``each`` that may name one."""
-    parts = split_units(each).filter(model.bound(F.col("ts")) >= 0)
-    # written, so that the few parts are scored once and not once per use of a score
-    scored = saved(parts.withColumn("z", model.scores(F.col("ts"))), "licence-scores")
-    top = F.array_max("z")
-    k = F.array_position("z", top).cast("int") - 1
-    zero = F.greatest(top, F.lit(0.0))
-    prob = F.exp(top - zero) / (F.aggregate("z", F.exp(-zero), lambda n, x: n + F.exp(x - zero)))
-    named = F.array(*[F.lit(f) for f in FAMILIES])
-    floor = F.array(*[F.lit(f) for f in model.floors])
-    return scored.select(
-        "row", "paragraph", "line", "ts", F.when(prob >= F.get(floor, k), F.get(named, k)).alias("family"), prob.alias("prob")
-    )
+def named_parts(model: Model, blocks: Column) -> Column:
+    """``paragraph, line, ts, family`` of the parts of a text's paragraphs that the classifier gives a family."""
+
+    def of(block: Column) -> Column:
+        parts = F.transform(
+            open_parts(model, block["lines"]),
+            lambda u: F.struct(
+                block["paragraph"].alias("paragraph"),
+                u["line"].alias("line"),
+                u["ts"].alias("ts"),
+                model.family(u["ts"]).alias("family"),
+            ),
+        )
+        return F.filter(parts, lambda x: x["family"].isNotNull())
+
+    return F.flatten(F.transform(blocks, of))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -397,20 +436,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     rows = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     model = train(rows)
-    # row numbers and paragraphs are written together, from one reading; the texts are not
+    # row numbers and predictions are written together, from one reading and once for all families they are
+    # confirmed for; of the texts only the parts that a family was predicted for are written
     read = rows.select("row", "doc_id", paragraphs(F.col("text")).alias("all"))
     table = saved(
-        read.select(
-            "row",
-            "doc_id",
-            F.size("all").cast("bigint").alias("n_paragraphs"),
-            F.filter("all", lambda x: may_name(model, x["lines"])).alias("open"),
-        ),
-        "licence-paragraphs",
+        read.select("row", "doc_id", F.size("all").cast("bigint").alias("n_paragraphs"), named_parts(model, F.col("all")).alias("named")),
+        "licence-named",
     )
-    each = table.select("row", F.explode("open").alias("p")).select("row", "p.*")
-    # written, so that the prediction is computed once and not once per family it is confirmed for
-    named = saved(predict(each, model).filter("family is not null"), "licence-named")
+    named = table.select("row", F.explode("named").alias("p")).select("row", "p.*")
     found = named.filter(confirmed(F.col("ts"), F.col("family")))
     best = found.groupBy("row", "paragraph").agg(
         F.max(F.col("line") >= 0).alias("by_line"),
