@@ -1,6 +1,9 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
+from yellowstar.llm import common
 from yellowstar.llm import quality_rules as q
 
 from .conftest import prose
@@ -62,6 +65,35 @@ def test_every_trusted_row_counts(spark):
     assert q.trusted_ids(labels).count() == 20_500
 
 
+def test_trusted_texts_are_counted_where_they_are_read(spark, docs, labels, monkeypatch):
+    """Their counts are those of a plain join, also when the filter lets others pass, and no text is shuffled for them."""
+    more = spark.range(1000, 1200).selectExpr("id as doc_id", "concat('other words ', id) as text")
+    rows = docs.select("doc_id", "text").union(more)
+    ids = q.trusted_ids(labels)
+    met = rows.join(ids, F.col("doc_id") == F.col("trusted_id")).select("text")
+    want = q._bucket_counts(met, q.BUCKETS)
+    found = []
+    counts = q._bucket_counts
+
+    def noted(texts, buckets):
+        found.append((texts._jdf.queryExecution().executedPlan().toString(), counts(texts, buckets)))
+        return found[-1][1]
+
+    monkeypatch.setattr(q, "_bucket_counts", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ratios = q.log_ratios(rows, ids)
+        assert found[0][1] == want and len(found) == 2
+        assert not any("SortMergeJoin" in plan for plan, _ in found)
+        monkeypatch.setattr(q, "bit_words", lambda k, c: common.bit_words(k, c, 64))
+        monkeypatch.setattr(q, "in_bits", lambda d, c, w: common.in_bits(d, c, w, 64))
+        assert q.log_ratios(rows, ids) == ratios
+        # one word of bits: some others pass and are taken off again
+        assert len(found) == 5 and sum(found[3][1]) > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_kept_rows_keep_their_columns(docs, labels):
     out = q.keep_good(docs, labels)
     assert out.columns == docs.columns

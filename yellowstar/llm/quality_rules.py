@@ -33,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_words, id_text, in_bits, long_array
+from .common import bit_words, discard, id_text, in_bits, long_array, saved
 
 BUCKETS = 1 << 14
 #: Weight of the raw distribution in the target, as a share of the target's n-grams.
@@ -171,9 +171,17 @@ def _bucket_counts(docs: DataFrame, buckets: int) -> list[int]:
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """Log ratio per bucket in millionths; ``docs`` has doc_id and text, ``trusted`` distinct ids."""
     ids = trusted.select(F.col("trusted_id").cast(docs.schema["doc_id"].dataType).alias("trusted_id"))
-    # the filter keeps all other texts out of the join
-    maybe = in_bits(docs, "doc_id", bit_words(ids, "trusted_id"))
-    target = _bucket_counts(maybe.join(ids, F.col("doc_id") == F.col("trusted_id")).select("text"), buckets)
+    ids = ids.dropna().distinct()
+    # the filter lets all trusted texts pass and a few others; only ids and those few texts meet in joins, so what
+    # shuffles does not depend on whether the planner can broadcast the ids
+    maybe = in_bits(docs.filter("doc_id is not null"), "doc_id", bit_words(ids, "trusted_id"))
+    others = maybe.select(F.col("doc_id").alias("other")).distinct()
+    others = saved(others.join(ids, F.col("other") == F.col("trusted_id"), "left_anti"), "passed-ids")
+    target = _bucket_counts(maybe.select("text"), buckets)
+    if others.limit(1).count():
+        passed = in_bits(maybe, "doc_id", bit_words(others, "other")).join(others, F.col("doc_id") == F.col("other"))
+        target = [m - e for m, e in zip(target, _bucket_counts(passed.select("text"), buckets), strict=True)]
+    discard(others)
     raw = [1 + n for n in _bucket_counts(docs, buckets)]
     all_raw, all_target = sum(raw), sum(target)
     if not all_target:
