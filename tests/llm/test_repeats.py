@@ -159,3 +159,43 @@ def test_filter_bits_reach_the_driver_in_blocks(spark):
     count = np.bincount(np.array(values) & ((1 << 18) - 1), minlength=1 << 18)
     assert (bits.astype(bool) == (count >= 2)).all()
     assert not twice_bitmap(spark.range(0), "id", 1 << 18).any()
+
+
+def test_open_runs_hold_every_interval_that_may_be_a_passage():
+    rng = np.random.default_rng(3)
+    owner = np.repeat([0, 1, 3], [150, 40, 260])
+    for share in (0.03, 0.1, 0.3):
+        alone = rng.random(len(owner)) < share
+        first, last = passage_dedup.open_runs(alone, owner)
+        held = np.zeros(len(owner), int)
+        for k, (a, b) in enumerate(zip(first, last, strict=True)):
+            assert owner[a] == owner[b] and not held[a : b + 1].any()
+            held[a : b + 1] = k + 1
+        for a in range(len(owner)):
+            for b in range(a + passage_dedup.MIN_SHINGLES - 1, len(owner)):
+                if owner[a] == owner[b] and (~alone[a : b + 1]).sum() * 9 >= (b - a + 1) * 8:
+                    assert held[a] and held[a] == held[b]
+
+
+def test_texts_that_share_a_short_line_only_make_no_candidates(spark, monkeypatch):
+    """A common line of twenty words is no passage: no pairs are formed for it and no shingles travel."""
+    rng = random.Random(11)
+    line = " ".join(f"common{i}" for i in range(20))
+    rows = []
+    for k in range(60):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+        rows.append((k, " ".join(words[:100]) + "\n" + line + "\n" + " ".join(words[100:])))
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows += [(100, passage + " one end"), (101, "another start " + passage)]
+    written = {}
+    saved = passage_dedup.saved
+
+    def noted(df, name):
+        out = saved(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(passage_dedup, "saved", noted)
+    got = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got if r["n_links"]} == {100: 100, 101: 100}
+    assert (written["passage-pairs"], written["passage-items"]) == (1, 2)
