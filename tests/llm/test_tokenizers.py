@@ -97,3 +97,28 @@ def test_plan_meets_demand_exactly():
         assert (made == demand).all()
         # never worse than best-fit decreasing alone
         assert sum(t for _, t in plan) <= sum(t for _, t in packing._best_fit_rest(demand.copy(), 64)) + 1
+
+
+def test_texts_are_encoded_a_few_at_a_time(spark, monkeypatch):
+    """However much a task is handed at once, the encoder sees little of it, and the pieces are those of single texts."""
+    import zlib
+
+    from yellowstar.llm.queries import vocabulary
+
+    spec = vocabulary("word_bpe_49k.json").decode()
+    real, seen, run = packing.encoder(spec), [], []
+
+    class Noted:
+        def encode(self, texts):
+            seen.append(sum(map(len, texts)))
+            return real.encode(texts)
+
+    monkeypatch.setattr(packing, "encoder", lambda spec: Noted())
+    monkeypatch.setattr(packing, "map_texts", lambda docs, function, *args: run.append(function))
+    packing.pieces(None, spec)
+    texts = [f"word{i} and more " * 5_000 for i in range(25)] + ["", "x"]
+    counts, out = run[0](texts)
+    assert len(seen) > 1 and max(seen) <= packing.ENCODE_CHARS
+    assert len(counts) == len(texts) and out["length"][-2:] == [1, 2]
+    ids = packing.np.append(real.encode(texts[:1])[0], packing.END).astype("<u4")
+    assert out["ids_crc32"][0] == zlib.crc32(ids[: packing.CAPACITY].tobytes())

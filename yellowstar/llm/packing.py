@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts, saved, ship_package
+from .common import batches, map_texts, saved, ship_package
 from .word_tokens import encoder
 
 CAPACITY = 2048
@@ -37,6 +37,8 @@ END = 0
 ROUNDS = 120
 STEP = 0.3
 PER_ROUND = 96
+#: Characters that are encoded at once; a longer text stands alone.
+ENCODE_CHARS = 500_000
 
 
 def pieces(
@@ -46,7 +48,9 @@ def pieces(
 
     def run(texts):
         counts, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}
-        for ids in encoder(spec).encode(texts):
+        # a few at a time: the arrays over a batch's characters and words are many times its size
+        encoded = (ids for part in batches(texts, ENCODE_CHARS) for ids in encoder(spec).encode(texts[part]))
+        for ids in encoded:
             whole = np.append(ids, END).astype("<u4")
             at = range(0, len(whole), capacity)
             cuts = [whole[i : i + capacity] for i in at]
