@@ -199,3 +199,34 @@ def test_texts_that_share_a_short_line_only_make_no_candidates(spark, monkeypatc
     got = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r["doc_id"]: r["class_id"] for r in got if r["n_links"]} == {100: 100, 101: 100}
     assert (written["passage-pairs"], written["passage-items"]) == (1, 2)
+
+
+def test_rows_grow_with_the_texts_that_share_a_passage_and_not_with_their_pairs(spark, monkeypatch):
+    """Ninety texts share a passage, and some of them two: every link counted, a few rows a text, whatever the cells."""
+    rng = random.Random(4)
+    passages = [[f"p{k}w{i}" for i in range(60)] for k in range(2)]
+    rows = []
+    for k in range(90):
+        own = [f"w{rng.randrange(10**9)}" for _ in range(80)]
+        other = passages[1] if k % 9 == 0 else []
+        rows.append((k, " ".join(own[:20] + passages[0] + own[20:50] + other + own[50:])))
+    rows += [(100 + k, " ".join([f"s{k}", *passages[1], f"t{k}"])) for k in range(5)]
+    written = {}
+    saved = passage_dedup.saved
+
+    def noted(df, name):
+        out = saved(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(passage_dedup, "saved", noted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for cell in (passage_dedup.CELL, 20):
+        monkeypatch.setattr(passage_dedup, "CELL", cell)
+        got = {r["doc_id"]: r for r in passage_dedup.repeated_passages(docs).collect()}
+        assert {r["class_id"] for r in got.values()} == {0}
+        for k in range(90):
+            assert got[k]["n_links"] == 89 + (5 if k % 9 == 0 else 0)
+            assert got[k]["spans"] == ("20:80,110:170" if k % 9 == 0 else "20:80")
+        assert all(got[100 + k]["n_links"] == 14 and got[100 + k]["spans"] == "1:61" for k in range(5))
+        assert written["passage-pairs"] < len(rows) and written["passages"] <= 12 * len(rows)
