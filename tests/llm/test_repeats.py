@@ -2,8 +2,10 @@ import hashlib
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from yellowstar.llm import passage_dedup, suffix_dedup
@@ -230,3 +232,67 @@ def test_rows_grow_with_the_texts_that_share_a_passage_and_not_with_their_pairs(
             assert got[k]["spans"] == ("20:80,110:170" if k % 9 == 0 else "20:80")
         assert all(got[100 + k]["n_links"] == 14 and got[100 + k]["spans"] == "1:61" for k in range(5))
         assert written["passage-pairs"] < len(rows) and written["passages"] <= 12 * len(rows)
+
+
+def _sorted(record_batches, key):
+    table = pa.Table.from_batches(record_batches).sort_by(key)
+    return table.to_batches(max_chunksize=50)
+
+
+def test_shingles_of_one_text_only_are_known_without_a_table_of_all(monkeypatch):
+    """Chunks and blocks of any size tell the same: which sampled shingles no other text has, and which many have."""
+    rng = random.Random(6)
+    line = [f"line{i}" for i in range(12)]
+    passage = [f"p{i}" for i in range(70)]
+    texts = []
+    for k in range(90):
+        own = [f"w{rng.randrange(10**9)}" for _ in range(120)]
+        texts.append(" ".join(own[:60] + (passage if k in (7, 80) else line) + own[60:]))
+    texts += ["short " * 20, "", "again " * 200, "again " * 200 + "b"]
+    each = [passage_dedup.shingles([t])[0] for t in texts]
+    where = Counter(h for sh in each if len(sh) >= passage_dedup.MIN_SHINGLES for h in set(sh.tolist()))
+    task = SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3))
+    monkeypatch.setattr(passage_dedup, "TaskContext", task)
+    rows = pa.table({"node": range(len(texts)), "text": texts})
+    for held, bits, size in ((passage_dedup.HELD, passage_dedup.BLOCK_BITS, 100), (500, 3, 4)):
+        monkeypatch.setattr(passage_dedup, "HELD", held)
+        monkeypatch.setattr(passage_dedup, "BLOCK_BITS", bits)
+        marks = list(passage_dedup._marks(rows.to_batches(max_chunksize=size)))
+        known = list(passage_dedup._counted(_sorted(marks, "key")))
+        opened = pa.Table.from_batches(passage_dedup._opened(_sorted(known, "chunk"))).to_pylist()
+        assert sorted(row["open"] for row in opened) == [7, 80, 92, 93]
+        for row in opened:
+            sh = each[row["open"]]
+            for name, want in (("alone", lambda n: n == 1), ("often", lambda n: n >= passage_dedup.OFTEN)):
+                have = np.unpackbits(np.frombuffer(row[name], np.uint8), count=len(sh)).astype(bool)
+                assert have.tolist() == [bool(passage_dedup.sampled(h)) and want(where[int(h)]) for h in sh]
+
+
+def test_near_copies_travel_to_few_places_and_compressed_between_cells(spark, monkeypatch):
+    """Near copies of one text have many windows' groups; each goes to one place, and a cell takes little room."""
+    rng = random.Random(9)
+    source = [f"s{i}" for i in range(400)]
+    rows = []
+    for k in range(60):
+        words = list(source)
+        for _ in range(6):
+            words[rng.randrange(400)] = f"e{rng.randrange(10**9)}"
+        rows.append((k, " ".join(words)))
+    saved, tables = passage_dedup.saved, {}
+
+    def noted(df, name):
+        tables[name] = saved(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(passage_dedup, "saved", noted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    whole = sorted(map(tuple, passage_dedup.repeated_passages(docs).collect()))
+    assert tables["passage-homes"].select("home").distinct().count() > 1
+    assert tables["passage-members"].select("key", "doc_id").distinct().count() <= 1.5 * len(rows)
+    seqs = [passage_dedup.shingles([t])[0] for _, t in rows]
+    links = [sum(bool(passage_dedup.similar_passages(x, y)) for j, y in enumerate(seqs) if j != i) for i, x in enumerate(seqs)]
+    assert [r[2] for r in whole] == links
+    monkeypatch.setattr(passage_dedup, "CELL", 20)
+    assert sorted(map(tuple, passage_dedup.repeated_passages(docs).collect())) == whole
+    packs = [len(r["texts"]) for r in tables["passages"].filter("place is not null").collect()]
+    assert packs and max(packs) < 20 * 396 * 8 / 3
