@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from yellowstar.llm import passage_dedup, suffix_dedup
+from yellowstar.llm import exact_dedup, passage_dedup, suffix_dedup
 
 
 def _expected(texts):
@@ -296,3 +296,39 @@ def test_near_copies_travel_to_few_places_and_compressed_between_cells(spark, mo
     assert sorted(map(tuple, passage_dedup.repeated_passages(docs).collect())) == whole
     packs = [len(r["texts"]) for r in tables["passages"].filter("place is not null").collect()]
     assert packs and max(packs) < 20 * 396 * 8 / 3
+
+
+def test_passages_of_texts_with_no_shingle_twice_are_those_of_the_general_way():
+    rng = np.random.default_rng(8)
+    some = 0
+    for _ in range(300):
+        source = np.arange(1, 500)
+        x, y = (source[at : at + 300].copy() for at in rng.integers(0, 120, 2))
+        for text in (x, y):
+            for at in rng.integers(0, 290, rng.integers(0, 12)):
+                text[at : at + 5] = rng.integers(1000, 10**9, 5)
+        if rng.random() < 0.5:
+            y = np.concatenate([y[150:], y[:150]])
+        if len(set(x)) < 300 or len(set(y)) < 300:
+            continue
+        place = {v: k for k, v in enumerate(x.tolist())}
+        places = np.array([place.get(v, -1) for v in y.tolist()])
+        want = set(passage_dedup.similar_passages(x.astype(np.uint64), y.astype(np.uint64)))
+        code, _, n = passage_dedup._numbered(np.concatenate([x, y]), np.repeat([0, 1], 300))
+        assert set(passage_dedup._similar(code[:300], code[300:], None, None, np.zeros(n, bool), places)) == want
+        some += bool(want)
+    assert some > 100
+
+
+def test_texts_are_hashed_and_written_once(spark, monkeypatch):
+    """Copies are told by the written hashes, and their rows left out by number: null and repeated ids, and ties."""
+    text = " ".join(f"c{i}" for i in range(60))
+    rows = [(1, text), (1, text), (None, text.upper()), (3, "x " + text), (None, "y " + text), (4, text)]
+    hashed = []
+    text_hash = passage_dedup.text_hash
+    monkeypatch.setattr(passage_dedup, "text_hash", lambda c: hashed.append(1) or text_hash(c))
+    monkeypatch.setattr(exact_dedup, "text_hash", lambda c: hashed.append(1) or text_hash(c))
+    got = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(hashed) == 1
+    want = [(1, 3, 2, "0:60", 4)] * 2 + [(None, 3, 2, "0:60", 4), (4, 3, 2, "0:60", 4), (3, 3, 2, "1:61", 1), (None, 3, 2, "1:61", 1)]
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"], r["spans"], r["group_size"]) for r in got) == Counter(want)
